@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -11,7 +12,8 @@ from quayload.spec import DIGIT_WORDS
 
 # Each escape is a backslash and one letter, so decoding in reverse order is
 # unambiguous, and no encoded text can ever equal the null marker ``\N``.
-LINE_ESCAPES = (("\\", "\\s"), ("\n", "\\n"), ("\r", "\\r"), ("\0", "\\z"))
+LINE_FEED = ("\n", "\\n")
+LINE_ESCAPES = (("\\", "\\s"), LINE_FEED, ("\r", "\\r"), ("\0", "\\z"))
 
 
 def column(name: str) -> Column:
@@ -19,18 +21,34 @@ def column(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def _replace(text: Column, pairs: Sequence[tuple[str, str]]) -> Column:
+    """Replace in turn, but only what occurs: looking is far cheaper than replacing.
+
+    Most texts need nothing or line feeds only.
+    """
+    line_feed = LINE_FEED if LINE_FEED in pairs else LINE_FEED[::-1]
+    others = [F.contains(text, F.lit(old)) for old, _ in pairs if old != line_feed[0]]
+    everything = text
+    for old, new in pairs:
+        everything = F.replace(everything, F.lit(old), F.lit(new))
+    return (
+        F.when(reduce(Column.__or__, others), everything)
+        .when(
+            F.contains(text, F.lit(line_feed[0])),
+            F.replace(text, F.lit(line_feed[0]), F.lit(line_feed[1])),
+        )
+        .otherwise(text)
+    )
+
+
 def escape_lines(text: Column) -> Column:
     """Encode text so that it holds no line break, no NUL and no lone backslash."""
-    for plain, escaped in LINE_ESCAPES:
-        text = F.replace(text, F.lit(plain), F.lit(escaped))
-    return text
+    return _replace(text, LINE_ESCAPES)
 
 
 def unescape_lines(text: Column) -> Column:
-    """The inverse of :func:`escape_lines`; texts without a backslash are only scanned."""
-    decoded = text
-    for plain, escaped in reversed(LINE_ESCAPES):
-        decoded = F.replace(decoded, F.lit(escaped), F.lit(plain))
+    """The inverse of :func:`escape_lines`."""
+    decoded = _replace(text, [(new, old) for old, new in reversed(LINE_ESCAPES)])
     return F.when(F.contains(text, F.lit("\\")), decoded).otherwise(text)
 
 

@@ -106,17 +106,29 @@ def heavy_keys(keyed: DataFrame, limit: int = HEAVY_KEYS) -> DataFrame:
     return counts.orderBy(F.desc("count"), KEY).limit(limit).select(KEY)
 
 
+def spread_keys(keyed: DataFrame, heavy: DataFrame) -> DataFrame:
+    """Give each row the key it is shuffled by.
+
+    Rows of a heavy key, already answered, and rows without a key use the
+    number of their input partition, which matches nothing and spreads them as
+    evenly as the input is split. A partition's number is the same when a lost
+    task runs again. Keys hold only ``A-Z0-9`` and spaces, so the ``#`` form
+    cannot be a key.
+    """
+    cold = column(HEAVY).isNull() & column(KEY).isNotNull()
+    partition = F.concat(F.lit("#"), F.spark_partition_id().cast("string"))
+    return keyed.join(F.broadcast(heavy), KEY, "left").withColumn(
+        JOIN_KEY, F.when(cold, column(KEY)).otherwise(partition)
+    )
+
+
 def _join_shuffled(
     keyed: DataFrame, lookup: AddressLookup, names: Sequence[str], path: str
 ) -> DataFrame:
     """Shuffle join that neither a hot key nor rows without a key can skew.
 
-    The top keys with their locations are written first: at most
-    ``HEAVY_KEYS`` rows, broadcast by proof of their number. Rows they answer,
-    and rows without a key, enter the shuffle under the number of their input
-    partition instead, which matches nothing and spreads them evenly. Keys
-    hold only ``A-Z0-9`` and spaces, so the ``#`` form cannot be a key. A
-    partition's number is the same when a lost task runs again.
+    The most frequent keys are written with their locations first: at most
+    ``HEAVY_KEYS`` rows, so they can be broadcast whatever the input is.
     """
     heavy_keys(keyed).join(
         lookup.table.select(KEY, _found(names)), KEY, "left"
@@ -124,13 +136,10 @@ def _join_shuffled(
     heavy = keyed.sparkSession.read.parquet(path).select(
         KEY, column(FOUND).alias("heavy_location"), F.lit(True).alias(HEAVY)
     )
-    cold = F.when(column(HEAVY).isNull() & column(KEY).isNotNull(), column(KEY)).otherwise(
-        F.concat(F.lit("#"), F.spark_partition_id().cast("string"))
-    )
-    left = keyed.join(F.broadcast(heavy), KEY, "left").withColumn(JOIN_KEY, cold)
     right = lookup.table.select(column(KEY).alias(JOIN_KEY), _found(names).alias("cold_location"))
     return (
-        left.join(right.hint("merge"), JOIN_KEY, "left")
+        spread_keys(keyed, heavy)
+        .join(right.hint("merge"), JOIN_KEY, "left")
         .withColumn(FOUND, F.coalesce("heavy_location", "cold_location"))
         .drop(JOIN_KEY, HEAVY, "heavy_location", "cold_location")
     )

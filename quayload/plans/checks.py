@@ -187,7 +187,7 @@ def q_typed_load(run: Run) -> DataFrame:
     )
     stage_table(landed, spec, run.root)
     load = typed_load(run.spark, spec, run.root, orders.schema)
-    return load.rows.unionByName(load.rejects, allowMissingColumns=True)
+    return load.rows.unionByName(load.rejects.select("raw_record"), allowMissingColumns=True)
 
 
 def q_compose_query_key(run: Run) -> DataFrame:
@@ -327,13 +327,12 @@ CHECKS: dict[str, tuple[Callable[[Run], DataFrame], str]] = {
     ),
     "typed_load": (
         q_typed_load,
-        """SELECT *, NULL::VARCHAR AS raw_record, NULL::VARCHAR AS reason
+        """SELECT *, NULL::VARCHAR AS raw_record
            FROM orders WHERE o_orderstatus <> 'P'
            UNION ALL
            SELECT NULL, NULL, NULL, NULL, NULL, NULL,
                o_orderkey || ',' || o_custkey || ',' || o_orderstatus || ',n/a,'
-               || strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S.%f') || ',' || o_orderpriority,
-               'o_totalprice'
+               || strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S.%f') || ',' || o_orderpriority
            FROM orders WHERE o_orderstatus = 'P'""",
     ),
     "compose_query_key": (q_compose_query_key, f"SELECT p_partkey, {KEY_SQL} AS query_key FROM part"),

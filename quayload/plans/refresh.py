@@ -26,15 +26,17 @@ from quayload.sources.relational import (
     extract_table,
 )
 from quayload.spec import TableSpec
-from quayload.staging import StagedTable, read_staged, stage_table, staged_bytes, typed_load
+from quayload.staging import StagedTable, read_staged, stage_table, typed_load
 
 FAIL = "fail"
 DIVERT = "divert"
 
-# Staged text per publishing task, in a table large enough to need it, and the
-# least worth a task of its own.
-PARTITION_BYTES = 256 * 1024 * 1024
+# Staged text per publishing task, and the least worth a task of its own.
+PARTITION_BYTES = 512 * 1024 * 1024
 SMALLEST_PARTITION_BYTES = 4 * 1024 * 1024
+# Beyond this many, tasks get larger instead: a shuffle has one block for every
+# pair of a writing and a reading task, and sorting spills to disk anyway.
+MOST_PARTITIONS = 20_000
 
 
 class RowsLost(RuntimeError):
@@ -51,12 +53,13 @@ class Refresh:
     rejects: int = 0
 
 
-def publish_partitions(spark: SparkSession, staged: StagedTable) -> int:
-    """Tasks to publish a staged table with, from its size on disk."""
-    size = staged_bytes(spark, staged.path)
-    needed = math.ceil(size / PARTITION_BYTES)
-    worthwhile = math.ceil(size / SMALLEST_PARTITION_BYTES)
-    return max(1, needed, min(worthwhile, spark.sparkContext.defaultParallelism))
+def publish_partitions(staged: StagedTable, cores: int) -> int | None:
+    """How many tasks to publish a staged table with; ``None`` leaves it to the session."""
+    if staged.bytes is None:
+        return None
+    needed = math.ceil(staged.bytes / max(PARTITION_BYTES, staged.bytes / MOST_PARTITIONS))
+    worthwhile = math.ceil(staged.bytes / SMALLEST_PARTITION_BYTES)
+    return max(1, needed, min(worthwhile, cores))
 
 
 def publish_staged(
@@ -75,7 +78,7 @@ def publish_staged(
     if on_misfit not in (FAIL, DIVERT):
         raise ValueError(f"unknown way to treat misfits: {on_misfit!r}")
     spec = staged.spec
-    partitions = publish_partitions(spark, staged) if spec.keys else None
+    partitions = publish_partitions(staged, spark.sparkContext.defaultParallelism)
     rejects = 0
     if on_misfit == FAIL:
         version = write_version(read_staged(spark, spec, root), spec, area, partitions)

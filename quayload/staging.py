@@ -3,13 +3,13 @@
 A staged table is a folder of CSV part files. Text columns are written with
 line breaks escaped, so each record is one physical line: the files can be cut
 at any line into even input splits, however large they are and however wide
-their rows. Reading never infers a type. All columns are read as text and
-converted by the sidecar, so whether a row fits does not depend on which
-columns a query happens to use.
+their rows. Reading never infers a type, and whether a row fits its sidecar
+does not depend on which columns a query happens to use.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 from functools import reduce
 
@@ -33,10 +33,13 @@ JSON_BAD = "_bad"
 JSON_READ = {**TIME_OPTIONS, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": JSON_BAD}
 
 MISFIT = "_quayload_misfit"
-REASON = "_quayload_reason"
+SOURCE = "_quayload_source"
 RAW_RECORD = "_quayload_raw"
 CORRUPT = "_quayload_corrupt"
-FIELD_COUNT = "field count"
+# About what a number, date or timestamp takes in text.
+OTHER_TEXT_BYTES = 16
+# Options about files, which rendering a single record has no use for.
+FILE_OPTIONS = ("header", "encoding", "multiLine", "lineSep")
 
 
 @dataclass(frozen=True)
@@ -44,7 +47,7 @@ class StagingFormat:
     """How staged text is written. The default is lossless and splittable.
 
     ``PLAIN_CSV`` reads files other tools wrote: quoted line breaks, no
-    escapes, an empty field (quoted or not) for null. Such files cannot be
+    escapes, an empty field (quoted or not) for null, any ISO time form. Such files cannot be
     split, so they should come as many files of moderate size.
     """
 
@@ -63,7 +66,7 @@ class StagingFormat:
             "ignoreTrailingWhiteSpace": "false",
         }
         if self.escaped:
-            options["lineSep"] = "\n"
+            options.update(TIME_OPTIONS, dateFormat="yyyy-MM-dd", lineSep="\n")
         else:
             options["multiLine"] = "true"
         return options
@@ -75,11 +78,15 @@ PLAIN_CSV = StagingFormat(null_marker="", escaped=False)
 
 @dataclass(frozen=True)
 class StagedTable:
-    """A staged table; ``rows`` is ``None`` when another tool staged it."""
+    """A staged table, with its rows and about how many bytes of text they are.
+
+    Both are ``None`` when another tool staged it.
+    """
 
     spec: TableSpec
     path: str
     rows: int | None = None
+    bytes: int | None = None
 
 
 @dataclass(frozen=True)
@@ -100,7 +107,7 @@ class TypedLoad:
     @property
     def rejects(self) -> DataFrame:
         return self.parsed.where(column(MISFIT)).select(
-            column(RAW_RECORD).alias("raw_record"), column(REASON).alias("reason")
+            column(RAW_RECORD).alias("raw_record"), column(SOURCE).alias("source_file")
         )
 
 
@@ -115,40 +122,68 @@ def _to_text(field: T.StructField) -> Column:
     return value.alias(field.name)
 
 
+def _text_bytes(text: DataFrame) -> Column:
+    """Text columns by their length, others by what a number or date takes in text."""
+    widths = [
+        F.coalesce(F.octet_length(column(f.name)), F.lit(2))
+        for f in text.schema.fields
+        if isinstance(f.dataType, T.StringType)
+    ]
+    others = OTHER_TEXT_BYTES * (len(text.columns) - len(widths))
+    return reduce(Column.__add__, widths, F.lit(others + len(text.columns)).cast("bigint"))
+
+
 def stage_table(df: DataFrame, spec: TableSpec, root: str) -> StagedTable:
     """Write ``df`` to its staging place, replacing what is there, with its sidecar.
 
-    No shuffle: each task writes its own partition. Rows are counted by the
-    writing job itself.
+    No shuffle: each task writes its own partition. Rows and bytes are counted
+    by the writing job itself.
     """
     check_schema(df.schema)
     counted = Observation()
     path = f"{root}/{spec.staging_path}"
     text = df.select(*[_to_text(field) for field in df.schema.fields])
-    text = text.observe(counted, F.count(F.lit(1)).alias("rows"))
-    writer = text.write.mode("overwrite").options(**LINES.options(), **TIME_OPTIONS)
+    text = text.observe(
+        counted,
+        F.count(F.lit(1)).alias("rows"),
+        F.coalesce(F.sum(_text_bytes(text)), F.lit(0)).alias("bytes"),
+    )
+    writer = text.write.mode("overwrite").options(**LINES.options())
     # A lone blank field would be a blank line, which CSV readers skip.
     writer.option("quoteAll", len(text.columns) == 1).csv(path)
     write_sidecar(df.sparkSession, df.schema, spec, root)
-    return StagedTable(spec, path, counted.get["rows"])
+    return StagedTable(spec, path, **counted.get)
+
 
+def _read_type(data_type: T.DataType) -> T.DataType:
+    """The type the CSV reader itself converts to; the rest is converted from text."""
+    as_text = (*NESTED_TYPES, T.StringType, T.BinaryType, T.DecimalType)
+    return T.StringType() if isinstance(data_type, as_text) else data_type
 
-def _from_text(field: T.StructField, text: Column, fmt: StagingFormat) -> tuple[Column, Column]:
-    """The typed value of one staged field, and whether the text does not fit."""
-    plain = unescape_lines(text) if fmt.escaped else text
+
+def _convert(field: T.StructField, fmt: StagingFormat) -> tuple[Column, Column]:
+    """The typed value of a column as it was read, and whether its text does not fit."""
+    value, fits = column(field.name), F.lit(False)
     if isinstance(field.dataType, T.StringType):
-        return plain, F.lit(False)
+        return (unescape_lines(value) if fmt.escaped else value), fits
     if isinstance(field.dataType, NESTED_TYPES):
         wrapper = T.StructType(
             [T.StructField("v", field.dataType), T.StructField(JSON_BAD, T.StringType())]
         )
-        parsed = F.from_json(F.concat(F.lit('{"v":'), plain, F.lit("}")), wrapper, JSON_READ)
-        return parsed["v"], F.coalesce(parsed[JSON_BAD].isNotNull(), F.lit(False))
+        text = unescape_lines(value) if fmt.escaped else value
+        parsed = F.from_json(F.concat(F.lit('{"v":'), text, F.lit("}")), wrapper, JSON_READ)
+        return parsed["v"], F.coalesce(parsed[JSON_BAD].isNotNull(), fits)
     if isinstance(field.dataType, T.BinaryType):
-        typed = F.try_to_binary(text, F.lit("base64"))
-    else:
-        typed = text.try_cast(field.dataType)
-    return typed, text.isNotNull() & typed.isNull()
+        typed = F.try_to_binary(value, F.lit("base64"))
+        return typed, value.isNotNull() & typed.isNull()
+    if isinstance(field.dataType, T.DecimalType):
+        # The widest fraction that leaves room for the integer digits shows
+        # whether the declared scale rounded anything away.
+        whole = field.dataType.precision - field.dataType.scale
+        typed = value.try_cast(field.dataType)
+        exact = typed == value.try_cast(T.DecimalType(38, 38 - whole))
+        return typed, value.isNotNull() & ~F.coalesce(exact, fits)
+    return value, fits
 
 
 def typed_load(
@@ -161,38 +196,43 @@ def typed_load(
     """Apply the sidecar to staged text and tell fitting rows from the rest.
 
     A row is a misfit when it has too few or too many fields, or when a field
-    cannot be converted to its type. Files whose header does not match the
-    sidecar fail the read.
+    cannot be converted to its type exactly. Files whose header does not match
+    the sidecar fail the read.
     """
     schema = schema or read_sidecar(spark, spec, root)
     check_schema(schema)
-    names = tuple(schema.fieldNames())
-    as_text = T.StructType([T.StructField(name, T.StringType()) for name in (*names, CORRUPT)])
+    fields, names = schema.fields, tuple(schema.fieldNames())
+    read_schema = T.StructType(
+        [T.StructField(f.name, _read_type(f.dataType)) for f in fields]
+        + [T.StructField(CORRUPT, T.StringType())]
+    )
     staged = (
-        spark.read.schema(as_text)
+        spark.read.schema(read_schema)
         .options(**fmt.options())
         .option("enforceSchema", False)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
-        # Field counts are checked only when no column is pruned from the parse.
-        .option("columnPruning", False)
         .csv(f"{root}/{spec.staging_path}")
     )
+    # The reader checks only the columns a query uses, so a query for one column
+    # would take rows whose other columns are bad. A count over all columns
+    # keeps every one of them in the parse, whatever is selected later.
+    blank = reduce(Column.__and__, [column(name).isNull() for name in names])
+    whole = staged.select("*", F.col("_metadata.file_path").alias(SOURCE)).observe(
+        f"typed_load_{uuid.uuid4().hex}",
+        F.count_if(blank).alias("blank"),
+        F.count(CORRUPT).alias("corrupt"),
+    )
 
-    broken = column(CORRUPT).isNotNull()
-    values, reasons, misfits = [], [F.when(broken, F.lit(FIELD_COUNT))], [broken]
-    for field in schema.fields:
-        typed, misfit = _from_text(field, column(field.name), fmt)
-        values.append(typed.alias(field.name))
-        misfits.append(misfit)
-        reasons.append(F.when(misfit & ~broken, F.lit(field.name)))
-    fields = F.struct(*[column(name) for name in names])
-    rendered = F.to_csv(fields, {"quote": '"', "escape": '"', "nullValue": fmt.null_marker})
-    parsed = staged.select(
-        *values,
-        reduce(Column.__or__, misfits).alias(MISFIT),
+    converted = [_convert(field, fmt) for field in fields]
+    misfit = reduce(Column.__or__, [flag for _, flag in converted], column(CORRUPT).isNotNull())
+    as_read = F.struct(*[column(name) for name in names])
+    rendered = F.to_csv(as_read, {k: v for k, v in fmt.options().items() if k not in FILE_OPTIONS})
+    parsed = whole.select(
+        *[value.alias(name) for (value, _), name in zip(converted, names)],
+        misfit.alias(MISFIT),
         F.coalesce(column(CORRUPT), rendered).alias(RAW_RECORD),
-        F.concat_ws(",", *reasons).alias(REASON),
+        column(SOURCE),
     )
     return TypedLoad(parsed, names)
 
@@ -206,12 +246,6 @@ def read_staged(
 ) -> DataFrame:
     """Read a staged table back; the first row that does not fit fails the job."""
     load = typed_load(spark, spec, root, schema, fmt)
-    message = F.concat(F.lit(f"{spec.staging_path}: "), column(REASON), F.lit(": "), column(RAW_RECORD))
+    message = F.concat(F.lit(f"{spec.staging_path}: row does not fit: "), column(RAW_RECORD))
     fits = F.when(column(MISFIT), F.raise_error(message).cast("boolean")).otherwise(True)
     return load.parsed.where(fits).select(*map(column, load.names))
-
-
-def staged_bytes(spark: SparkSession, path: str) -> int:
-    """Size of the files below ``path``, from their listing; no content is read."""
-    listing = spark.read.format("binaryFile").load(path)
-    return listing.agg(F.sum("length")).first()[0] or 0
