@@ -8,6 +8,7 @@ table first; only if its row count is right does it take the table's name.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -44,37 +45,42 @@ def _names(spec: TableSpec, catalog: str | None, suffix: str = "") -> tuple[str,
     return (f"{quote(catalog)}.{inner}" if catalog else inner), inner
 
 
+def _drop_leftovers(spark: SparkSession, spec: TableSpec, catalog: str | None) -> None:
+    """Drop side tables of loads that never finished."""
+    schema = _names(spec, catalog)[0].rsplit(".", 1)[0]
+    prefix = spec.table + LOADING
+    for row in spark.sql(f"SHOW TABLES IN {schema}").where("NOT isTemporary").collect():
+        if row.tableName.startswith(prefix):
+            spark.sql(f"DROP TABLE IF EXISTS {schema}.{quote(row.tableName)}")
+
+
 def load_table(df: DataFrame, spec: TableSpec, catalog: str | None = None) -> str:
     """Replace the warehouse table with ``df``; returns its full name.
 
-    The schema must exist; digit-only schema names are spelled out. A swap cut
-    short by a lost driver is completed by the next load: the previous table is
-    kept until the new one has its name.
+    The schema must exist; digit-only schema names are spelled out. A table
+    has one load at a time. A swap cut short by a lost driver is undone by the
+    next load: the previous table is kept until the new one has its name.
     """
     spark = df.sparkSession
     target, target_inner = _names(spec, catalog)
-    loading, _ = _names(spec, catalog, LOADING)
     previous, previous_inner = _names(spec, catalog, PREVIOUS)
+    # The name is new each time: a failed write may leave files at its place.
+    loading, _ = _names(spec, catalog, f"{LOADING}_{uuid.uuid4().hex[:8]}")
 
     if not spark.catalog.tableExists(target) and spark.catalog.tableExists(previous):
         spark.sql(f"ALTER TABLE {previous} RENAME TO {target_inner}")
-    spark.sql(f"DROP TABLE IF EXISTS {loading}")
+    _drop_leftovers(spark, spec, catalog)
 
     counted = Observation()
     df.observe(counted, F.count(F.lit(1)).alias("rows")).writeTo(loading).create()
     loaded, expected = spark.table(loading).count(), counted.get["rows"]
     if loaded != expected:
+        spark.sql(f"DROP TABLE {loading}")
         raise IncompleteLoad(f"{target}: {loaded} rows loaded, {expected} expected")
 
-    _swap(spark, target, target_inner, loading, previous, previous_inner)
-    return target
-
-
-def _swap(
-    spark: SparkSession, target: str, target_inner: str, loading: str, previous: str, previous_inner: str
-) -> None:
     spark.sql(f"DROP TABLE IF EXISTS {previous}")
     if spark.catalog.tableExists(target):
         spark.sql(f"ALTER TABLE {target} RENAME TO {previous_inner}")
     spark.sql(f"ALTER TABLE {loading} RENAME TO {target_inner}")
     spark.sql(f"DROP TABLE IF EXISTS {previous}")
+    return target

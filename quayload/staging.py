@@ -214,25 +214,25 @@ def typed_load(
         .option("columnNameOfCorruptRecord", CORRUPT)
         .csv(f"{root}/{spec.staging_path}")
     )
-    # The reader checks only the columns a query uses, so a query for one column
-    # would take rows whose other columns are bad. A count over all columns
-    # keeps every one of them in the parse, whatever is selected later.
-    blank = reduce(Column.__and__, [column(name).isNull() for name in names])
-    whole = staged.select("*", F.col("_metadata.file_path").alias(SOURCE)).observe(
-        f"typed_load_{uuid.uuid4().hex}",
-        F.count_if(blank).alias("blank"),
-        F.count(CORRUPT).alias("corrupt"),
-    )
-
     converted = [_convert(field, fmt) for field in fields]
     misfit = reduce(Column.__or__, [flag for _, flag in converted], column(CORRUPT).isNotNull())
     as_read = F.struct(*[column(name) for name in names])
     rendered = F.to_csv(as_read, {k: v for k, v in fmt.options().items() if k not in FILE_OPTIONS})
-    parsed = whole.select(
+    parsed = staged.select(
         *[value.alias(name) for (value, _), name in zip(converted, names)],
         misfit.alias(MISFIT),
-        F.coalesce(column(CORRUPT), rendered).alias(RAW_RECORD),
-        column(SOURCE),
+        F.when(misfit, F.coalesce(column(CORRUPT), rendered)).alias(RAW_RECORD),
+        F.when(misfit, F.input_file_name()).alias(SOURCE),
+    )
+    # The reader checks only the columns a query uses, so a query for one column
+    # would take rows whose other columns are bad. Counting over all columns
+    # keeps every one of them in the parse, whatever is selected later. It also
+    # keeps filters above the conversions, which are then made once per row.
+    blank = reduce(Column.__and__, [column(name).isNull() for name in names])
+    parsed = parsed.observe(
+        f"typed_load_{uuid.uuid4().hex}",
+        F.count_if(column(MISFIT)).alias("misfits"),
+        F.count_if(blank).alias("blank"),
     )
     return TypedLoad(parsed, names)
 

@@ -1,0 +1,144 @@
+from __future__ import annotations
+
+import os
+import uuid
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from quayload.operators.enrich import prepare_lookup
+from quayload.plans import refresh
+from quayload.plans.refresh import (
+    DIVERT,
+    RowsLost,
+    publish_environments,
+    publish_partitions,
+    publish_staged,
+    refresh_geocoded,
+    refresh_records,
+    refresh_table,
+)
+from quayload.sidecar import write_sidecar
+from quayload.sinks.publish import ServingArea
+from quayload.sources.records import land_records
+from quayload.sources.relational import CatalogSource
+from quayload.spec import TEST, TableSpec
+from quayload.staging import StagedTable, stage_table
+
+
+@pytest.fixture
+def area(tmp_path):
+    return ServingArea(str(tmp_path / "served"), f"r{uuid.uuid4().hex[:8]}_")
+
+
+@pytest.fixture
+def mounted(spark, tmp_path):
+    schema = f"s{uuid.uuid4().hex[:8]}"
+    spark.sql(f"CREATE DATABASE gis_{schema} LOCATION '{tmp_path}/mounted'")
+    spark.range(100).withColumn("v", F.concat(F.lit("row\n"), "id")).write.saveAsTable(f"gis_{schema}.t")
+    return schema
+
+
+def test_table_refresh_is_repeatable(spark, tmp_path, area, mounted):
+    spec = TableSpec(mounted, "t", readers=("reader",), keys=("id",))
+    for _ in range(2):
+        done = refresh_table(spark, spec, CatalogSource(), str(tmp_path), area)
+        assert (done.staged.rows, done.rows, done.rejects) == (100, 100, 0)
+        assert spark.table(done.name).where("v = concat('row\n', id)").count() == 100
+
+
+def test_unpublished_table_stops_after_staging(spark, tmp_path, area, mounted):
+    done = refresh_table(spark, TableSpec(mounted, "t", publish=False), CatalogSource(), str(tmp_path), area)
+    assert done.name is None and done.staged.rows == 100
+    assert os.path.exists(f"{tmp_path}/staging/{mounted}/t.csv")
+    assert not spark.catalog.databaseExists(area.database(done.staged.spec))
+
+
+def test_records_refresh_per_environment(spark, tmp_path, area):
+    served = {}
+    for environment, count in ((TEST, 3), ("production", 5)):
+        pages = str(tmp_path / f"pages-{environment}")
+        rows = spark.range(count).withColumn("tags", F.array(F.lit("x"), F.lit(None)))
+        land_records(rows, pages)
+        spec = TableSpec("ppr", "days", environment=environment, object_id=25)
+        served[environment] = refresh_records(spark, spec, pages, str(tmp_path), area, rows.schema)
+    assert "ppr_test" in served[TEST].name and "ppr_test" not in served["production"].name
+    assert spark.table(served[TEST].name).count() == 3
+    assert spark.table(served["production"].name).where("tags[0] = 'x'").count() == 5
+
+
+def test_environments_need_one_source_each(spark, tmp_path, area):
+    spec = TableSpec("s", "t")
+    with pytest.raises(ValueError, match="two sources"):
+        publish_environments(spark, [(spec, spark.range(1)), (spec, spark.range(2))], str(tmp_path), area)
+
+
+def test_geocoded_refresh(spark, tmp_path, area):
+    rows = spark.createDataFrame([(1, "1 Main st."), (2, None), (3, "2 oak")], "id int, street string")
+    reference = spark.createDataFrame([(1, "1 MAIN ST", 1.5)], "aid int, address string, lat double")
+    lookup = prepare_lookup(reference, ["address"], ["lat"], "aid", str(tmp_path / "lookup"))
+    given = (lookup, ["street"], ["lat"], str(tmp_path), area)
+    done = refresh_geocoded(spark, TableSpec("a", "in"), TableSpec("a", "out"), rows, *given, removed=["street"])
+    assert sorted(map(tuple, spark.table(done.name).collect())) == [(1, 1.5), (2, None), (3, None)]
+    assert os.path.exists(f"{tmp_path}/staging/a/in.csv") and os.path.exists(f"{tmp_path}/staging/a/out.csv")
+    with pytest.raises(ValueError, match="another name"):
+        refresh_geocoded(spark, TableSpec("a", "in"), TableSpec("a", "in"), rows, *given)
+
+
+def stage_with_misfits(spark, root, spec):
+    """Staged text of which a third does not fit the sidecar."""
+    text = spark.range(9).select(
+        F.col("id").cast("string").alias("id"),
+        F.when(F.col("id") % 3 == 0, F.lit("n/a")).otherwise(F.col("id").cast("string")).alias("n"),
+    )
+    staged = stage_table(text, spec, root)
+    write_sidecar(spark, T.StructType.fromDDL("id bigint, n int"), spec, root)
+    return staged
+
+
+@pytest.mark.parametrize("keys", [(), ("n", "id")])
+def test_misfits_fail_or_are_diverted(spark, tmp_path, area, keys):
+    spec, root = TableSpec("s", "t", keys=keys), str(tmp_path)
+    rows = spark.range(2).withColumn("n", F.lit(1))
+    good = publish_staged(spark, stage_table(rows, spec, root), root, area)
+    staged = stage_with_misfits(spark, root, spec)
+    with pytest.raises(Exception, match="row does not fit"):
+        publish_staged(spark, staged, root, area)
+    assert spark.table(good.name).count() == 2
+
+    done = publish_staged(spark, staged, root, area, on_misfit=DIVERT)
+    assert (done.rows, done.rejects) == (6, 3)
+    assert spark.table(done.name).count() == 6
+    raw = spark.read.parquet(f"{root}/{spec.rejects_path}").select("raw_record").collect()
+    assert sorted(row[0] for row in raw) == ["0,n/a", "3,n/a", "6,n/a"]
+
+    # Staged by another tool: sizes are not known, the outcome is the same.
+    foreign = StagedTable(spec, staged.path)
+    assert publish_staged(spark, foreign, root, area, on_misfit=DIVERT).rejects == 3
+    with pytest.raises(ValueError):
+        publish_staged(spark, staged, root, area, on_misfit="ignore")
+
+
+@pytest.mark.parametrize("on_misfit", ["fail", DIVERT])
+def test_lost_rows_are_noticed(spark, tmp_path, area, on_misfit):
+    spec, root = TableSpec("s", "t"), str(tmp_path)
+    good = publish_staged(spark, stage_table(spark.range(2), spec, root), root, area)
+    staged = stage_table(spark.range(5), spec, root)
+    short = StagedTable(spec, staged.path, rows=6, bytes=staged.bytes)
+    with pytest.raises(RowsLost):
+        publish_staged(spark, short, root, area, on_misfit)
+    assert spark.table(good.name).count() == 2
+
+
+def test_partitions_follow_the_size():
+    def partitions(size):
+        return publish_partitions(StagedTable(TableSpec("s", "t"), "path", 1, size), 8)
+
+    assert publish_partitions(StagedTable(TableSpec("s", "t"), "path"), 8) is None
+    assert partitions(0) == 1
+    assert partitions(1000) == 1
+    assert partitions(12 * 1024**2) == 3
+    assert partitions(1024**3) == 8
+    assert partitions(100 * refresh.PARTITION_BYTES) == 100
+    assert partitions(100 * 1024**4) == refresh.MOST_PARTITIONS
