@@ -3,9 +3,9 @@
 The reference is prepared once: one row per normalised address, written to the
 shared folder together with its measured size. That size decides the join. A
 reference that fits is broadcast, and the input is not shuffled at all. Beyond
-the bound the input is shuffled by key, with its most frequent keys and its
-rows without a key taken out of the way first, so that no task receives more
-than its share however the keys are distributed.
+the bound the input is shuffled by key, with its heavy keys and its rows
+without a key taken out of the way first, so that no task receives more than
+its share however the keys are distributed.
 """
 
 from __future__ import annotations
@@ -26,9 +26,11 @@ JOIN_KEY = "_quayload_join_key"
 
 # An index of this size fits beside the tasks of any executor worth using.
 BROADCAST_BYTES = 128 * 1024 * 1024
-# After taking out the N most frequent keys, no other key can have more than
-# one row in N + 1.
-HEAVY_KEYS = 1000
+# A key is heavy if it alone would make a shuffle task slow. Only the most
+# frequent are singled out: after N of them no other key can have more than one
+# row in N + 1, which a join task can take, or skew handling split, in its stride.
+HEAVY_ROWS = 100_000
+HEAVY_KEYS = 10_000
 
 
 @dataclass(frozen=True)
@@ -100,10 +102,14 @@ def _join_broadcast(keyed: DataFrame, lookup: AddressLookup, names: Sequence[str
     return keyed.join(F.broadcast(small), KEY, "left")
 
 
-def heavy_keys(keyed: DataFrame, limit: int = HEAVY_KEYS) -> DataFrame:
-    """The most frequent keys, counted over all rows with map-side combining."""
+def heavy_keys(keyed: DataFrame, rows: int = HEAVY_ROWS, limit: int = HEAVY_KEYS) -> DataFrame:
+    """The most frequent keys of at least ``rows`` rows, at most ``limit`` of them.
+
+    Counted over all rows, with map-side combining.
+    """
     counts = keyed.where(column(KEY).isNotNull()).groupBy(KEY).count()
-    return counts.orderBy(F.desc("count"), KEY).limit(limit).select(KEY)
+    heavy = counts.where(F.col("count") >= rows)
+    return heavy.orderBy(F.desc("count"), KEY).limit(limit).select(KEY)
 
 
 def spread_keys(keyed: DataFrame, heavy: DataFrame) -> DataFrame:
@@ -123,14 +129,14 @@ def spread_keys(keyed: DataFrame, heavy: DataFrame) -> DataFrame:
 
 
 def _join_shuffled(
-    keyed: DataFrame, lookup: AddressLookup, names: Sequence[str], path: str
+    keyed: DataFrame, lookup: AddressLookup, names: Sequence[str], path: str, heavy_rows: int
 ) -> DataFrame:
     """Shuffle join that neither a hot key nor rows without a key can skew.
 
-    The most frequent keys are written with their locations first: at most
+    The heavy keys are written with their locations first: at most
     ``HEAVY_KEYS`` rows, so they can be broadcast whatever the input is.
     """
-    heavy_keys(keyed).join(
+    heavy_keys(keyed, heavy_rows).join(
         lookup.table.select(KEY, _found(names)), KEY, "left"
     ).write.mode("errorifexists").parquet(path)
     heavy = keyed.sparkSession.read.parquet(path).select(
@@ -174,10 +180,11 @@ def attach_location(
     location_fields: Sequence[str],
     broadcast_bytes: int = BROADCAST_BYTES,
     path: str | None = None,
+    heavy_rows: int = HEAVY_ROWS,
 ) -> DataFrame:
     """Left join: every input row once, with a location struct that is null if not found.
 
-    ``path`` is a new folder in shared storage for the frequent keys; it is
+    ``path`` is a new folder in shared storage for the heavy keys; it is
     needed when the lookup is larger than ``broadcast_bytes``.
     """
     _require(query_fields, df.columns, "query field")
@@ -186,7 +193,7 @@ def attach_location(
     if lookup.bytes <= broadcast_bytes:
         joined = _join_broadcast(keyed, lookup, location_fields)
     elif path:
-        joined = _join_shuffled(keyed, lookup, location_fields, path)
+        joined = _join_shuffled(keyed, lookup, location_fields, path, heavy_rows)
     else:
         raise ValueError("the lookup is too large to broadcast and no path was given")
     return joined.select(*[column(name) for name in df.columns], FOUND)
@@ -198,13 +205,13 @@ def geocode_enrich(
     query_fields: Sequence[str],
     location_fields: Sequence[str],
     removed: Sequence[str] | None = None,
-    broadcast_bytes: int = BROADCAST_BYTES,
-    path: str | None = None,
+    **join: object,
 ) -> DataFrame:
     """Add ``location_fields`` to every row of ``df``, then drop ``removed``.
 
     Addresses match when their normalised texts are equal; see
     :func:`compose_query_key`. Rows that match nothing keep null locations.
+    ``join`` are the join options of :func:`attach_location`.
     """
-    found = attach_location(df, lookup, query_fields, location_fields, broadcast_bytes, path)
+    found = attach_location(df, lookup, query_fields, location_fields, **join)
     return remove_fields(select_location_fields(found, df.columns, location_fields), removed)

@@ -202,7 +202,7 @@ def q_geocode_enrich_shuffled(run: Run) -> DataFrame:
     """The same result by the join for references too large to broadcast."""
     return geocode_enrich(
         run.addresses(), run.lookup(), QUERY_FIELDS, ("lat", "lon", "shape"),
-        broadcast_bytes=0, path=f"{run.root}/heavy",
+        broadcast_bytes=0, path=f"{run.root}/heavy", heavy_rows=2,
     )
 
 

@@ -1,7 +1,7 @@
 """Tables from an application's record pages, landed as JSON files.
 
 A page is one JSON object whose ``records`` field is a list of record objects.
-Each line of a landed file is one page.
+Each line of a landed file is one page, or each file is one.
 """
 
 from __future__ import annotations
@@ -28,6 +28,7 @@ def extract_records(
     record: T.StructType | None = None,
     values_in: str | None = None,
     nested_as_json: bool = False,
+    page_per_file: bool = False,
 ) -> DataFrame:
     """One row per record of all landed pages.
 
@@ -35,9 +36,10 @@ def extract_records(
     from all pages. ``values_in`` names the field of a record that holds its
     values, for applications that wrap them (``{"id": …, "fields": {…}}``).
     Nested values are kept, or become JSON text with ``nested_as_json``.
+    ``page_per_file`` reads pages that are spread over several lines.
     A page that is not valid JSON fails the read instead of losing its records.
     """
-    reader = spark.read.options(mode="FAILFAST", **TIME_OPTIONS)
+    reader = spark.read.options(mode="FAILFAST", multiLine=page_per_file, **TIME_OPTIONS)
     if record is not None:
         reader = reader.schema(_page_schema(record, values_in))
     rows = reader.json(pages).select(F.inline(RECORDS))

@@ -38,6 +38,8 @@ RAW_RECORD = "_quayload_raw"
 CORRUPT = "_quayload_corrupt"
 # About what a number, date or timestamp takes in text.
 OTHER_TEXT_BYTES = 16
+# A staged file is closed after this many rows and another begun.
+FILE_ROWS = 10_000_000
 # Options about files, which rendering a single record has no use for.
 FILE_OPTIONS = ("header", "encoding", "multiLine", "lineSep")
 
@@ -133,11 +135,15 @@ def _text_bytes(text: DataFrame) -> Column:
     return reduce(Column.__add__, widths, F.lit(others + len(text.columns)).cast("bigint"))
 
 
-def stage_table(df: DataFrame, spec: TableSpec, root: str) -> StagedTable:
+def stage_table(
+    df: DataFrame, spec: TableSpec, root: str, compression: str | None = None
+) -> StagedTable:
     """Write ``df`` to its staging place, replacing what is there, with its sidecar.
 
     No shuffle: each task writes its own partition. Rows and bytes are counted
-    by the writing job itself.
+    by the writing job itself. ``df`` must not read the place it is staged to.
+    A ``compression`` saves space, but compressed files are read whole by one
+    task each, so it suits inputs that are already in moderate partitions.
     """
     check_schema(df.schema)
     counted = Observation()
@@ -148,7 +154,9 @@ def stage_table(df: DataFrame, spec: TableSpec, root: str) -> StagedTable:
         F.count(F.lit(1)).alias("rows"),
         F.coalesce(F.sum(_text_bytes(text)), F.lit(0)).alias("bytes"),
     )
-    writer = text.write.mode("overwrite").options(**LINES.options())
+    writer = text.write.mode("overwrite").options(**LINES.options(), maxRecordsPerFile=FILE_ROWS)
+    if compression:
+        writer = writer.option("compression", compression)
     # A lone blank field would be a blank line, which CSV readers skip.
     writer.option("quoteAll", len(text.columns) == 1).csv(path)
     write_sidecar(df.sparkSession, df.schema, spec, root)

@@ -49,7 +49,9 @@ def normal(text):
 
 
 def join_options(spark, shuffled):
-    return {"broadcast_bytes": 0, "path": new_area(spark, "heavy")} if shuffled else {}
+    if not shuffled:
+        return {}
+    return {"broadcast_bytes": 0, "path": new_area(spark, "heavy"), "heavy_rows": 2}
 
 
 def test_lookup_is_unique_and_measured(prepared):
@@ -118,8 +120,10 @@ def test_skewed_input_against_brute_force(spark, shuffled):
 def test_hot_and_missing_keys_are_spread(spark):
     keys = F.when(F.col("id") % 3 == 0, F.lit("HOT")).when(F.col("id") % 3 == 1, F.col("id").cast("string"))
     keyed = spark.range(9000, numPartitions=30).withColumn(KEY, keys)
-    heavy = heavy_keys(keyed, limit=1)
+    heavy = heavy_keys(keyed, rows=2)
     assert [row[0] for row in heavy.collect()] == ["HOT"]
+    assert heavy_keys(keyed, rows=4000).count() == 0
+    assert heavy_keys(keyed, rows=1, limit=1).collect() == heavy.collect()
     spread = spread_keys(keyed, heavy.withColumn(HEAVY, F.lit(True)))
     sizes = [row["count"] for row in spread.groupBy(JOIN_KEY).count().collect()]
     assert sum(sizes) == 9000

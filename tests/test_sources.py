@@ -153,6 +153,13 @@ def test_wrapped_values_and_inferred_schema(spark, tmp_path):
     assert extract_records(spark, pages, record, "fields").count() == 2
 
 
+def test_one_page_per_file(spark, tmp_path):
+    for page, ids in enumerate((["a", "b"], ["c"])):
+        (tmp_path / f"{page}.json").write_text(json.dumps({"records": [{"id": i} for i in ids]}, indent=2))
+    rows = extract_records(spark, str(tmp_path), RECORD, page_per_file=True)
+    assert sorted(row.id for row in rows.collect()) == ["a", "b", "c"]
+
+
 def test_a_broken_page_fails_instead_of_vanishing(spark, tmp_path):
     pages = write_pages(tmp_path / "pages", {"records": [{"id": "a"}]}, '{"records": [{"id": "b"')
     with pytest.raises(Exception, match="(?i)malformed"):

@@ -127,6 +127,13 @@ def test_empty_table(spark, tmp_path):
     assert round_trip(spark, narrowed, tmp_path).count() == 0
 
 
+def test_compressed_staging(spark, tmp_path):
+    df = spark.range(100).withColumn("v", F.lit("a\nb"))
+    staged = stage_table(df, SPEC, str(tmp_path), compression="gzip")
+    assert any(name.endswith(".csv.gz") for name in os.listdir(staged.path))
+    assert same(df, read_staged(spark, SPEC, str(tmp_path)))
+
+
 def test_restaging_replaces(spark, tmp_path):
     round_trip(spark, spark.range(10), tmp_path)
     back = round_trip(spark, spark.range(3).withColumn("x", F.lit("new")), tmp_path)
