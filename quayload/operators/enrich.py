@@ -123,25 +123,34 @@ def spread_keys(keyed: DataFrame, heavy: DataFrame) -> DataFrame:
     """
     cold = column(HEAVY).isNull() & column(KEY).isNotNull()
     partition = F.concat(F.lit("#"), F.spark_partition_id().cast("string"))
-    return keyed.join(F.broadcast(heavy), KEY, "left").withColumn(
+    return keyed.join(heavy, KEY, "left").withColumn(
         JOIN_KEY, F.when(cold, column(KEY)).otherwise(partition)
     )
 
 
-def _join_shuffled(
+def _write_heavy(
     keyed: DataFrame, lookup: AddressLookup, names: Sequence[str], path: str, heavy_rows: int
 ) -> DataFrame:
-    """Shuffle join that neither a hot key nor rows without a key can skew.
+    """Heavy keys with their locations, marked for broadcast if they are small.
 
-    The heavy keys are written with their locations first: at most
-    ``HEAVY_KEYS`` rows, so they can be broadcast whatever the input is.
+    There are at most ``HEAVY_KEYS``, but a location may be a large shape, so
+    their size is measured too. Should they not fit, Spark joins them another
+    way and splits skewed partitions as it runs.
     """
-    heavy_keys(keyed, heavy_rows).join(
-        lookup.table.select(KEY, _found(names)), KEY, "left"
+    measured = Observation()
+    located = heavy_keys(keyed, heavy_rows).join(lookup.table.select(KEY, _found(names)), KEY, "left")
+    located.observe(
+        measured, F.coalesce(F.sum(_width([KEY, FOUND])), F.lit(0)).alias("bytes")
     ).write.mode("errorifexists").parquet(path)
-    heavy = keyed.sparkSession.read.parquet(path).select(
-        KEY, column(FOUND).alias("heavy_location"), F.lit(True).alias(HEAVY)
-    )
+    heavy = keyed.sparkSession.read.schema(located.schema).parquet(path)
+    heavy = heavy.select(KEY, column(FOUND).alias("heavy_location"), F.lit(True).alias(HEAVY))
+    return F.broadcast(heavy) if measured.get["bytes"] <= BROADCAST_BYTES else heavy
+
+
+def _join_shuffled(
+    keyed: DataFrame, lookup: AddressLookup, names: Sequence[str], heavy: DataFrame
+) -> DataFrame:
+    """Shuffle join that neither a hot key nor rows without a key can skew."""
     right = lookup.table.select(column(KEY).alias(JOIN_KEY), _found(names).alias("cold_location"))
     return (
         spread_keys(keyed, heavy)
@@ -193,7 +202,8 @@ def attach_location(
     if lookup.bytes <= broadcast_bytes:
         joined = _join_broadcast(keyed, lookup, location_fields)
     elif path:
-        joined = _join_shuffled(keyed, lookup, location_fields, path, heavy_rows)
+        heavy = _write_heavy(keyed, lookup, location_fields, path, heavy_rows)
+        joined = _join_shuffled(keyed, lookup, location_fields, heavy)
     else:
         raise ValueError("the lookup is too large to broadcast and no path was given")
     return joined.select(*[column(name) for name in df.columns], FOUND)

@@ -36,8 +36,9 @@ MISFIT = "_quayload_misfit"
 SOURCE = "_quayload_source"
 RAW_RECORD = "_quayload_raw"
 CORRUPT = "_quayload_corrupt"
-# About what a number, date or timestamp takes in text.
-OTHER_TEXT_BYTES = 16
+# About what a timestamp, and what a number or date takes in text.
+TIME_BYTES = 26
+NUMBER_BYTES = 8
 # A staged file is closed after this many rows and another begun.
 FILE_ROWS = 10_000_000
 # Options about files, which rendering a single record has no use for.
@@ -125,14 +126,15 @@ def _to_text(field: T.StructField) -> Column:
 
 
 def _text_bytes(text: DataFrame) -> Column:
-    """Text columns by their length, others by what a number or date takes in text."""
-    widths = [
-        F.coalesce(F.octet_length(column(f.name)), F.lit(2))
-        for f in text.schema.fields
-        if isinstance(f.dataType, T.StringType)
-    ]
-    others = OTHER_TEXT_BYTES * (len(text.columns) - len(widths))
-    return reduce(Column.__add__, widths, F.lit(others + len(text.columns)).cast("bigint"))
+    """About how many bytes of text a row is; exact for text columns."""
+    known, widths = len(text.columns), []
+    for field in text.schema.fields:
+        if isinstance(field.dataType, T.StringType):
+            widths.append(F.coalesce(F.octet_length(column(field.name)), F.lit(2)))
+        else:
+            times = (T.TimestampType, T.TimestampNTZType)
+            known += TIME_BYTES if isinstance(field.dataType, times) else NUMBER_BYTES
+    return reduce(Column.__add__, widths, F.lit(known).cast("bigint"))
 
 
 def stage_table(

@@ -124,13 +124,25 @@ def test_hot_and_missing_keys_are_spread(spark):
     assert [row[0] for row in heavy.collect()] == ["HOT"]
     assert heavy_keys(keyed, rows=4000).count() == 0
     assert heavy_keys(keyed, rows=1, limit=1).collect() == heavy.collect()
-    spread = spread_keys(keyed, heavy.withColumn(HEAVY, F.lit(True)))
+    spread = spread_keys(keyed, F.broadcast(heavy.withColumn(HEAVY, F.lit(True))))
     sizes = [row["count"] for row in spread.groupBy(JOIN_KEY).count().collect()]
     assert sum(sizes) == 9000
     # Each input partition has 300 rows, 200 of them hot or without a key.
     assert max(sizes) == 200
 
 
+def test_heavy_keys_with_large_locations_are_not_broadcast(spark, monkeypatch):
+    df = spark.range(100, numPartitions=4).withColumn("street", F.concat(F.col("id") % 3, F.lit(" st")))
+    reference = spark.range(2).select("id", F.concat("id", F.lit(" ST")).alias("a"), F.repeat(F.lit("x"), 999).alias("shape"))
+    lookup = prepare_lookup(reference, ["a"], ["shape"], "id", new_area(spark, "lookup"))
+    expected = geocode_enrich(df, lookup, ["street"], ["shape"])
+    monkeypatch.setattr("quayload.operators.enrich.BROADCAST_BYTES", 1000)
+    monkeypatch.setattr("quayload.operators.enrich.F.broadcast", lambda _: pytest.fail("broadcast"))
+    located = geocode_enrich(df, lookup, ["street"], ["shape"], **join_options(spark, True))
+    assert located.count() == 100
+    assert not located.exceptAll(expected).take(1) and not expected.exceptAll(located).take(1)
+
+
 def test_plans_shuffle_only_past_the_bound(spark, prepared, capsys):
     path = new_area(spark, "input")
     spark.range(10).withColumn("street", F.lit("1 main st")).write.parquet(path)
