@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from quayload.spec import DIGIT_WORDS
+from quayload.spec import DIGIT_WORDS, quote
 
 # Each escape is a backslash and one letter, so decoding in reverse order is
 # unambiguous, and no encoded text can ever equal the null marker ``\N``.
@@ -18,7 +18,7 @@ LINE_ESCAPES = (("\\", "\\s"), LINE_FEED, ("\r", "\\r"), ("\0", "\\z"))
 
 def column(name: str) -> Column:
     """A column by its exact name, dots and spaces included."""
-    return F.col("`" + name.replace("`", "``") + "`")
+    return F.col(quote(name))
 
 
 def _replace(text: Column, pairs: Sequence[tuple[str, str]]) -> Column:

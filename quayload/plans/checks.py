@@ -23,16 +23,16 @@ from quayload.operators.enrich import (
     select_location_fields,
 )
 from quayload.plans.refresh import (
+    load_staged,
     publish_environments,
     refresh_geocoded,
     refresh_records,
     refresh_table,
 )
-from quayload.sinks.publish import ServingArea, lookup, publish_table, quote
-from quayload.sinks.warehouse import load_table
+from quayload.sinks.publish import ServingArea, lookup, publish_table
 from quayload.sources.records import extract_records, land_records
 from quayload.sources.relational import CatalogSource, extract_table
-from quayload.spec import PRODUCTION, TEST, TableSpec
+from quayload.spec import PRODUCTION, TEST, TableSpec, quote
 from quayload.staging import TIMESTAMP_NTZ_PATTERN, read_staged, stage_table, typed_load
 from quayload.workspace import new_area
 
@@ -228,8 +228,8 @@ def q_load_table(run: Run) -> DataFrame:
     run.spark.sql(
         f"CREATE DATABASE {quote(spec.warehouse_schema)} LOCATION '{run.root}/warehouse'"
     )
-    stage_table(run.table("supplier"), spec, run.root)
-    return run.spark.table(load_table(read_staged(run.spark, spec, run.root), spec))
+    staged = stage_table(run.table("supplier"), spec, run.root)
+    return run.spark.table(load_staged(run.spark, staged, run.root))
 
 
 def q_publish_table(run: Run) -> DataFrame:

@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from quayload.operators.enrich import AddressLookup, geocode_enrich
 from quayload.sinks.publish import ServingArea, activate, discard, write_version
+from quayload.sinks.warehouse import load_table
 from quayload.sources.records import extract_records
 from quayload.sources.relational import (
     CatalogSource,
@@ -97,6 +98,13 @@ def publish_staged(
     return Refresh(staged, activate(spark, version), version.rows, rejects)
 
 
+def load_staged(
+    spark: SparkSession, staged: StagedTable, root: str, catalog: str | None = None
+) -> str:
+    """Load a staged table into the warehouse mounted as ``catalog``; every row must fit."""
+    return load_table(read_staged(spark, staged.spec, root), staged.spec, catalog)
+
+
 def _finish(
     spark: SparkSession, staged: StagedTable, root: str, area: ServingArea, on_misfit: str
 ) -> Refresh:

@@ -25,6 +25,8 @@ PLAIN_TYPES = (
     T.TimestampType,
     T.TimestampNTZType,
 )
+# Working columns of this library have names that begin so.
+RESERVED = "_quayload_"
 NESTED_TYPES = (T.ArrayType, T.MapType, T.StructType)
 
 
@@ -47,6 +49,8 @@ def check_schema(schema: T.StructType) -> None:
     if not schema.fields:
         raise TypeError("a table without columns cannot be staged")
     for field in schema.fields:
+        if field.name.startswith(RESERVED):
+            raise TypeError(f"{field.name}: names beginning with {RESERVED} are reserved")
         check_stageable(field.dataType, field.name)
 
 

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from quayload.functions.text import column
-from quayload.spec import TableSpec
+from quayload.spec import TableSpec, quote
 
 SLOT = "_quayload_slot"
 PARQUET_TIMESTAMPS = "spark.sql.parquet.outputTimestampType"
@@ -58,10 +58,6 @@ class Version:
         return f"{quote(self.area.database(self.spec))}.{quote(f'{self.spec.table}__{self.label}')}"
 
 
-def quote(identifier: str) -> str:
-    return "`" + identifier.replace("`", "``") + "`"
-
-
 def _literal(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 

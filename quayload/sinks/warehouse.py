@@ -14,8 +14,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from quayload.sinks.publish import quote
-from quayload.spec import TableSpec
+from quayload.spec import TableSpec, quote
 
 LOADING = "__loading"
 PREVIOUS = "__previous"

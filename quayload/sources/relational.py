@@ -12,7 +12,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quayload.spec import TableSpec
+from quayload.spec import TableSpec, quote
 
 
 @dataclass(frozen=True)
@@ -143,7 +143,7 @@ class CatalogSource:
                 upperBound=split.upper,
                 numPartitions=str(split.partitions),
             )
-        return reader.table(".".join(f"`{part}`" for part in parts))
+        return reader.table(".".join(map(quote, parts)))
 
 
 def extract_table(

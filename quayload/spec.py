@@ -35,6 +35,11 @@ PRODUCTION = "production"
 TEST = "test"
 
 
+def quote(identifier: str) -> str:
+    """An identifier as SQL text, whatever characters it has."""
+    return "`" + identifier.replace("`", "``") + "`"
+
+
 def spell_schema_name(name: str) -> str:
     """``311`` becomes ``threeoneone``; a name that is not all digits is kept.
 

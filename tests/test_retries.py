@@ -9,9 +9,9 @@ from pyspark import TaskContext
 from pyspark.sql import functions as F
 
 from quayload.operators.enrich import geocode_enrich, prepare_lookup
-from quayload.sinks.publish import ServingArea, quote, write_version
+from quayload.sinks.publish import ServingArea, write_version
 from quayload.sinks.warehouse import load_table
-from quayload.spec import TableSpec
+from quayload.spec import TableSpec, quote
 from quayload.staging import read_staged, stage_table
 from quayload.workspace import new_area
 

@@ -13,11 +13,10 @@ from quayload.sinks.publish import (
     layout_by_keys,
     lookup,
     publish_table,
-    quote,
     write_version,
 )
 from quayload.sinks.warehouse import IncompleteLoad, jdbc_catalog_conf, load_table
-from quayload.spec import TableSpec
+from quayload.spec import TableSpec, quote
 
 LINEITEM = "/root/testdata/sf0.01/lineitem.parquet"
 

@@ -157,7 +157,7 @@ def test_large_staged_file_is_split(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
-@pytest.mark.parametrize("ddl", ["i interval day", "m map<int,string>", "a array<interval month>"])
+@pytest.mark.parametrize("ddl", ["i interval day", "m map<int,string>", "a array<interval month>", "_quayload_x int"])
 def test_types_without_a_staged_form_are_refused(spark, tmp_path, ddl):
     with pytest.raises(TypeError):
         stage_table(spark.createDataFrame([], ddl), SPEC, str(tmp_path))
