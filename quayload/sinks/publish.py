@@ -10,10 +10,11 @@ their readers are done.
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -23,6 +24,7 @@ from quayload.functions.text import column
 from quayload.spec import TableSpec, quote
 
 SLOT = "_quayload_slot"
+LABEL = re.compile(r"\d{8}t\d{6}_[0-9a-f]{8}")
 PARQUET_TIMESTAMPS = "spark.sql.parquet.outputTimestampType"
 # Small row groups let a bloom filter rule out most of a file for a key whose
 # values lie scattered; tables without such keys keep the format's default.
@@ -46,12 +48,15 @@ class ServingArea:
 
 @dataclass(frozen=True)
 class Version:
-    """One written, not necessarily activated, refresh of a table."""
+    """One written, not necessarily activated, refresh of a table.
+
+    ``rows`` is known to the run that wrote it.
+    """
 
     spec: TableSpec
     area: ServingArea
     label: str
-    rows: int
+    rows: int | None = None
 
     @property
     def name(self) -> str:
@@ -68,8 +73,15 @@ def new_label() -> str:
 
 @contextmanager
 def _timestamps_with_statistics(spark: SparkSession) -> Iterator[None]:
-    """Write timestamps as integers: the default form has no min and max to skip by."""
+    """Write timestamps as integers: the default form has no min and max to skip by.
+
+    Spark has this as a session setting only. Where the session already has it,
+    nothing is changed.
+    """
     before = spark.conf.get(PARQUET_TIMESTAMPS)
+    if before != "INT96":
+        yield
+        return
     spark.conf.set(PARQUET_TIMESTAMPS, "TIMESTAMP_MICROS")
     try:
         yield
@@ -124,11 +136,11 @@ def write_version(
     if spec.keys:
         df = layout_by_keys(df, spec.keys, partitions)
     df = df.observe(counted, F.count(F.lit(1)).alias("rows"))
-    version = Version(spec, area, new_label(), -1)
+    version = Version(spec, area, new_label())
     with _timestamps_with_statistics(spark):
         writer = df.write.format("parquet").options(**_key_options(spec.keys))
         writer.mode("errorifexists").saveAsTable(version.name)
-    return Version(spec, area, version.label, counted.get["rows"])
+    return replace(version, rows=counted.get["rows"])
 
 
 def activate(spark: SparkSession, version: Version) -> str:
@@ -144,6 +156,16 @@ def activate(spark: SparkSession, version: Version) -> str:
     return name
 
 
+def old_versions(spark: SparkSession, spec: TableSpec, area: ServingArea) -> list[Version]:
+    """Versions of a table that readers are not shown, the oldest first."""
+    shown = {row.key: row.value for row in spark.sql(f"SHOW TBLPROPERTIES {area.name(spec)}").collect()}
+    prefix = f"{spec.table}__"
+    tables = spark.catalog.listTables(quote(area.database(spec)))
+    labels = sorted(t.name.removeprefix(prefix) for t in tables if t.name.startswith(prefix))
+    written = [label for label in labels if LABEL.fullmatch(label)]
+    return [Version(spec, area, label) for label in written if label != shown["version"]]
+
+
 def discard(spark: SparkSession, version: Version) -> None:
     """Drop a version that is not shown to readers any more, with its files."""
     spark.sql(f"DROP TABLE IF EXISTS {version.name}")

@@ -30,6 +30,7 @@ CONFIG_READERS = "carto_users"
 CONFIG_KEYS = "indexes"
 CONFIG_OBJECT_ID = "knack_object_id"
 CONFIG_SOURCE = "knack_conn_id"
+CONFIG_TARGET = "carto_conn_id"
 
 PRODUCTION = "production"
 TEST = "test"
@@ -59,7 +60,8 @@ class TableSpec:
     ``schema`` and ``table`` identify it everywhere. ``keys`` are the columns
     readers look rows up by, the most used first; ``readers`` are recorded on
     the published table. ``environment`` is ``production`` or ``test``; a test
-    table lives under the schema name with the test suffix.
+    table lives under the schema name with the test suffix. ``target`` names
+    the serving area a config asks for, if it does; the caller resolves it.
     """
 
     schema: str
@@ -69,6 +71,7 @@ class TableSpec:
     keys: tuple[str, ...] = ()
     environment: str = PRODUCTION
     object_id: int | None = None
+    target: str | None = None
 
     def __post_init__(self) -> None:
         if not self.schema or not self.table:
@@ -114,6 +117,7 @@ def spec_from_config(schema: str, table: str, config: dict) -> TableSpec:
         keys=tuple(config.get(CONFIG_KEYS) or ()),
         environment=TEST if TEST in source else PRODUCTION,
         object_id=None if object_id is None else int(object_id),
+        target=config.get(CONFIG_TARGET),
     )
 
 

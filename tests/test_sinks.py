@@ -12,6 +12,7 @@ from quayload.sinks.publish import (
     discard,
     layout_by_keys,
     lookup,
+    old_versions,
     publish_table,
     write_version,
 )
@@ -82,6 +83,11 @@ def test_a_version_is_invisible_until_activated(spark, area):
     discard(spark, dropped)
     assert not spark.catalog.tableExists(dropped.name)
     assert spark.table(name).count() == 7
+    (old,) = old_versions(spark, spec, area)
+    assert spark.table(old.name).count() == 10
+    discard(spark, old)
+    assert old_versions(spark, spec, area) == []
+    assert spark.table(name).count() == 7
 
 
 def test_publishing_an_empty_table(spark, area):

@@ -49,13 +49,14 @@ def test_configs_become_specs(tmp_path):
         "schedule_interval: false # manual\nupload_to_carto: false\ncarto_users:\n  - reader\n"
     )
     (records / "days.yml").write_text(
-        "upload_to_carto: true\ncarto_users:\n  - reader\nknack_object_id: 25\nknack_conn_id: knack_test"
+        "upload_to_carto: true\ncarto_users:\n  - reader\nknack_object_id: 25\n"
+        "knack_conn_id: knack_test\ncarto_conn_id: first"
     )
     cases, zones = load_specs(tmp_path / "relational")
     assert cases == TableSpec("311", "cases", True, ("reader", "tiles"), ("status", "opened"))
     assert zones == TableSpec("311", "zones", False, ("reader",))
     (days,) = load_specs(tmp_path / "records")
-    assert days == TableSpec("ppr", "days", True, ("reader",), environment=TEST, object_id=25)
+    assert days == TableSpec("ppr", "days", True, ("reader",), environment=TEST, object_id=25, target="first")
 
 
 def test_spell_digits_column(spark):
