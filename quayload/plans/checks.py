@@ -33,7 +33,7 @@ from quayload.sinks.publish import ServingArea, lookup, publish_table
 from quayload.sources.records import extract_records, land_records
 from quayload.sources.relational import CatalogSource, extract_table
 from quayload.spec import PRODUCTION, TEST, TableSpec, quote
-from quayload.staging import TIMESTAMP_NTZ_PATTERN, read_staged, stage_table, typed_load
+from quayload.staging import TIMESTAMP_NTZ_PATTERN, TypedLoad, read_staged, stage_table, typed_load
 from quayload.workspace import new_area
 
 READERS = ("publicuser", "tileuser")
@@ -171,7 +171,7 @@ def q_stage_nested(run: Run) -> DataFrame:
     )
 
 
-def q_typed_load(run: Run) -> DataFrame:
+def _load_orders(run: Run) -> TypedLoad:
     """Orders as text where pending ones have no price yet, loaded with typed columns."""
     orders = run.table("orders")
     spec = TableSpec("sales", "orders")
@@ -186,8 +186,15 @@ def q_typed_load(run: Run) -> DataFrame:
         *[texts.get(name, F.col(name).cast("string")).alias(name) for name in orders.columns]
     )
     stage_table(landed, spec, run.root)
-    load = typed_load(run.spark, spec, run.root, orders.schema)
-    return load.rows.unionByName(load.rejects.select("raw_record"), allowMissingColumns=True)
+    return typed_load(run.spark, spec, run.root, orders.schema)
+
+
+def q_typed_load(run: Run) -> DataFrame:
+    return _load_orders(run).rows
+
+
+def q_typed_load_rejects(run: Run) -> DataFrame:
+    return _load_orders(run).rejects.select("raw_record")
 
 
 def q_compose_query_key(run: Run) -> DataFrame:
@@ -325,14 +332,11 @@ CHECKS: dict[str, tuple[Callable[[Run], DataFrame], str]] = {
         """SELECT vec_id, label, cast(generate_subscripts(embedding, 1) - 1 AS INTEGER) AS pos,
                cast(unnest(embedding) AS DOUBLE) AS value FROM embeddings""",
     ),
-    "typed_load": (
-        q_typed_load,
-        """SELECT *, NULL::VARCHAR AS raw_record
-           FROM orders WHERE o_orderstatus <> 'P'
-           UNION ALL
-           SELECT NULL, NULL, NULL, NULL, NULL, NULL,
-               o_orderkey || ',' || o_custkey || ',' || o_orderstatus || ',n/a,'
-               || strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S.%f') || ',' || o_orderpriority
+    "typed_load": (q_typed_load, "SELECT * FROM orders WHERE o_orderstatus <> 'P'"),
+    "typed_load_rejects": (
+        q_typed_load_rejects,
+        """SELECT o_orderkey || ',' || o_custkey || ',' || o_orderstatus || ',n/a,'
+               || strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S.%f') || ',' || o_orderpriority AS raw_record
            FROM orders WHERE o_orderstatus = 'P'""",
     ),
     "compose_query_key": (q_compose_query_key, f"SELECT p_partkey, {KEY_SQL} AS query_key FROM part"),

@@ -9,6 +9,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
+from quayload.spec import TableSpec
+from quayload.staging import read_staged, stage_table
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 TABLES = (
@@ -45,6 +47,16 @@ def test_query_agrees_with_sql(spark, duck, key):
     assert rows
 
 
+@pytest.mark.parametrize("name", TABLES)
+def test_every_table_survives_staging(spark, tmp_path, name):
+    df = spark.read.parquet(f"{SF_DIR}/{name}.parquet")
+    spec = TableSpec("given", name)
+    staged = stage_table(df, spec, str(tmp_path))
+    back = read_staged(spark, spec, str(tmp_path))
+    assert back.schema == df.schema and staged.rows == df.count()
+    assert not df.exceptAll(back).take(1) and not back.exceptAll(df).take(1)
+
+
 def test_entry(spark):
     df = entry_points.entry(spark)
     assert df.count() == 150

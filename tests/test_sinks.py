@@ -215,3 +215,11 @@ def test_jdbc_catalog_settings():
         "spark.sql.catalog.wh.user": "u",
         "spark.sql.catalog.wh.password": "p",
     }
+
+
+def test_spark_accepts_the_jdbc_catalog(spark, schema):
+    """As far as a session without any database driver gets."""
+    for key, value in jdbc_catalog_conf("nowhere", "jdbc:none:here", "java.lang.Object", {}).items():
+        spark.conf.set(key, value)
+    with pytest.raises(Exception, match="(?i)driver"):
+        load_table(spark.range(1), schema, "nowhere")

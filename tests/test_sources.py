@@ -68,6 +68,13 @@ def test_partitioned_over_jdbc():
     assert asked["dbtable"] == "gis_schema.table" and asked["fetchsize"] == "10000"
 
 
+@pytest.mark.parametrize("split", [None, ColumnSplit("id", "1", "9", 2), bucket_split("k", 2)])
+def test_spark_accepts_the_jdbc_options(spark, split):
+    """As far as a session without any database driver gets."""
+    with pytest.raises(Exception, match="No suitable driver"):
+        extract_table(spark, SPEC, JdbcSource("jdbc:none:here"), split)
+
+
 def test_projection_and_snapshot_over_jdbc():
     source = JdbcSource(URL, projection={"id": "id", "shape": "TO_WKT(shape)"}, snapshot="AS OF SCN 7")
     assert source.relation(SPEC) == "(SELECT id, TO_WKT(shape) AS shape FROM gis_schema.table AS OF SCN 7) src"
