@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from quayload.spec import DIGIT_WORDS, quote
+from quayload.functions.columns import column, combine
+from quayload.spec import DIGIT_WORDS
 
 # Each escape is a backslash and one letter, so decoding in reverse order is
 # unambiguous, and no encoded text can ever equal the null marker ``\N``.
@@ -16,11 +16,6 @@ LINE_FEED = ("\n", "\\n")
 LINE_ESCAPES = (("\\", "\\s"), LINE_FEED, ("\r", "\\r"), ("\0", "\\z"))
 
 
-def column(name: str) -> Column:
-    """A column by its exact name, dots and spaces included."""
-    return F.col(quote(name))
-
-
 def _replace(text: Column, pairs: Sequence[tuple[str, str]]) -> Column:
     """Replace in turn, but only what occurs: looking is far cheaper than replacing.
 
@@ -32,7 +27,7 @@ def _replace(text: Column, pairs: Sequence[tuple[str, str]]) -> Column:
     for old, new in pairs:
         everything = F.replace(everything, F.lit(old), F.lit(new))
     return (
-        F.when(reduce(Column.__or__, others), everything)
+        F.when(combine(Column.__or__, others), everything)
         .when(
             F.contains(text, F.lit(line_feed[0])),
             F.replace(text, F.lit(line_feed[0]), F.lit(line_feed[1])),

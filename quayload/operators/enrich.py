@@ -12,12 +12,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from quayload.functions.text import column, compose_query_key
+from quayload.functions.columns import column, combine
+from quayload.functions.text import compose_query_key
 
 KEY = "_quayload_key"
 FOUND = "_quayload_location"
@@ -52,7 +52,7 @@ def _require(names: Sequence[str], known: Sequence[str], what: str) -> None:
 def _width(names: Sequence[str]) -> Column:
     """Bytes a row of these columns takes in memory: words plus text."""
     texts = [F.coalesce(F.octet_length(column(name).cast("string")), F.lit(0)) for name in names]
-    return reduce(Column.__add__, texts) + F.lit(16 * (len(names) + 1))
+    return combine(Column.__add__, texts).cast("bigint") + F.lit(16 * (len(names) + 1))
 
 
 def prepare_lookup(

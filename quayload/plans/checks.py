@@ -261,8 +261,8 @@ def q_publish_keyed(run: Run) -> DataFrame:
 
 def q_publish_keyed_lookup(run: Run) -> DataFrame:
     name = _publish_lineitem(run)
-    by_part = lookup(run.spark, name, l_partkey=77).withColumn("looked_up", F.lit("l_partkey"))
-    by_order = lookup(run.spark, name, l_orderkey=77).withColumn("looked_up", F.lit("l_orderkey"))
+    by_part = lookup(run.spark, name, {"l_partkey": 77}).withColumn("looked_up", F.lit("l_partkey"))
+    by_order = lookup(run.spark, name, {"l_orderkey": 77}).withColumn("looked_up", F.lit("l_orderkey"))
     return by_part.unionByName(by_order)
 
 

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import re
 import uuid
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass, replace
 from datetime import datetime, timezone
@@ -20,7 +20,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from quayload.functions.text import column
+from quayload.functions.columns import column
 from quayload.spec import TableSpec, quote
 
 SLOT = "_quayload_slot"
@@ -178,9 +178,9 @@ def publish_table(
     return activate(df.sparkSession, write_version(df, spec, area, partitions))
 
 
-def lookup(spark: SparkSession, name: str, **values: object) -> DataFrame:
+def lookup(spark: SparkSession, name: str, values: Mapping[str, object]) -> DataFrame:
     """Rows of a published table whose key columns have the given values."""
     rows = spark.table(name)
     for key, value in values.items():
-        rows = rows.where(column(key) == F.lit(value))
+        rows = rows.where(column(key).isNull() if value is None else column(key) == F.lit(value))
     return rows

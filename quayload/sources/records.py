@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quayload.functions.text import column
+from quayload.functions.columns import column
 from quayload.staging import JSON_WRITE, TIME_OPTIONS
 
 RECORDS = "records"

@@ -11,13 +11,13 @@ from __future__ import annotations
 
 import uuid
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quayload.functions.text import column, escape_lines, unescape_lines
+from quayload.functions.columns import column, combine
+from quayload.functions.text import escape_lines, unescape_lines
 from quayload.sidecar import NESTED_TYPES, check_schema, read_sidecar, write_sidecar
 from quayload.spec import TableSpec
 
@@ -130,11 +130,12 @@ def _text_bytes(text: DataFrame) -> Column:
     known, widths = len(text.columns), []
     for field in text.schema.fields:
         if isinstance(field.dataType, T.StringType):
-            widths.append(F.coalesce(F.octet_length(column(field.name)), F.lit(2)))
+            width = F.coalesce(F.octet_length(column(field.name)), F.lit(2))
+            widths.append(width.cast("bigint"))
         else:
             times = (T.TimestampType, T.TimestampNTZType)
             known += TIME_BYTES if isinstance(field.dataType, times) else NUMBER_BYTES
-    return reduce(Column.__add__, widths, F.lit(known).cast("bigint"))
+    return combine(Column.__add__, [F.lit(known).cast("bigint"), *widths])
 
 
 def stage_table(
@@ -171,18 +172,21 @@ def _read_type(data_type: T.DataType) -> T.DataType:
     return T.StringType() if isinstance(data_type, as_text) else data_type
 
 
-def _convert(field: T.StructField, fmt: StagingFormat) -> tuple[Column, Column]:
-    """The typed value of a column as it was read, and whether its text does not fit."""
-    value, fits = column(field.name), F.lit(False)
+def _convert(field: T.StructField, fmt: StagingFormat) -> tuple[Column, Column | None]:
+    """The typed value of a column as it was read, and whether its text does not fit.
+
+    Where the reader itself has found that out, there is no second answer.
+    """
+    value = column(field.name)
     if isinstance(field.dataType, T.StringType):
-        return (unescape_lines(value) if fmt.escaped else value), fits
+        return (unescape_lines(value) if fmt.escaped else value), None
     if isinstance(field.dataType, NESTED_TYPES):
         wrapper = T.StructType(
             [T.StructField("v", field.dataType), T.StructField(JSON_BAD, T.StringType())]
         )
         text = unescape_lines(value) if fmt.escaped else value
         parsed = F.from_json(F.concat(F.lit('{"v":'), text, F.lit("}")), wrapper, JSON_READ)
-        return parsed["v"], F.coalesce(parsed[JSON_BAD].isNotNull(), fits)
+        return parsed["v"], F.coalesce(parsed[JSON_BAD].isNotNull(), F.lit(False))
     if isinstance(field.dataType, T.BinaryType):
         typed = F.try_to_binary(value, F.lit("base64"))
         return typed, value.isNotNull() & typed.isNull()
@@ -192,8 +196,8 @@ def _convert(field: T.StructField, fmt: StagingFormat) -> tuple[Column, Column]:
         whole = field.dataType.precision - field.dataType.scale
         typed = value.try_cast(field.dataType)
         exact = typed == value.try_cast(T.DecimalType(38, 38 - whole))
-        return typed, value.isNotNull() & ~F.coalesce(exact, fits)
-    return value, fits
+        return typed, value.isNotNull() & ~F.coalesce(exact, F.lit(False))
+    return value, None
 
 
 def typed_load(
@@ -225,7 +229,8 @@ def typed_load(
         .csv(f"{root}/{spec.staging_path}")
     )
     converted = [_convert(field, fmt) for field in fields]
-    misfit = reduce(Column.__or__, [flag for _, flag in converted], column(CORRUPT).isNotNull())
+    flags = [flag for _, flag in converted if flag is not None]
+    misfit = combine(Column.__or__, [column(CORRUPT).isNotNull(), *flags])
     as_read = F.struct(*[column(name) for name in names])
     rendered = F.to_csv(as_read, {k: v for k, v in fmt.options().items() if k not in FILE_OPTIONS})
     parsed = staged.select(
@@ -238,7 +243,7 @@ def typed_load(
     # would take rows whose other columns are bad. Counting over all columns
     # keeps every one of them in the parse, whatever is selected later. It also
     # keeps filters above the conversions, which are then made once per row.
-    blank = reduce(Column.__and__, [column(name).isNull() for name in names])
+    blank = combine(Column.__and__, [column(name).isNull() for name in names])
     parsed = parsed.observe(
         f"typed_load_{uuid.uuid4().hex}",
         F.count_if(column(MISFIT)).alias("misfits"),

@@ -90,6 +90,14 @@ def test_a_version_is_invisible_until_activated(spark, area):
     assert spark.table(name).count() == 7
 
 
+def test_looking_up_a_null_and_an_odd_name(spark, area):
+    df = spark.createDataFrame([(1, None), (2, "x")], "name int, `odd name` string")
+    name = publish_table(df, TableSpec("s", "t", keys=("name", "odd name")), area)
+    assert [row.name for row in lookup(spark, name, {"odd name": None}).collect()] == [1]
+    assert [row.name for row in lookup(spark, name, {"odd name": "x", "name": 2}).collect()] == [2]
+    assert lookup(spark, name, {"odd name": "x", "name": 1}).count() == 0
+
+
 def test_publishing_an_empty_table(spark, area):
     for keys in ((), ("id",)):
         name = publish_table(spark.range(0), TableSpec("s", "t", keys=keys), area)
@@ -119,17 +127,17 @@ def test_lookups_skip_most_of_a_keyed_table(spark, area):
     keyed = publish_table(lineitem, keyed_spec, area, partitions=8)
     for key, value in (("l_partkey", 77), ("l_orderkey", 77)):
         expected = lineitem.where(F.col(key) == value)
-        found = lookup(spark, keyed, **{key: value})
+        found = lookup(spark, keyed, {key: value})
         assert not found.exceptAll(expected).take(1) and found.count() == expected.count()
-    assert rows_scanned(lookup(spark, plain, l_partkey=77)) > total / 2
-    assert rows_scanned(lookup(spark, keyed, l_partkey=77)) < total / 4
+    assert rows_scanned(lookup(spark, plain, {"l_partkey": 77})) > total / 2
+    assert rows_scanned(lookup(spark, keyed, {"l_partkey": 77})) < total / 4
     assert rows_scanned(spark.table(keyed).where("l_partkey between 70 and 77")) < total / 4
     # Order 77 lies scattered over the files; bloom filters rule out those without it.
     files = spark.table(keyed).where("l_orderkey = 77").select(F.input_file_name()).distinct().count()
     assert files < 8
-    assert rows_scanned(lookup(spark, keyed, l_orderkey=77)) <= total * files / 8 * 1.5
+    assert rows_scanned(lookup(spark, keyed, {"l_orderkey": 77})) <= total * files / 8 * 1.5
     absent = lineitem.agg(F.max("l_orderkey")).first()[0] + 1
-    assert rows_scanned(lookup(spark, keyed, l_orderkey=absent)) == 0
+    assert rows_scanned(lookup(spark, keyed, {"l_orderkey": absent})) == 0
 
 
 def test_hot_keys_and_copies_are_cut_up(spark):

@@ -127,6 +127,24 @@ def test_empty_table(spark, tmp_path):
     assert round_trip(spark, narrowed, tmp_path).count() == 0
 
 
+def test_wide_table(spark, tmp_path):
+    df = spark.range(20).select(*[F.concat(F.lit("a\n"), F.col("id"), F.lit(f"{i}")).alias(f"c{i}") for i in range(400)])
+    assert same(df, round_trip(spark, df, tmp_path))
+
+
+def test_large_cells(spark, tmp_path):
+    df = spark.range(2).select("id", F.repeat(F.lit("ab\n\\"), 500_000).alias("text"))
+    assert same(df, round_trip(spark, df, tmp_path))
+
+
+def test_far_dates(spark, tmp_path):
+    df = spark.sql(
+        "SELECT make_date(10000, 1, 2) AS late, date'-0044-03-15' AS early,"
+        " timestamp_ntz'12345-01-02 03:04:05.6' AS stamp"
+    )
+    assert same(df, round_trip(spark, df, tmp_path))
+
+
 def test_compressed_staging(spark, tmp_path):
     df = spark.range(100).withColumn("v", F.lit("a\nb"))
     staged = stage_table(df, SPEC, str(tmp_path), compression="gzip")
