@@ -7,8 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from quayload.functions.columns import column, combine
-from quayload.spec import DIGIT_WORDS
+from quayload.functions.columns import column
+from quayload.spec import DIGIT_WORDS, quote
 
 # Each escape is a backslash and one letter, so decoding in reverse order is
 # unambiguous, and no encoded text can ever equal the null marker ``\N``.
@@ -16,35 +16,46 @@ LINE_FEED = ("\n", "\\n")
 LINE_ESCAPES = (("\\", "\\s"), LINE_FEED, ("\r", "\\r"), ("\0", "\\z"))
 
 
-def _replace(text: Column, pairs: Sequence[tuple[str, str]]) -> Column:
-    """Replace in turn, but only what occurs: looking is far cheaper than replacing.
+def _literal(text: str) -> str:
+    """SQL for a text that reads the same whatever the session's escape setting."""
+    return f"r'{text}'" if text.isprintable() else f"char({ord(text)})"
 
-    Most texts need nothing or line feeds only.
+
+def _replacing(pairs: Sequence[tuple[str, str]], line_feed: tuple[str, str]) -> str:
+    """SQL that replaces in turn, but only what occurs.
+
+    Looking for a text is far cheaper than replacing it, and most values need
+    nothing or line feeds only. ``{}`` stands for the column.
     """
-    line_feed = LINE_FEED if LINE_FEED in pairs else LINE_FEED[::-1]
-    others = [F.contains(text, F.lit(old)) for old, _ in pairs if old != line_feed[0]]
-    everything = text
-    for old, new in pairs:
-        everything = F.replace(everything, F.lit(old), F.lit(new))
-    return (
-        F.when(combine(Column.__or__, others), everything)
-        .when(
-            F.contains(text, F.lit(line_feed[0])),
-            F.replace(text, F.lit(line_feed[0]), F.lit(line_feed[1])),
-        )
-        .otherwise(text)
-    )
+    everything, only_feed = "{}", ""
+    for pair in pairs:
+        old, new = map(_literal, pair)
+        everything = f"replace({everything}, {old}, {new})"
+        if pair == line_feed:
+            only_feed = f"WHEN contains({{}}, {old}) THEN replace({{}}, {old}, {new})"
+    others = " OR ".join(f"contains({{}}, {_literal(old)})" for old, new in pairs if (old, new) != line_feed)
+    return f"CASE WHEN {others} THEN {everything} {only_feed} ELSE {{}} END"
 
 
-def escape_lines(text: Column) -> Column:
-    """Encode text so that it holds no line break, no NUL and no lone backslash."""
-    return _replace(text, LINE_ESCAPES)
+_ESCAPE = _replacing(LINE_ESCAPES, LINE_FEED)
+_UNESCAPE = "CASE WHEN contains({}, %s) THEN %s ELSE {} END" % (
+    _literal("\\"),
+    _replacing([pair[::-1] for pair in reversed(LINE_ESCAPES)], LINE_FEED[::-1]),
+)
+
+
+def escape_lines(name: str) -> Column:
+    """A text column encoded to hold no line break, no NUL and no lone backslash.
+
+    Built as one SQL text: a wide table has hundreds of these, and each would
+    otherwise take dozens of calls to the JVM to put together.
+    """
+    return F.expr(_ESCAPE.replace("{}", quote(name)))
 
 
-def unescape_lines(text: Column) -> Column:
+def unescape_lines(name: str) -> Column:
     """The inverse of :func:`escape_lines`."""
-    decoded = _replace(text, [(new, old) for old, new in reversed(LINE_ESCAPES)])
-    return F.when(F.contains(text, F.lit("\\")), decoded).otherwise(text)
+    return F.expr(_UNESCAPE.replace("{}", quote(name)))
 
 
 def compose_query_key(fields: Sequence[str]) -> Column:

@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from quayload.functions.columns import column, combine
 from quayload.functions.text import escape_lines, unescape_lines
 from quayload.sidecar import NESTED_TYPES, check_schema, read_sidecar, write_sidecar
-from quayload.spec import TableSpec
+from quayload.spec import TableSpec, quote
 
 TIMESTAMP_NTZ_PATTERN = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 TIMESTAMP_PATTERN = TIMESTAMP_NTZ_PATTERN + "XXX"
@@ -114,15 +114,24 @@ class TypedLoad:
         )
 
 
-def _to_text(field: T.StructField) -> Column:
-    value = column(field.name)
-    if isinstance(field.dataType, NESTED_TYPES):
-        value = escape_lines(F.to_json(value, JSON_WRITE))
-    elif isinstance(field.dataType, T.StringType):
-        value = escape_lines(value)
-    elif isinstance(field.dataType, T.BinaryType):
-        value = F.base64(value)
-    return value.alias(field.name)
+def _to_text(df: DataFrame) -> DataFrame:
+    """Columns as they are staged: nested ones as JSON, and text on one line."""
+    as_json = {
+        f.name: F.to_json(column(f.name), JSON_WRITE)
+        for f in df.schema.fields
+        if isinstance(f.dataType, NESTED_TYPES)
+    }
+    if as_json:
+        df = df.select(*[as_json.get(name, column(name)).alias(name) for name in df.columns])
+
+    def text(field: T.StructField) -> Column:
+        if isinstance(field.dataType, T.StringType):
+            return escape_lines(field.name).alias(field.name)
+        if isinstance(field.dataType, T.BinaryType):
+            return F.base64(column(field.name)).alias(field.name)
+        return column(field.name)
+
+    return df.select(*[text(field) for field in df.schema.fields])
 
 
 def _text_bytes(text: DataFrame) -> Column:
@@ -130,8 +139,7 @@ def _text_bytes(text: DataFrame) -> Column:
     known, widths = len(text.columns), []
     for field in text.schema.fields:
         if isinstance(field.dataType, T.StringType):
-            width = F.coalesce(F.octet_length(column(field.name)), F.lit(2))
-            widths.append(width.cast("bigint"))
+            widths.append(F.expr(f"bigint(coalesce(octet_length({quote(field.name)}), 2))"))
         else:
             times = (T.TimestampType, T.TimestampNTZType)
             known += TIME_BYTES if isinstance(field.dataType, times) else NUMBER_BYTES
@@ -151,7 +159,7 @@ def stage_table(
     check_schema(df.schema)
     counted = Observation()
     path = f"{root}/{spec.staging_path}"
-    text = df.select(*[_to_text(field) for field in df.schema.fields])
+    text = _to_text(df)
     text = text.observe(
         counted,
         F.count(F.lit(1)).alias("rows"),
@@ -179,12 +187,12 @@ def _convert(field: T.StructField, fmt: StagingFormat) -> tuple[Column, Column |
     """
     value = column(field.name)
     if isinstance(field.dataType, T.StringType):
-        return (unescape_lines(value) if fmt.escaped else value), None
+        return (unescape_lines(field.name) if fmt.escaped else value), None
     if isinstance(field.dataType, NESTED_TYPES):
         wrapper = T.StructType(
             [T.StructField("v", field.dataType), T.StructField(JSON_BAD, T.StringType())]
         )
-        text = unescape_lines(value) if fmt.escaped else value
+        text = unescape_lines(field.name) if fmt.escaped else value
         parsed = F.from_json(F.concat(F.lit('{"v":'), text, F.lit("}")), wrapper, JSON_READ)
         return parsed["v"], F.coalesce(parsed[JSON_BAD].isNotNull(), F.lit(False))
     if isinstance(field.dataType, T.BinaryType):
@@ -243,7 +251,7 @@ def typed_load(
     # would take rows whose other columns are bad. Counting over all columns
     # keeps every one of them in the parse, whatever is selected later. It also
     # keeps filters above the conversions, which are then made once per row.
-    blank = combine(Column.__and__, [column(name).isNull() for name in names])
+    blank = F.expr(" AND ".join(f"{quote(name)} IS NULL" for name in names))
     parsed = parsed.observe(
         f"typed_load_{uuid.uuid4().hex}",
         F.count_if(column(MISFIT)).alias("misfits"),
