@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from quayload.llm import exact_dedup, mixing
+from quayload.llm import byte_bpe, exact_dedup, language_id, mixing, quality, resharding
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
     "op2_mix_sources": mixing.op2_mix_sources,
+    "op3_language_id": language_id.op3_language_id,
+    "op6_reshard": resharding.op6_reshard,
+    "op8_quality": quality.op8_quality,
+    "op9_byte_bpe": byte_bpe.op9_byte_bpe,
 }
 SQL = {"op1_exact_dedup": exact_dedup.SQL, "op2_mix_sources": mixing.SQL}
