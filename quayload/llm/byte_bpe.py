@@ -12,6 +12,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import json
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,9 +25,9 @@ from pyspark.sql import types as T
 from quayload.llm.common import documents, in_batches, only
 
 #: Text handled at once by a task.
-BATCH_BYTES = 2 << 20
+BATCH_BYTES = 1 << 20
 #: Pieces a worker remembers between batches.
-MEMORY = 400_000
+MEMORY = 150_000
 
 
 def byte_alphabet() -> list[str]:
@@ -83,12 +84,12 @@ class ByteBpe:
 
         self.model = Tokenizer.from_str(model)
         self.find = regex.compile(pattern).findall
-        self.memory: dict[str, tuple[int, ...]] = {}
+        self.memory: dict[str, bytes] = {}
         vocabulary = self.model.get_vocab(with_added_tokens=False)
         self.bytes_of = {i: bytes(map(FROM_ALPHABET.__getitem__, map(ord, token))) for token, i in vocabulary.items()}
 
-    def encode_pieces(self, pieces: list[str]) -> list[tuple[int, ...]]:
-        """Ids of each piece; different pieces are encoded once."""
+    def encode_pieces(self, pieces: list[str]) -> list[bytes]:
+        """Ids of each piece, little-endian 32-bit; different pieces are encoded once."""
         memory = self.memory
         new = [piece for piece in set(pieces) if piece not in memory]
         if len(memory) + len(new) > MEMORY:
@@ -97,11 +98,11 @@ class ByteBpe:
         if new:
             written = [piece.encode().decode("latin-1").translate(TO_ALPHABET) for piece in new]
             for piece, found in zip(new, self.model.encode_batch(written, add_special_tokens=False), strict=True):
-                memory[piece] = tuple(found.ids)
+                memory[piece] = struct.pack(f"<{len(found.ids)}I", *found.ids)
         return list(map(memory.__getitem__, pieces))
 
     def encode(self, text: str) -> list[int]:
-        return [i for ids in self.encode_pieces(self.find(text)) for i in ids]
+        return np.frombuffer(b"".join(self.encode_pieces(self.find(text))), "<u4").tolist()
 
     def decode_bytes(self, ids) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))
@@ -162,10 +163,11 @@ def encode_documents(docs: DataFrame, model: Model, with_ids: bool = True) -> Da
         flat = codec.encode_pieces([piece for found in pieces for piece in found])
         counts, hashes, decoded, all_ids, at = [], [], [], [], 0
         for found in pieces:
-            ids = np.fromiter((i for part in flat[at : at + len(found)] for i in part), "<u4")
+            packed = b"".join(flat[at : at + len(found)])
+            ids = np.frombuffer(packed, "<u4")
             at += len(found)
             counts.append(len(ids))
-            hashes.append(hashlib.sha256(ids.tobytes()).hexdigest())
+            hashes.append(hashlib.sha256(packed).hexdigest())
             decoded.append(hashlib.sha256(codec.decode_bytes(ids.tolist())).hexdigest())
             if with_ids:
                 all_ids.append(ids.astype(np.int32))
