@@ -34,6 +34,13 @@ class Files:
             df.write.option("compression", "zstd").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def drop(self, *names: str) -> None:
+        """Delete tables that nothing reads any more."""
+        context = self.spark.sparkContext
+        for name in names:
+            path = context._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
+            path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
 
 @contextmanager
 def shuffles_dropped(spark: SparkSession) -> Iterator[None]:

@@ -182,10 +182,15 @@ def drop_copies(docs: DataFrame, files: Files, **sizes: int) -> DataFrame:
     """
     kept = exact_dedup(docs, files, **sizes).where("kept").select("doc_id", "text_sha256").distinct()
     kept = files.write(kept.toDF("_kept_id", "_kept_sha"), "kept")
-    marked = docs.withColumn("_sha", F.sha2(normalised(), 256))
-    found = marked.join(kept, marked["doc_id"].eqNullSafe(kept["_kept_id"]) & (marked["_sha"] == kept["_kept_sha"]))
-    again = Window.partitionBy("_kept_id", "_kept_sha").orderBy(F.length(text_of()).desc())
-    return found.withColumn("_nth", F.row_number().over(again)).where("_nth = 1").select(*docs.columns)
+    rows = docs.select(
+        F.struct(*[docs[c] for c in docs.columns]).alias("row"),
+        F.col("doc_id").alias("_id"),
+        F.sha2(normalised(), 256).alias("_sha"),
+        F.length(text_of()).alias("_length"),
+    )
+    found = rows.join(kept, rows["_id"].eqNullSafe(kept["_kept_id"]) & (rows["_sha"] == kept["_kept_sha"]))
+    again = Window.partitionBy("_kept_id", "_kept_sha").orderBy(F.col("_length").desc())
+    return found.withColumn("_nth", F.row_number().over(again)).where("_nth = 1").select("row.*")
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

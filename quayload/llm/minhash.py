@@ -25,8 +25,9 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
-from quayload.llm.common import Files, documents, in_batches, look_up, only
+from quayload.llm.common import Files, documents, in_batches, look_up, only, text_of
 from quayload.llm.graph import components
 from quayload.llm.substring_dedup import MULTIPLIERS, WordHashes, mixed, rolled
 
@@ -98,21 +99,23 @@ def index_keys(symbols: np.ndarray) -> np.ndarray:
 
 
 def with_signatures(docs: DataFrame, width: int) -> DataFrame:
-    """doc_id, n_shingles, set_key and signature (both null for empty sets) of each row."""
+    """doc_id, n_shingles, set_key (null for empty sets), signature and text_sha256 of each row."""
     schema = T.StructType(
         [
             T.StructField("doc_id", T.LongType()),
             T.StructField("n_shingles", T.LongType()),
             T.StructField("set_key", T.StringType()),
             T.StructField("signature", T.ArrayType(T.LongType())),
+            T.StructField("text_sha256", T.StringType()),
         ]
     )
 
     def make(table: pa.Table) -> Iterator[pa.Table]:
         memory = WordHashes()
-        counts, keys, symbols = [], [], []
+        counts, keys, symbols, shas = [], [], [], []
         for text in pc.fill_null(table["text"].cast(pa.large_string()), "").to_pylist():
             hashes = shingle_hashes(text, width, memory)
+            shas.append(hashlib.sha256(text.encode("utf-8", "surrogatepass")).hexdigest())
             counts.append(len(hashes))
             keys.append(hashlib.blake2b(hashes.tobytes(), digest_size=16).hexdigest() if len(hashes) else None)
             symbols.append(signature(hashes) if len(hashes) else np.zeros(SYMBOLS, np.int64))
@@ -124,6 +127,7 @@ def with_signatures(docs: DataFrame, width: int) -> DataFrame:
                 "n_shingles": pa.array(counts, pa.int64()),
                 "set_key": pa.array(keys, pa.string()),
                 "signature": pa.ListArray.from_arrays(ends, numbers.ravel()),
+                "text_sha256": pa.array(shas, pa.string()),
             }
         )
 
@@ -192,7 +196,7 @@ def _close(similarity: tuple[int, int]) -> Column:
 def near_documents(
     docs: DataFrame, files: Files, shingle: int = SHINGLE, similarity: tuple[int, int] = SIMILARITY
 ) -> DataFrame:
-    """A row per row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id, kept.
+    """A row per row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id, kept, text_sha256.
 
     Documents are linked if ``whole * intersection >= part * union`` for
     their sets of ``shingle``-word shingles and ``similarity`` (part, whole),
@@ -255,18 +259,33 @@ def near_documents(
     answers = look_up(named, ids, "root", "in_component", max(classes.count(), 1))
     answers = files.write(answers.select("set_key", "copies", "component_id"), "answers")
 
-    some = rows.where("set_key IS NOT NULL").select("doc_id", "n_shingles", "set_key")
-    found = look_up(some, answers, "set_key", "copies", max(rows.count(), 1)).select("doc_id", "n_shingles", "component_id")
-    none = rows.where("set_key IS NULL").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    files.drop("sets", "members", "placed", "left", "live", "mixed")
+    columns = ["doc_id", "n_shingles", "component_id", "text_sha256"]
+    some = rows.where("set_key IS NOT NULL").drop("signature")
+    found = look_up(some, answers, "set_key", "copies", max(rows.count(), 1)).select(*columns)
+    none = rows.where("set_key IS NULL").withColumn("component_id", F.col("doc_id")).select(*columns)
     return found.unionByName(none).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def drop_near_copies(docs: DataFrame, files: Files, **settings) -> DataFrame:
-    """The rows of ``docs`` with the smallest doc_id of their component, with all their columns."""
-    dropped = near_documents(docs, files, **settings).where("NOT kept").select(F.col("doc_id").alias("_dropped")).distinct()
-    dropped = files.write(dropped, "dropped")
-    return docs.join(dropped, docs["doc_id"].eqNullSafe(dropped["_dropped"]), "left_anti")
+    """One row of each component of ``docs``, that with the smallest doc_id, with all its columns.
+
+    Rows without a doc_id stay unless they are linked to one that has it; of
+    repeated rows one stays.
+    """
+    gone = near_documents(docs, files, **settings).where("NOT kept").select("doc_id", "text_sha256").distinct()
+    gone = files.write(gone.toDF("_gone_id", "_gone_sha"), "gone")
+    rows = docs.select(
+        F.struct(*[docs[c] for c in docs.columns]).alias("row"),
+        F.col("doc_id").cast("long").alias("_id"),
+        F.sha2(text_of(), 256).alias("_sha"),
+    )
+    same = rows["_id"].eqNullSafe(gone["_gone_id"]) & (rows["_sha"] == gone["_gone_sha"])
+    again = Window.partitionBy("_id", "_sha").orderBy(F.lit(0))
+    left = rows.join(gone, same, "left_anti").withColumn("_nth", F.row_number().over(again))
+    return left.where("_nth = 1 OR _id IS NULL").select("row.*")
 
 
 def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_documents(documents(spark, sf_dir), Files(spark, "minhash"))
+    found = near_documents(documents(spark, sf_dir), Files(spark, "minhash"))
+    return found.select("doc_id", "n_shingles", "component_id", "kept")

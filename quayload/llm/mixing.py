@@ -105,22 +105,27 @@ def leaf_budgets(leaves: DataFrame, mix: Mix) -> DataFrame:
     return parents.toDF("leaf", "share")
 
 
-def mix_sources(docs: DataFrame, mix: Mix, files: Files) -> DataFrame:
-    """How often each row of ``docs`` (doc_id, text and the levels) is taken.
+def _leaf(mix: Mix, levels: Mapping[str, Column] | None) -> Column:
+    made = levels or {}
+    return F.struct(*[(made[c] if c in made else F.col(c)).cast("string").alias(c) for c in mix.levels])
 
-    Returns a row per row: doc_id, the levels, n_tokens (words), leaf_tokens,
-    leaf_budget and taken. A leaf whose budget is e times its tokens and r more
-    takes every document e times; one more time those documents that begin
-    before token r in the order of the next epoch, which is by
-    ``md5(seed:epoch:doc_id)``, then doc_id. So a leaf exceeds its budget by
-    less than one document. Documents without words are taken in full epochs
-    only. Null values of a level are a value of their own, of weight
-    ``other``; null texts have no words; a null doc_id is hashed as empty.
-    Values of weight 0 get nothing. Rows with the same order key are counted
-    in the order of their tokens. An empty table gives an empty result.
+
+def _order(mix: Mix) -> Column:
+    """The place of a row in the epoch after its leaf's full ones."""
+    parts = [F.lit(str(mix.seed)), F.col("full").cast("string"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))]
+    return F.md5(F.concat_ws(":", *parts))
+
+
+def _slice(order: str) -> Column:
+    return F.substring(order, 1, SLICE_DIGITS)
+
+
+def plan_mix(rows: DataFrame, mix: Mix, files: Files) -> DataFrame:
+    """A row per leaf of ``rows`` (doc_id, leaf, n_tokens) with its budget and where its last epoch ends.
+
+    leaf, tokens, share, ``full`` epochs, ``rest`` tokens of one more, the
+    slice ``cut`` of the order in which the rest ends, and the tokens before it.
     """
-    leaf = F.struct(*[F.col(c).cast("string").alias(c) for c in mix.levels])
-    rows = files.write(docs.select("doc_id", leaf.alias("leaf"), n_tokens().alias("n_tokens")), "rows")
     leaves = files.write(rows.groupBy("leaf").agg(F.sum("n_tokens").alias("tokens")), "leaves")
     budgets = files.write(leaf_budgets(leaves, mix), "budgets")
     plan = leaves.join(budgets, "leaf", "left").withColumn("share", F.coalesce("share", F.lit(0).cast("long")))
@@ -132,33 +137,74 @@ def mix_sources(docs: DataFrame, mix: Mix, files: Files) -> DataFrame:
                 "rest": F.when(some, F.col("share") % F.col("tokens")).otherwise(0),
             }
         ),
-        "plan",
+        "shares",
     )
-    keyed = rows.join(plan, "leaf")
-    order = F.md5(F.concat_ws(":", F.lit(str(mix.seed)), F.col("full").cast("string"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
-    keyed = keyed.withColumn("order", order).withColumn("slice", F.substring("order", 1, SLICE_DIGITS))
-    slices = keyed.groupBy("leaf", "slice").agg(F.sum("n_tokens").alias("in_slice"))
+    keyed = rows.join(plan.select("leaf", "full"), "leaf").withColumn("slice", _slice(_order(mix)))
+    slices = keyed.groupBy("leaf", "slice").agg(F.sum("n_tokens").alias("held"))
     running = Window.partitionBy("leaf").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
-    slices = slices.withColumn("slice_start", F.coalesce(F.sum("in_slice").over(running), F.lit(0)))
-    placed = keyed.join(slices, ["leaf", "slice"])
-    within = Window.partitionBy("leaf", "slice").orderBy("order", F.col("doc_id").asc_nulls_last(), "n_tokens")
-    start = F.col("slice_start") + F.coalesce(F.sum("n_tokens").over(within.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    extra = ((start < F.col("rest")) & (F.col("n_tokens") > 0)).cast("int")
-    return placed.select(
+    slices = slices.withColumn("before", F.coalesce(F.sum("held").over(running), F.lit(0)))
+    cuts = slices.join(plan.select("leaf", "rest"), "leaf").where("before < rest AND rest <= before + held")
+    cuts = cuts.groupBy("leaf").agg(F.min(F.struct("slice", "before")).alias("cut"))
+    ends = plan.join(cuts, "leaf", "left")
+    return files.write(ends.select(*plan.columns, F.col("cut.slice").alias("cut"), F.col("cut.before").alias("before")), "plan")
+
+
+def _with_taken(rows: DataFrame, plan: DataFrame, mix: Mix) -> DataFrame:
+    """``rows`` (doc_id, leaf, n_tokens and more) with their leaf's plan and ``taken``.
+
+    Only the rows of the slice in which a leaf's rest ends are sorted.
+    """
+    keyed = rows.join(plan, "leaf").withColumn("order", _order(mix))
+    edge = F.coalesce(_slice("order") == F.col("cut"), F.lit(False))
+    inside = keyed.where(~edge).withColumn("extra", F.coalesce(_slice("order") < F.col("cut"), F.lit(False)))
+    within = Window.partitionBy("leaf").orderBy("order", F.col("doc_id").asc_nulls_last(), "n_tokens")
+    begun = F.coalesce(F.sum("n_tokens").over(within.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    cut = keyed.where(edge).withColumn("extra", F.col("before") + begun < F.col("rest"))
+    extra = (F.col("extra") & (F.col("n_tokens") > 0)).cast("int")
+    return inside.unionByName(cut).withColumn("taken", F.col("full").cast("int") + extra)
+
+
+def mix_sources(docs: DataFrame, mix: Mix, files: Files, levels: Mapping[str, Column] | None = None) -> DataFrame:
+    """How often each row of ``docs`` (doc_id, text and the levels) is taken.
+
+    ``levels``: expressions for those levels that are not columns of ``docs``.
+
+    Returns a row per row: doc_id, the levels, n_tokens (words), leaf_tokens,
+    leaf_budget and taken. A leaf whose budget is e times its tokens and r more
+    takes every document e times; one more time those documents that begin
+    before token r in the order of the next epoch, which is by
+    ``md5(seed:epoch:doc_id)``, then doc_id. So a leaf exceeds its budget by
+    less than one document. Documents without words are taken in full epochs
+    only. Null values of a level are a value of their own, of weight
+    ``other``; null texts have no words; a null doc_id is hashed as empty.
+    Values of weight 0 get nothing. Rows with the same order key are counted
+    in the order of their tokens. An empty table gives an empty result.
+    Other columns are ignored.
+    """
+    rows = files.write(docs.select("doc_id", _leaf(mix, levels).alias("leaf"), n_tokens().alias("n_tokens")), "rows")
+    return _with_taken(rows, plan_mix(rows, mix, files), mix).select(
         "doc_id",
         *[F.col(f"leaf.{c}").alias(c) for c in mix.levels],
         "n_tokens",
         F.col("tokens").alias("leaf_tokens"),
         F.col("share").alias("leaf_budget"),
-        (F.col("full").cast("int") + extra).alias("taken"),
+        "taken",
     )
 
 
-def with_domain(docs: DataFrame) -> DataFrame:
+def take_mix(docs: DataFrame, mix: Mix, files: Files, levels: Mapping[str, Column] | None = None) -> DataFrame:
+    """The rows of ``docs``, each as often as ``mix_sources`` takes it, with the columns of ``docs``."""
+    rows = files.write(docs.select("doc_id", _leaf(mix, levels).alias("leaf"), n_tokens().alias("n_tokens")), "rows")
+    plan = plan_mix(rows, mix, files)
+    whole = docs.select("doc_id", _leaf(mix, levels).alias("leaf"), n_tokens().alias("n_tokens"), F.struct(*[docs[c] for c in docs.columns]).alias("row"))
+    taken = _with_taken(whole, plan, mix).where("taken > 0")
+    return taken.select(F.explode(F.array_repeat("row", F.col("taken"))).alias("row")).select("row.*")
+
+
+def domain() -> Column:
     """The given tables have no domain; sources are put into three by their number."""
     number = F.expr("try_cast(regexp_extract(source, '([0-9]+)$', 1) AS bigint)")
-    domain = F.when(number % 3 == 0, "web").when(number % 3 == 1, "books").when(number % 3 == 2, "code")
-    return docs.withColumn("domain", domain)
+    return F.when(number % 3 == 0, "web").when(number % 3 == 1, "books").when(number % 3 == 2, "code")
 
 
 #: Production parameters of the query.
@@ -171,7 +217,7 @@ QUERY_MIX = Mix(
 
 
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mix_sources(with_domain(documents(spark, sf_dir)), QUERY_MIX, Files(spark, "mix_sources"))
+    return mix_sources(documents(spark, sf_dir), QUERY_MIX, Files(spark, "mix_sources"), {"domain": domain()})
 
 
 def _level_sql(name: str, below: str, path: list[str], parents: list[str], weight: str) -> str:

@@ -241,6 +241,22 @@ def score_documents(docs: DataFrame, labels: DataFrame, files: Files) -> DataFra
     return score_quality(stats, model).select("doc_id", "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
 
 
+def drop_rejected(docs: DataFrame, labels: DataFrame, files: Files) -> DataFrame:
+    """The rows of ``docs`` that are predicted to be good, with all their columns; no row is shuffled.
+
+    Learned from ``labels`` as in ``score_documents``.
+    """
+    model = train_quality(files.write(with_statistics(docs), "stats"), labels, files)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def make(table: pa.Table) -> Iterator[pa.Table]:
+        texts = pc.fill_null(table["text"].cast(pa.large_string()), "").to_pylist()
+        score = shared.value.score(np.array([statistics(text) for text in texts], np.float64).reshape(-1, len(NAMES)))
+        yield table.filter(pa.array(score >= THRESHOLD))
+
+    return docs.mapInArrow(in_batches(make, BATCH_BYTES), docs.schema)
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = F.pmod(crc(F.col("doc_id")), F.lit(5)) == 0
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where(~held_out)

@@ -217,6 +217,7 @@ def substring_dedup(docs: DataFrame, files: Files, window: int = WINDOW, with_te
     near = marked_texts(texts, survivors).where("pos IS NOT NULL")
     removed = files.write(settle(windows(near, buckets, window), compare_windows), "removed")
     kept = files.write(kept_texts(marked_texts(texts, removed), window, with_text), "kept")
+    files.drop("texts", "survivors", "removed")
     long_enough = F.col("n_words") >= window
     pairs = {
         "n_words": ("n_words", F.col("n_words")),

@@ -359,6 +359,7 @@ def suffix_dedup(docs: DataFrame, files: Files, with_text: bool = True, hot_limi
     near = marked_texts(texts, found.where(F.col("rid") != HOT_RID)).where("pos IS NOT NULL")
     removed = files.write(settle(contexts(near, buckets, hot), compare_contexts), "removed")
     kept = files.write(kept_bytes(marked_texts(texts, removed), with_text), "kept")
+    files.drop("texts", "survivors", "removed")
     long_enough = F.col("n_bytes") >= WINDOW
     copies = {
         "n_bytes": F.col("n_bytes"),

@@ -1,0 +1,180 @@
+"""Exact dedup, near-dedup, and the two operators on repeated passages, against brute force."""
+
+from __future__ import annotations
+
+from collections import Counter
+
+import brute
+import pytest
+
+import quayload.llm.minhash as minhash
+from quayload.llm.common import Files
+from quayload.llm.exact_dedup import build_index, drop_copies, exact_dedup
+from quayload.llm.graph import components
+from quayload.llm.minhash import drop_near_copies, near_documents
+from quayload.llm.substring_dedup import op7_substring_dedup, substring_dedup
+from quayload.llm.suffix_dedup import op5_suffix_dedup, suffix_dedup
+
+SF = "/root/testdata/sf0.001"
+
+
+def pairs(rows):
+    return [row[:2] for row in rows]
+
+
+def as_bag(df, columns):
+    return Counter(map(tuple, df.select(*columns).collect()))
+
+
+EXACT = ["doc_id", "keep_id", "group_size", "kept", "text_sha256"]
+NEAR = ["doc_id", "n_shingles", "component_id", "kept"]
+BYTES = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
+WORDS = ["doc_id", "n_words", "n_removed", "kept_sha256"]
+
+
+@pytest.mark.parametrize("bucket_bytes", [None, 2000])
+def test_exact(table, edge_rows, files, bucket_bytes):
+    found = exact_dedup(table(edge_rows), files, bucket_bytes=bucket_bytes)
+    assert as_bag(found, EXACT) == Counter(brute.exact(pairs(edge_rows)))
+
+
+def test_directory_doubles_and_buckets_differ_in_depth(table, files):
+    index = build_index(table([(i, f"text number {i} " * 5) for i in range(400)]), files, bucket_bytes=1500)
+    assert index.depth >= 5 and index.owners > 3
+    sizes = index.groups.groupBy("bucket").count().collect()
+    assert len(sizes) > 16 and max(r["count"] for r in sizes) * 65 <= 1500
+
+
+def test_exact_with_a_hot_group(table, files):
+    rows = [(i, "the same") for i in range(700)] + [(1000 + i, f"other {i}") for i in range(1300)]
+    found = exact_dedup(table(rows), files)
+    assert as_bag(found, EXACT) == Counter(brute.exact(rows))
+
+
+def test_hash_collision_is_told_apart_by_bytes(table, files, monkeypatch):
+    # every row shares its key: the chain of one key is compared by bytes
+    monkeypatch.setattr("quayload.llm.exact_dedup.F.xxhash64", lambda *_: minhash.F.lit(5).cast("long"))
+    rows = [(i, f"text {i % 7}") for i in range(50)]
+    assert as_bag(exact_dedup(table(rows), files), EXACT) == Counter(brute.exact(rows))
+
+
+def test_copies_dropped_once(table, edge_rows, files):
+    docs = table(edge_rows)
+    left = drop_copies(docs, files)
+    assert left.schema == docs.schema
+    kept = [(r.doc_id, brute.exact([(0, r.text)])[0][4]) for r in left.collect()]
+    assert Counter(kept) == Counter({(d, s) for d, _, _, k, s in brute.exact(pairs(edge_rows)) if k})
+
+
+@pytest.mark.parametrize("width", [4, 5])
+def test_near(table, edge_rows, files, width):
+    found = near_documents(table(edge_rows), files, shingle=width)
+    assert as_bag(found, NEAR) == Counter(brute.near(pairs(edge_rows), width))
+
+
+def variants(n, size, changed):
+    base = [f"b{i}" for i in range(size)]
+    out = []
+    for k in range(n):
+        words = list(base)
+        for c in range(changed):
+            words[(k * 13 + c * 29) % size] = f"v{k}_{c}"
+        out.append((k, " ".join(words)))
+    return out
+
+
+@pytest.mark.parametrize("changed", [1, 2, 4])
+def test_near_groups_and_chains(table, files, changed):
+    """Copies around the threshold: links among some pairs only, and chains of links."""
+    rows = variants(60, 100, changed) + [(100 + k, " ".join(f"c{i}" for i in range(k * 3, k * 3 + 60))) for k in range(30)]
+    assert as_bag(near_documents(table(rows), files), NEAR) == Counter(brute.near(rows))
+
+
+def test_index_guarantees_the_distance():
+    import numpy as np
+
+    random = np.random.default_rng(1)
+    for _ in range(300):
+        a = random.integers(0, 1 << 15, minhash.SYMBOLS)
+        b = a.copy()
+        at = random.choice(minhash.SYMBOLS, 2 * minhash.CHUNKS - 1, replace=False)
+        b[at] ^= 1
+        one, two = minhash.index_keys(np.stack([a, b]))
+        assert (one == two).any()
+        assert (minhash.unpacked(minhash.packed(np.stack([a, b]))) == np.stack([a, b])).all()
+
+
+def test_distance_in_sql(spark):
+    import numpy as np
+
+    symbols = np.random.default_rng(2).integers(0, 3, (2, minhash.SYMBOLS))
+    a, b = minhash.packed(symbols).tolist()
+    df = spark.createDataFrame([(a, b)], "a array<long>, b array<long>")
+    assert df.select(minhash.distance("a", "b")).first()[0] == int((symbols[0] != symbols[1]).sum())
+
+
+def test_one_of_each_near_group_stays(table, edge_rows, files):
+    docs = table(edge_rows)
+    left = drop_near_copies(docs, files)
+    assert left.schema == docs.schema
+    expected = {(d, t) for (d, t), (_, _, _, k) in zip(pairs(edge_rows), brute.near(pairs(edge_rows)), strict=True) if k}
+    assert Counter((r.doc_id, r.text) for r in left.collect()) == Counter(expected)
+
+
+def test_components(spark, files):
+    links = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(300)] + [(900, 900), (7, 100), (7, 100)]
+    found = components(spark.createDataFrame(links, "a long, b long"), files)
+    roots = {r.node: r.root for r in found.collect()}
+    assert roots == {i: 0 for i in [*range(1, 41), *range(100, 400)]}
+
+
+@pytest.mark.parametrize("hot_limit", [None, 1])
+def test_bytes(table, edge_rows, files, hot_limit):
+    rows = [row for row in edge_rows if row[0] not in (7, 8)] + [(7, edge_rows[8][1][:9000]), (8, edge_rows[8][1][:8000])]
+    found = suffix_dedup(table(rows), files, hot_limit=hot_limit)
+    assert as_bag(found, BYTES) == Counter(brute.byte_windows(pairs(rows)))
+    for row in found.collect():
+        assert brute.sha(bytes(row.kept_text)) == row.kept_sha256
+
+
+def test_bytes_of_sliced_texts(table, files, monkeypatch):
+    monkeypatch.setattr("quayload.llm.suffix_dedup.SLICE", 64)
+    rows = [(k, f"start {k} " + "".join(chr(97 + (i * i * 7 + i // 5) % 26) for i in range(700)) + f" end {k}") for k in range(4)]
+    assert as_bag(suffix_dedup(table(rows), files), BYTES) == Counter(brute.byte_windows(rows))
+
+
+@pytest.mark.parametrize("window", [14, 20])
+def test_words(table, edge_rows, files, window):
+    found = substring_dedup(table(edge_rows), files, window=window)
+    assert as_bag(found, WORDS) == Counter(brute.word_windows(pairs(edge_rows), window))
+    for row in found.collect():
+        assert brute.sha(row.kept_text.encode()) == row.kept_sha256
+
+
+def test_repeats_in_many_texts(table, files):
+    """A passage shared by most texts, with other words on both sides."""
+    passage = " ".join(f"p{i}" for i in range(45))
+    rows = [(k, " ".join([f"a{k}_{i}" for i in range(k % 30)]) + " " + passage + f" z{k} " * (k % 3)) for k in range(200)]
+    assert as_bag(substring_dedup(table(rows), files), WORDS) == Counter(brute.word_windows(rows))
+    assert as_bag(suffix_dedup(table(rows), Files(files.spark, "tests"), hot_limit=20), BYTES) == Counter(brute.byte_windows(rows))
+
+
+def test_windows_too_short_for_the_cover(table, files):
+    with pytest.raises(ValueError):
+        substring_dedup(table([(1, "a")]), files, window=13)
+
+
+@pytest.mark.parametrize("operator", [exact_dedup, drop_copies, near_documents, drop_near_copies, suffix_dedup, substring_dedup])
+def test_empty_table(table, files, operator):
+    assert operator(table([]), files).collect() == []
+
+
+@pytest.fixture(scope="module")
+def given(spark):
+    return [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+
+
+def test_queries_against_brute_force(spark, given):
+    assert as_bag(op5_suffix_dedup(spark, SF), BYTES) == Counter(brute.byte_windows(given))
+    assert as_bag(op7_substring_dedup(spark, SF), WORDS) == Counter(brute.word_windows(given))
+    assert as_bag(minhash.op4_minhash(spark, SF), NEAR) == Counter(brute.near(given))
