@@ -3,9 +3,10 @@
 The reference is prepared once: one row per normalised address, written to the
 shared folder together with its measured size. That size decides the join. A
 reference that fits is broadcast, and the input is not shuffled at all. Beyond
-the bound the input is shuffled by key, with its heavy keys and its rows
-without a key taken out of the way first, so that no task receives more than
-its share however the keys are distributed.
+the bound the input is shuffled by key; keys with more rows than a task's share
+are dealt to as many tasks as they need, and rows without a key are spread, so
+that no task receives more than its share however the keys are distributed.
+Both joins take the same arguments and give the same rows.
 """
 
 from __future__ import annotations
@@ -16,21 +17,19 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from quayload.functions.columns import column, combine
+from quayload.functions.columns import column, combine, resolve
 from quayload.functions.text import compose_query_key
+from quayload.workspace import new_area
 
 KEY = "_quayload_key"
 FOUND = "_quayload_location"
-HEAVY = "_quayload_heavy"
 JOIN_KEY = "_quayload_join_key"
+SALT = "_quayload_salt"
+SALTS = "_quayload_salts"
+HASH = "_quayload_hash"
 
 # An index of this size fits beside the tasks of any executor worth using.
 BROADCAST_BYTES = 128 * 1024 * 1024
-# A key is heavy if it alone would make a shuffle task slow. Only the most
-# frequent are singled out: after N of them no other key can have more than one
-# row in N + 1, which a join task can take, or skew handling split, in its stride.
-HEAVY_ROWS = 100_000
-HEAVY_KEYS = 10_000
 
 
 @dataclass(frozen=True)
@@ -68,7 +67,8 @@ def prepare_lookup(
     (a null id ranks last). ``min`` combines on the map side, so a key that a
     third of the reference shares costs no more than any other.
     """
-    _require([*query_fields, id_column, *location_fields], reference.columns, "reference field")
+    query_fields = resolve(reference, query_fields, "reference field")
+    id_column, *location_fields = resolve(reference, [id_column, *location_fields], "reference field")
     if KEY in location_fields:
         raise ValueError(f"{KEY} is reserved")
     ranked = F.struct(
@@ -102,62 +102,58 @@ def _join_broadcast(keyed: DataFrame, lookup: AddressLookup, names: Sequence[str
     return keyed.join(F.broadcast(small), KEY, "left")
 
 
-def heavy_keys(keyed: DataFrame, rows: int = HEAVY_ROWS, limit: int = HEAVY_KEYS) -> DataFrame:
-    """The most frequent keys of at least ``rows`` rows, at most ``limit`` of them.
+def heavy_keys(keyed: DataFrame, path: str, rows: int | None = None) -> DataFrame:
+    """Hashes of the keys with more than ``rows`` rows, and how many tasks each needs.
 
-    Counted over all rows, with map-side combining.
+    By default ``rows`` is a shuffle task's share of all rows; then there are
+    fewer heavy keys than tasks, and together they need fewer than twice as
+    many, so the result, two numbers for each key, can be broadcast whatever
+    the keys are. Counted over all rows, with map-side combining.
     """
-    counts = keyed.where(column(KEY).isNotNull()).groupBy(KEY).count()
-    heavy = counts.where(F.col("count") >= rows)
-    return heavy.orderBy(F.desc("count"), KEY).limit(limit).select(KEY)
+    spark = keyed.sparkSession
+    counts = keyed.where(column(KEY).isNotNull()).groupBy(F.xxhash64(KEY).alias(HASH)).count()
+    if rows is None:
+        counts.write.mode("errorifexists").parquet(f"{path}/counts")
+        counts = spark.read.parquet(f"{path}/counts")
+        total = counts.agg(F.coalesce(F.sum("count"), F.lit(0))).first()[0]
+        rows = max(1, total // int(spark.conf.get("spark.sql.shuffle.partitions")))
+    heavy = counts.where(F.col("count") > rows)
+    heavy = heavy.select(HASH, F.ceil(F.col("count") / rows).cast("int").alias(SALTS))
+    heavy.write.mode("errorifexists").parquet(f"{path}/heavy")
+    return spark.read.schema(f"{HASH} long, {SALTS} int").parquet(f"{path}/heavy")
 
 
 def spread_keys(keyed: DataFrame, heavy: DataFrame) -> DataFrame:
-    """Give each row the key it is shuffled by.
+    """Give each row what it is shuffled by: a key and a salt.
 
-    Rows of a heavy key, already answered, and rows without a key use the
-    number of their input partition, which matches nothing and spreads them as
-    evenly as the input is split. A partition's number is the same when a lost
-    task runs again. Keys hold only ``A-Z0-9`` and spaces, so the ``#`` form
-    cannot be a key.
+    The salt of a heavy key's rows follows from the number of their input
+    partition, which is the same when a lost task runs again. Rows without a
+    key use that number as key, with a mark that no key holds, for keys hold
+    only ``A-Z0-9`` and spaces. Nothing is shuffled here.
     """
-    cold = column(HEAVY).isNull() & column(KEY).isNotNull()
-    partition = F.concat(F.lit("#"), F.spark_partition_id().cast("string"))
-    return keyed.join(heavy, KEY, "left").withColumn(
-        JOIN_KEY, F.when(cold, column(KEY)).otherwise(partition)
-    )
-
-
-def _write_heavy(
-    keyed: DataFrame, lookup: AddressLookup, names: Sequence[str], path: str, heavy_rows: int
-) -> DataFrame:
-    """Heavy keys with their locations, marked for broadcast if they are small.
-
-    There are at most ``HEAVY_KEYS``, but a location may be a large shape, so
-    their size is measured too. Should they not fit, Spark joins them another
-    way and splits skewed partitions as it runs.
-    """
-    measured = Observation()
-    located = heavy_keys(keyed, heavy_rows).join(lookup.table.select(KEY, _found(names)), KEY, "left")
-    located.observe(
-        measured, F.coalesce(F.sum(_width([KEY, FOUND])), F.lit(0)).alias("bytes")
-    ).write.mode("errorifexists").parquet(path)
-    heavy = keyed.sparkSession.read.schema(located.schema).parquet(path)
-    heavy = heavy.select(KEY, column(FOUND).alias("heavy_location"), F.lit(True).alias(HEAVY))
-    return F.broadcast(heavy) if measured.get["bytes"] <= BROADCAST_BYTES else heavy
+    partition = F.spark_partition_id()
+    marked = keyed.withColumn(HASH, F.xxhash64(KEY)).join(F.broadcast(heavy), HASH, "left")
+    return marked.withColumns(
+        {
+            JOIN_KEY: F.coalesce(column(KEY), F.concat(F.lit("#"), partition.cast("string"))),
+            SALT: F.coalesce(F.pmod(partition, column(SALTS)), F.lit(0)),
+        }
+    ).drop(HASH, SALTS)
 
 
 def _join_shuffled(
     keyed: DataFrame, lookup: AddressLookup, names: Sequence[str], heavy: DataFrame
 ) -> DataFrame:
-    """Shuffle join that neither a hot key nor rows without a key can skew."""
-    right = lookup.table.select(column(KEY).alias(JOIN_KEY), _found(names).alias("cold_location"))
-    return (
-        spread_keys(keyed, heavy)
-        .join(right.hint("merge"), JOIN_KEY, "left")
-        .withColumn(FOUND, F.coalesce("heavy_location", "cold_location"))
-        .drop(JOIN_KEY, HEAVY, "heavy_location", "cold_location")
-    )
+    """Shuffle join that neither a hot key nor rows without a key can skew.
+
+    A heavy key's location is repeated for each of its salts.
+    """
+    right = lookup.table.select(column(KEY).alias(JOIN_KEY), F.xxhash64(KEY).alias(HASH), _found(names))
+    right = right.join(F.broadcast(heavy), HASH, "left")
+    salts = F.sequence(F.lit(0), F.coalesce(column(SALTS), F.lit(1)) - 1)
+    right = right.select(JOIN_KEY, FOUND, F.explode(salts).alias(SALT))
+    joined = spread_keys(keyed, heavy).join(right.hint("merge"), [JOIN_KEY, SALT], "left")
+    return joined.drop(JOIN_KEY, SALT)
 
 
 def select_location_fields(df: DataFrame, inputs: Sequence[str], fields: Sequence[str]) -> DataFrame:
@@ -178,7 +174,7 @@ def remove_fields(df: DataFrame, names: Sequence[str] | None) -> DataFrame:
     """Drop the listed columns; a name that does not exist is an error."""
     if not names:
         return df
-    _require(names, df.columns, "field to remove")
+    names = resolve(df, names, "field to remove")
     return df.select(*[column(name) for name in df.columns if name not in names])
 
 
@@ -188,24 +184,21 @@ def attach_location(
     query_fields: Sequence[str],
     location_fields: Sequence[str],
     broadcast_bytes: int = BROADCAST_BYTES,
-    path: str | None = None,
-    heavy_rows: int = HEAVY_ROWS,
+    heavy_rows: int | None = None,
 ) -> DataFrame:
     """Left join: every input row once, with a location struct that is null if not found.
 
-    ``path`` is a new folder in shared storage for the heavy keys; it is
-    needed when the lookup is larger than ``broadcast_bytes``.
+    A lookup larger than ``broadcast_bytes`` is joined by a shuffle, with keys
+    of more than ``heavy_rows`` rows spread.
     """
-    _require(query_fields, df.columns, "query field")
+    query_fields = resolve(df, query_fields, "query field")
     _require(location_fields, lookup.fields, "location field")
     keyed = df.withColumn(KEY, compose_query_key(query_fields))
     if lookup.bytes <= broadcast_bytes:
         joined = _join_broadcast(keyed, lookup, location_fields)
-    elif path:
-        heavy = _write_heavy(keyed, lookup, location_fields, path, heavy_rows)
-        joined = _join_shuffled(keyed, lookup, location_fields, heavy)
     else:
-        raise ValueError("the lookup is too large to broadcast and no path was given")
+        heavy = heavy_keys(keyed, new_area(df.sparkSession, "heavy-keys"), heavy_rows)
+        joined = _join_shuffled(keyed, lookup, location_fields, heavy)
     return joined.select(*[column(name) for name in df.columns], FOUND)
 
 

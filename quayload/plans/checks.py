@@ -10,8 +10,9 @@ import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quayload.functions.text import compose_query_key, point_wkt, spell_digits
 from quayload.operators.enrich import (
@@ -23,20 +24,31 @@ from quayload.operators.enrich import (
     select_location_fields,
 )
 from quayload.plans.refresh import (
+    DIVERT,
     load_staged,
     publish_environments,
+    publish_staged,
     refresh_geocoded,
     refresh_records,
     refresh_table,
 )
+from quayload.sidecar import write_sidecar
 from quayload.sinks.publish import ServingArea, lookup, publish_table
 from quayload.sources.records import extract_records, land_records
 from quayload.sources.relational import CatalogSource, extract_table
 from quayload.spec import PRODUCTION, TEST, TableSpec, quote
-from quayload.staging import TIMESTAMP_NTZ_PATTERN, TypedLoad, read_staged, stage_table, typed_load
+from quayload.staging import (
+    PLAIN_CSV,
+    TIMESTAMP_NTZ_PATTERN,
+    StagedTable,
+    TypedLoad,
+    read_staged,
+    stage_table,
+    typed_load,
+)
 from quayload.workspace import new_area
 
-READERS = ("publicuser", "tileuser")
+READERS = ("reader_a", "reader_b")
 
 
 @dataclass(frozen=True)
@@ -197,6 +209,37 @@ def q_typed_load_rejects(run: Run) -> DataFrame:
     return _load_orders(run).rejects.select("raw_record")
 
 
+def q_typed_load_decimals(run: Run) -> DataFrame:
+    """Prices as wide decimals, those of one order status with more digits than fit."""
+    price = F.col("o_totalprice").cast("decimal(20,2)").cast("string")
+    digits = F.when(F.col("o_orderstatus") == "P", F.lit("00000000015")).otherwise(F.lit("00"))
+    key = F.col("o_orderkey").cast("string")
+    landed = run.table("orders").select(
+        key.alias("k"),
+        F.concat(price, digits).alias("price"),
+        F.concat(key, F.when(F.col("o_orderstatus") == "O", F.lit(".5")).otherwise(F.lit(".0"))).alias("whole"),
+    )
+    spec = TableSpec("sales", "prices")
+    stage_table(landed, spec, run.root)
+    schema = T.StructType.fromDDL("k bigint, price decimal(38,10), whole decimal(38,0)")
+    load = typed_load(run.spark, spec, run.root, schema)
+    fit = load.rows.select(
+        "k", F.col("price").cast("double").alias("price"), F.col("whole").cast("bigint").alias("whole"), F.lit(None).cast("string").alias("raw_record")
+    )
+    nothing = [F.lit(None).cast(kind).alias(name) for name, kind in (("k", "bigint"), ("price", "double"), ("whole", "bigint"))]
+    return fit.unionByName(load.rejects.select(*nothing, "raw_record"))
+
+
+def q_foreign_files(run: Run) -> DataFrame:
+    """Documents as CSV with quoted line breaks, the way other tools stage them, published."""
+    docs = run.table("documents")
+    spec = TableSpec("texts", "documents", keys=("doc_id",))
+    path = f"{run.root}/{spec.staging_path}"
+    docs.write.options(header=True, quoteAll=True, escape='"', emptyValue="").csv(path)
+    done = publish_staged(run.spark, StagedTable(spec, path), run.root, run.area, fmt=PLAIN_CSV, schema=docs.schema)
+    return run.spark.table(done.name)
+
+
 def q_compose_query_key(run: Run) -> DataFrame:
     return run.table("part").select("p_partkey", compose_query_key(["p_name", "p_brand"]).alias("query_key"))
 
@@ -209,8 +252,17 @@ def q_geocode_enrich_shuffled(run: Run) -> DataFrame:
     """The same result by the join for references too large to broadcast."""
     return geocode_enrich(
         run.addresses(), run.lookup(), QUERY_FIELDS, ("lat", "lon", "shape"),
-        broadcast_bytes=0, path=f"{run.root}/heavy", heavy_rows=2,
+        broadcast_bytes=0, heavy_rows=2,
+    )
+
+
+def q_refresh_geocoded_shuffled(run: Run) -> DataFrame:
+    """A whole run whose reference is beyond the broadcast bound; nothing else is asked for."""
+    done = refresh_geocoded(
+        run.spark, TableSpec("people", "customer"), TableSpec("people", "located"), run.addresses(),
+        run.lookup(), QUERY_FIELDS, ("lat", "lon", "shape"), run.root, run.area, broadcast_bytes=0,
     )
+    return run.spark.table(done.name)
 
 
 def q_select_location_fields(run: Run) -> DataFrame:
@@ -266,6 +318,28 @@ def q_publish_keyed_lookup(run: Run) -> DataFrame:
     return by_part.unionByName(by_order)
 
 
+def _upper(name: str) -> Column:
+    return F.col(name).alias(name.upper())
+
+
+def q_publish_keyed_upper(run: Run) -> DataFrame:
+    """A source that names its columns in upper case, keys as the configs spell them."""
+    orders = run.table("orders").select(*map(_upper, ("o_custkey", "o_orderkey", "o_totalprice")))
+    spec = TableSpec("sales", "orders", readers=READERS, keys=("o_custkey", "o_orderkey"))
+    staged = stage_table(orders, spec, run.root)
+    name = publish_staged(run.spark, staged, run.root, run.area).name
+    return lookup(run.spark, name, {"o_custkey": 77}).unionByName(lookup(run.spark, name, {"O_ORDERKEY": 77}))
+
+
+def q_publish_keyed_lookup_double(run: Run) -> DataFrame:
+    """Lines by discount, where no discount is written as minus zero."""
+    discount = F.when(F.col("l_discount") == 0, F.lit(-0.0)).otherwise(F.col("l_discount"))
+    lines = run.table("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", discount.alias("l_discount"))
+    name = publish_table(lines, TableSpec("sales", "discounts", keys=("l_partkey", "l_discount")), run.area)
+    found = lookup(run.spark, name, {"l_discount": 0.0}).unionByName(lookup(run.spark, name, {"l_discount": 0.05}))
+    return found.withColumn("l_discount", F.col("l_discount") + 0.0)
+
+
 def q_publish_environments(run: Run) -> DataFrame:
     """Parts from a test source without prices and from the production source."""
     part = run.table("part")
@@ -273,7 +347,8 @@ def q_publish_environments(run: Run) -> DataFrame:
         (TableSpec("store", "part", environment=TEST), part.withColumn("p_retailprice", F.lit(None).cast("double"))),
         (TableSpec("store", "part", environment=PRODUCTION), part),
     ]
-    served = publish_environments(run.spark, sources, run.root, run.area)
+    areas = {env: ServingArea(f"{run.root}/served-{env}", f"{run.mark}_{env}_") for env in (TEST, PRODUCTION)}
+    served = publish_environments(run.spark, sources, run.root, areas)
     test, production = (
         run.spark.table(served[env].name).withColumn("environment", F.lit(env))
         for env in (TEST, PRODUCTION)
@@ -289,6 +364,18 @@ def q_refresh_table(run: Run) -> DataFrame:
     )
 
 
+def q_refresh_table_diverted(run: Run) -> DataFrame:
+    """A run with misfits, then a clean one: the table, and what the reject folder has after each."""
+    spec, orders = TableSpec("sales", "orders", keys=("o_orderkey",)), run.table("orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    texts = orders.withColumn("o_totalprice", F.when(F.col("o_orderstatus") == "P", F.lit("n/a")).otherwise(F.col("o_totalprice").cast("string")))
+    staged = stage_table(texts, spec, run.root)
+    write_sidecar(run.spark, orders.schema, spec, run.root)
+    bad = publish_staged(run.spark, staged, run.root, run.area, DIVERT)
+    clean = publish_staged(run.spark, stage_table(orders.where("o_orderstatus <> 'P'"), spec, run.root), run.root, run.area, DIVERT)
+    counts = F.lit(bad.rejects).cast("bigint").alias("first_rejects"), F.lit(clean.rejects).cast("bigint").alias("later_rejects")
+    return run.spark.table(clean.name).select("*", *counts)
+
+
 def q_refresh_records(run: Run) -> DataFrame:
     turns = _land_conversations(run)
     spec = TableSpec("talks", "turns", readers=READERS, environment=TEST, object_id=1)
@@ -339,6 +426,18 @@ CHECKS: dict[str, tuple[Callable[[Run], DataFrame], str]] = {
                || strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S.%f') || ',' || o_orderpriority AS raw_record
            FROM orders WHERE o_orderstatus = 'P'""",
     ),
+    "typed_load_decimals": (
+        q_typed_load_decimals,
+        """WITH p AS (SELECT *, cast(o_totalprice AS DECIMAL(20,2)) AS price FROM orders)
+           SELECT o_orderkey AS k, cast(price AS DOUBLE) AS price, o_orderkey AS whole, NULL::VARCHAR AS raw_record
+           FROM p WHERE o_orderstatus = 'F'
+           UNION ALL
+           SELECT NULL, NULL, NULL, o_orderkey || ',' || price
+               || CASE WHEN o_orderstatus = 'P' THEN '00000000015' ELSE '00' END || ',' || o_orderkey
+               || CASE WHEN o_orderstatus = 'O' THEN '.5' ELSE '.0' END
+           FROM p WHERE o_orderstatus <> 'F'""",
+    ),
+    "foreign_files": (q_foreign_files, "SELECT * FROM documents"),
     "compose_query_key": (q_compose_query_key, f"SELECT p_partkey, {KEY_SQL} AS query_key FROM part"),
     "geocode_enrich": (q_geocode_enrich, LOCATED_SQL + "SELECT * FROM enriched"),
     "geocode_enrich_shuffled": (q_geocode_enrich_shuffled, LOCATED_SQL + "SELECT * FROM enriched"),
@@ -373,6 +472,17 @@ CHECKS: dict[str, tuple[Callable[[Run], DataFrame], str]] = {
            UNION ALL
            SELECT *, 'l_orderkey' AS looked_up FROM lineitem WHERE l_orderkey = 77""",
     ),
+    "publish_keyed_upper": (
+        q_publish_keyed_upper,
+        """SELECT o_custkey AS "O_CUSTKEY", o_orderkey AS "O_ORDERKEY", o_totalprice AS "O_TOTALPRICE" FROM orders WHERE o_custkey = 77
+           UNION ALL
+           SELECT o_custkey, o_orderkey, o_totalprice FROM orders WHERE o_orderkey = 77""",
+    ),
+    "publish_keyed_lookup_double": (
+        q_publish_keyed_lookup_double,
+        """SELECT l_orderkey, l_linenumber, l_partkey, l_discount FROM lineitem
+           WHERE l_discount = 0 OR l_discount = 0.05::DOUBLE""",
+    ),
     "publish_environments": (
         q_publish_environments,
         """SELECT * REPLACE (NULL::DOUBLE AS p_retailprice), 'test' AS environment FROM part
@@ -380,6 +490,13 @@ CHECKS: dict[str, tuple[Callable[[Run], DataFrame], str]] = {
            SELECT *, 'production' AS environment FROM part""",
     ),
     "refresh_table": (q_refresh_table, "SELECT * FROM orders"),
+    "refresh_table_diverted": (
+        q_refresh_table_diverted,
+        """SELECT o_orderkey, o_orderstatus, o_totalprice,
+               (SELECT count(*) FROM orders WHERE o_orderstatus = 'P') AS first_rejects, 0::BIGINT AS later_rejects
+           FROM orders WHERE o_orderstatus <> 'P'""",
+    ),
+    "refresh_geocoded_shuffled": (q_refresh_geocoded_shuffled, LOCATED_SQL + "SELECT * FROM enriched"),
     "refresh_records": (q_refresh_records, "SELECT conv_id, turn, role, text FROM conversations"),
     "refresh_geocoded": (
         q_refresh_geocoded,

@@ -5,10 +5,10 @@ from __future__ import annotations
 import json
 
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quayload.spec import TableSpec
+from quayload.workspace import delete_path, write_small_file
 
 PLAIN_TYPES = (
     T.StringType,
@@ -56,8 +56,12 @@ def check_schema(schema: T.StructType) -> None:
 
 def write_sidecar(spark: SparkSession, schema: T.StructType, spec: TableSpec, root: str) -> None:
     check_schema(schema)
-    text = spark.range(1, numPartitions=1).select(F.lit(schema.json()).alias("value"))
-    text.write.mode("overwrite").text(f"{root}/{spec.sidecar_path}")
+    write_small_file(spark, f"{root}/{spec.sidecar_path}", schema.json())
+
+
+def remove_sidecar(spark: SparkSession, spec: TableSpec, root: str) -> None:
+    """A table being staged has no sidecar, so a run cut short leaves none that does not belong."""
+    delete_path(spark, f"{root}/{spec.sidecar_path}")
 
 
 def read_sidecar(spark: SparkSession, spec: TableSpec, root: str) -> T.StructType:

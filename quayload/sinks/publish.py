@@ -10,26 +10,35 @@ their readers are done.
 
 from __future__ import annotations
 
+import math
 import re
 import uuid
-from collections.abc import Iterator, Mapping, Sequence
-from contextlib import contextmanager
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, replace
-from datetime import datetime, timezone
+from datetime import date, datetime, timezone
+from decimal import Decimal
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from quayload.functions.columns import column
+from quayload.functions.columns import column, resolve
 from quayload.spec import TableSpec, quote
 
 SLOT = "_quayload_slot"
-LABEL = re.compile(r"\d{8}t\d{6}_[0-9a-f]{8}")
+LABEL = re.compile(r"\d{8}t\d{12}_[0-9a-f]{8}")
 PARQUET_TIMESTAMPS = "spark.sql.parquet.outputTimestampType"
 # Small row groups let a bloom filter rule out most of a file for a key whose
 # values lie scattered; tables without such keys keep the format's default.
 KEYED_ROW_GROUP_BYTES = 16 * 1024 * 1024
 BLOOM_MAX_BYTES = 1024 * 1024
+# Input per publishing task, and the least worth a task of its own.
+PARTITION_BYTES = 512 * 1024 * 1024
+SMALLEST_PARTITION_BYTES = 4 * 1024 * 1024
+# A published file is closed after this many rows and another begun.
+FILE_ROWS = 10_000_000
+# Sizes Spark gives to inputs it knows nothing about.
+UNKNOWN_BYTES = 1 << 60
 
 
 @dataclass(frozen=True)
@@ -68,25 +77,29 @@ def _literal(text: str) -> str:
 
 
 def new_label() -> str:
-    return f"{datetime.now(timezone.utc):%Y%m%dt%H%M%S}_{uuid.uuid4().hex[:8]}"
+    return f"{datetime.now(timezone.utc):%Y%m%dt%H%M%S%f}_{uuid.uuid4().hex[:8]}"
 
 
-@contextmanager
-def _timestamps_with_statistics(spark: SparkSession) -> Iterator[None]:
+def _timestamps_with_statistics(spark: SparkSession) -> None:
     """Write timestamps as integers: the default form has no min and max to skip by.
 
-    Spark has this as a session setting only. Where the session already has it,
-    nothing is changed.
+    Spark has this as a session setting only. It is set once and stays, so that
+    publishes at the same time in one session do not undo it for each other.
     """
-    before = spark.conf.get(PARQUET_TIMESTAMPS)
-    if before != "INT96":
-        yield
-        return
-    spark.conf.set(PARQUET_TIMESTAMPS, "TIMESTAMP_MICROS")
-    try:
-        yield
-    finally:
-        spark.conf.set(PARQUET_TIMESTAMPS, before)
+    if spark.conf.get(PARQUET_TIMESTAMPS) == "INT96":
+        spark.conf.set(PARQUET_TIMESTAMPS, "TIMESTAMP_MICROS")
+
+
+def input_bytes(df: DataFrame) -> int | None:
+    """Bytes of the files and tables that ``df`` reads; ``None`` if one is unknown."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    return None if any(size > UNKNOWN_BYTES for size in sizes) else sum(sizes)
+
+
+def partitions_for(size: int, cores: int, bytes_each: int = PARTITION_BYTES) -> int:
+    """Publishing tasks for an input: by its size, but no fewer than can usefully run at once."""
+    return max(1, math.ceil(size / bytes_each), min(math.ceil(size / SMALLEST_PARTITION_BYTES), cores))
 
 
 def layout_by_keys(df: DataFrame, keys: Sequence[str], partitions: int | None = None) -> DataFrame:
@@ -97,25 +110,28 @@ def layout_by_keys(df: DataFrame, keys: Sequence[str], partitions: int | None =
     many ranges as it needs. Unlike a random salt it is the same when a lost
     task runs again.
     """
-    unknown = [name for name in keys if name not in df.columns]
-    if unknown:
-        raise ValueError(f"unknown key: {', '.join(unknown)}")
-    order = [column(name) for name in keys]
+    order = [column(name) for name in resolve(df, keys, "key")]
     ranged = df.withColumn(SLOT, F.spark_partition_id())
     count = () if partitions is None else (partitions,)
     return ranged.repartitionByRange(*count, *order, SLOT).sortWithinPartitions(*order).drop(SLOT)
 
 
-def _key_options(keys: Sequence[str]) -> dict[str, str]:
-    """The first key is served by the sort; every further key gets a bloom filter."""
+def _key_options(schema: T.StructType, keys: Sequence[str]) -> dict[str, str]:
+    """The first key is served by the sort; every further key gets a bloom filter.
+
+    Floating point does not: a filter tells 0.0 from -0.0, which are equal.
+    """
     if len(keys) < 2:
         return {}
+    floating = (T.FloatType, T.DoubleType)
     options = {
         "parquet.block.size": str(KEYED_ROW_GROUP_BYTES),
         "parquet.bloom.filter.adaptive.enabled": "true",
         "parquet.bloom.filter.max.bytes": str(BLOOM_MAX_BYTES),
     }
     for name in keys[1:]:
+        if isinstance(schema[name].dataType, floating):
+            continue
         options[f"parquet.bloom.filter.enabled#{name}"] = "true"
     return options
 
@@ -125,9 +141,17 @@ def write_version(
 ) -> Version:
     """Write a new version of the table without showing it to readers yet.
 
-    A table without keys is written as it comes, with no shuffle.
+    A table without keys is written as it comes, with no shuffle. One with keys
+    is dealt to ``partitions`` tasks, by default as many as the size of what
+    ``df`` reads asks for; only if that is unknown the session decides.
     """
     spark = df.sparkSession
+    if spec.keys:
+        spec = replace(spec, keys=tuple(resolve(df, spec.keys, "key")))
+        size = None if partitions else input_bytes(df)
+        if size is not None:
+            partitions = partitions_for(size, spark.sparkContext.defaultParallelism)
+    _timestamps_with_statistics(spark)
     database = area.database(spec)
     spark.sql(
         f"CREATE DATABASE IF NOT EXISTS {quote(database)} LOCATION {_literal(f'{area.root}/{database}')}"
@@ -135,11 +159,10 @@ def write_version(
     counted = Observation()
     if spec.keys:
         df = layout_by_keys(df, spec.keys, partitions)
+    options = {"maxRecordsPerFile": str(FILE_ROWS), **_key_options(df.schema, spec.keys)}
     df = df.observe(counted, F.count(F.lit(1)).alias("rows"))
     version = Version(spec, area, new_label())
-    with _timestamps_with_statistics(spark):
-        writer = df.write.format("parquet").options(**_key_options(spec.keys))
-        writer.mode("errorifexists").saveAsTable(version.name)
+    df.write.format("parquet").options(**options).mode("errorifexists").saveAsTable(version.name)
     return replace(version, rows=counted.get["rows"])
 
 
@@ -157,13 +180,16 @@ def activate(spark: SparkSession, version: Version) -> str:
 
 
 def old_versions(spark: SparkSession, spec: TableSpec, area: ServingArea) -> list[Version]:
-    """Versions of a table that readers are not shown, the oldest first."""
+    """Versions of a table older than the one readers are shown, the oldest first.
+
+    Newer ones may still be on their way to the readers.
+    """
     shown = {row.key: row.value for row in spark.sql(f"SHOW TBLPROPERTIES {area.name(spec)}").collect()}
     prefix = f"{spec.table}__"
     tables = spark.catalog.listTables(quote(area.database(spec)))
     labels = sorted(t.name.removeprefix(prefix) for t in tables if t.name.startswith(prefix))
     written = [label for label in labels if LABEL.fullmatch(label)]
-    return [Version(spec, area, label) for label in written if label != shown["version"]]
+    return [Version(spec, area, label) for label in written if label < shown["version"]]
 
 
 def discard(spark: SparkSession, version: Version) -> None:
@@ -178,9 +204,66 @@ def publish_table(
     return activate(df.sparkSession, write_version(df, spec, area, partitions))
 
 
+WHOLE = {T.ByteType: 8, T.ShortType: 16, T.IntegerType: 32, T.LongType: 64}
+PLAIN = {
+    T.StringType: str,
+    T.BooleanType: bool,
+    T.BinaryType: (bytes, bytearray),
+    T.TimestampType: datetime,
+    T.TimestampNTZType: datetime,
+}
+
+
+def _fits(kind: T.DataType, value: object) -> bool:
+    """Whether a value is one of the column's type, so that nothing has to be converted."""
+    whole = isinstance(value, int) and not isinstance(value, bool)
+    if type(kind) in WHOLE:
+        return whole and -(1 << (WHOLE[type(kind)] - 1)) <= value < 1 << (WHOLE[type(kind)] - 1)
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        return whole or isinstance(value, float)
+    if isinstance(kind, T.DecimalType):
+        if not (whole or isinstance(value, Decimal) and value.is_finite()):
+            return False
+        digits = Decimal(value).normalize().as_tuple()
+        after = max(0, -digits.exponent)
+        before = max(0, len(digits.digits) + digits.exponent)
+        return after <= kind.scale and before <= kind.precision - kind.scale
+    if isinstance(kind, T.DateType):
+        return isinstance(value, date) and not isinstance(value, datetime)
+    return isinstance(value, PLAIN.get(type(kind), ()))
+
+
+def _equals(field: T.StructField, value: object) -> Column:
+    """A condition on a key that can be pushed down to the files."""
+    key = column(field.name)
+    if value is None:
+        return key.isNull()
+    if not _fits(field.dataType, value):
+        raise TypeError(f"{field.name} is {field.dataType.simpleString()}, not {value!r}")
+    wanted = F.lit(value).cast(field.dataType)
+    if isinstance(field.dataType, (T.FloatType, T.DoubleType)):
+        if isinstance(field.dataType, T.FloatType) and math.isfinite(value):
+            # a value between two floats equals none
+            return (key >= wanted) & (key <= wanted) & (wanted.cast("double") == F.lit(float(value)))
+        # as a range, for statistics and dictionaries tell 0.0 from -0.0
+        return (key >= wanted) & (key <= wanted)
+    return key == wanted
+
+
 def lookup(spark: SparkSession, name: str, values: Mapping[str, object]) -> DataFrame:
-    """Rows of a published table whose key columns have the given values."""
+    """Rows of a published table whose key columns have the given values.
+
+    Only keys can be asked for, with values of their own types: any other
+    condition would read the whole table. Names follow the session's rule for
+    letter case.
+    """
     rows = spark.table(name)
-    for key, value in values.items():
-        rows = rows.where(column(key).isNull() if value is None else column(key) == F.lit(value))
+    shown = {row.key: row.value for row in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
+    keys = [key for key in shown.get("keys", "").split(",") if key]
+    asked = resolve(rows, list(values), "key")
+    others = [key for key in asked if key not in keys]
+    if others or not asked:
+        raise ValueError(f"the keys of {name} are {', '.join(keys) or 'none'}; asked for: {', '.join(others) or 'none'}")
+    for key, value in zip(asked, values.values()):
+        rows = rows.where(_equals(rows.schema[key], value))
     return rows

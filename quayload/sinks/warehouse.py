@@ -8,16 +8,15 @@ table first; only if its row count is right does it take the table's name.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from quayload.spec import TableSpec, quote
+from quayload.spec import LOADING, PREVIOUS, TableSpec, is_working_name, quote, working_name
 
-LOADING = "__loading"
-PREVIOUS = "__previous"
+#: Property of side tables in the session catalog.
+MARK = "quayload.side_table"
 JDBC_CATALOG = "org.apache.spark.sql.execution.datasources.v2.jdbc.JDBCTableCatalog"
 
 
@@ -31,55 +30,92 @@ def jdbc_catalog_conf(
     """Session settings that mount a relational database as ``catalog``.
 
     Keep credentials in ``properties``: Spark redacts ``password`` in its own
-    listings, while a password inside the URL would be shown.
+    listings, while a password inside the URL would be shown. Writes open a
+    connection per partition: set ``numPartitions`` to what the database bears,
+    and ``batchsize`` to a few thousand rows.
     """
     base = f"spark.sql.catalog.{catalog}"
     options = {"url": url, "driver": driver, **properties}
     return {base: JDBC_CATALOG, **{f"{base}.{name}": value for name, value in options.items()}}
 
 
-def _names(spec: TableSpec, catalog: str | None, suffix: str = "") -> tuple[str, str]:
+def _name(spec: TableSpec, catalog: str | None, table: str | None = None) -> tuple[str, str]:
     """The full name with the catalog, and the name within it that renames use."""
-    inner = f"{quote(spec.warehouse_schema)}.{quote(spec.table + suffix)}"
+    inner = f"{quote(spec.warehouse_schema)}.{quote(table or spec.table)}"
     return (f"{quote(catalog)}.{inner}" if catalog else inner), inner
 
 
-def _drop_leftovers(spark: SparkSession, spec: TableSpec, catalog: str | None) -> None:
-    """Drop side tables of loads that never finished."""
-    schema = _names(spec, catalog)[0].rsplit(".", 1)[0]
-    prefix = spec.table + LOADING
-    for row in spark.sql(f"SHOW TABLES IN {schema}").where("NOT isTemporary").collect():
-        if row.tableName.startswith(prefix):
-            spark.sql(f"DROP TABLE IF EXISTS {schema}.{quote(row.tableName)}")
+def side_tables(spark: SparkSession, spec: TableSpec, catalog: str | None, kind: str) -> list[str]:
+    """Side tables of this table, by the exact form of their names and, in the session catalog, by their mark."""
+    schema = _name(spec, catalog)[0].rsplit(".", 1)[0]
+    listed = spark.sql(f"SHOW TABLES IN {schema}").where("NOT isTemporary").collect()
+    names = [row.tableName for row in listed if is_working_name(row.tableName, spec.table, kind)]
+    if catalog:
+        return names
+    return [name for name in names if _marked(spark, _name(spec, None, name)[0])]
+
+
+def _marked(spark: SparkSession, name: str) -> bool:
+    rows = spark.sql(f"SHOW TBLPROPERTIES {name}").collect()
+    return any(row.key == MARK for row in rows)
+
+
+def drop_leftovers(spark: SparkSession, spec: TableSpec, catalog: str | None = None) -> list[str]:
+    """Drop side tables of loads that never finished; returns their names.
+
+    Call it only when no load of this table runs: a load in flight has such a
+    table too.
+    """
+    names = side_tables(spark, spec, catalog, LOADING)
+    for name in names:
+        spark.sql(f"DROP TABLE IF EXISTS {_name(spec, catalog, name)[0]}")
+    return names
+
+
+def _undo_swap(spark: SparkSession, spec: TableSpec, catalog: str | None) -> None:
+    """Give the name back to the table that a load cut short has moved aside."""
+    aside = side_tables(spark, spec, catalog, PREVIOUS)
+    if len(aside) > 1:
+        raise IncompleteLoad(f"{spec.table} is gone and there are several to restore: {', '.join(aside)}")
+    for name in aside:
+        spark.sql(f"ALTER TABLE {_name(spec, catalog, name)[0]} RENAME TO {_name(spec, catalog)[1]}")
 
 
 def load_table(df: DataFrame, spec: TableSpec, catalog: str | None = None) -> str:
     """Replace the warehouse table with ``df``; returns its full name.
 
-    The schema must exist; digit-only schema names are spelled out. A table
-    has one load at a time. A swap cut short by a lost driver is undone by the
-    next load: the previous table is kept until the new one has its name.
+    The schema must exist; digit-only schema names are spelled out. Nothing but
+    the table itself and this load's own side tables is touched. A swap cut
+    short by a lost driver is undone by the next load: the previous table is
+    kept until the new one has its name.
     """
     spark = df.sparkSession
-    target, target_inner = _names(spec, catalog)
-    previous, previous_inner = _names(spec, catalog, PREVIOUS)
-    # The name is new each time: a failed write may leave files at its place.
-    loading, _ = _names(spec, catalog, f"{LOADING}_{uuid.uuid4().hex[:8]}")
-
-    if not spark.catalog.tableExists(target) and spark.catalog.tableExists(previous):
-        spark.sql(f"ALTER TABLE {previous} RENAME TO {target_inner}")
-    _drop_leftovers(spark, spec, catalog)
+    target, target_inner = _name(spec, catalog)
+    # The names are new each time: a failed write may leave files at its place.
+    loading, _ = _name(spec, catalog, working_name(spec.table, LOADING))
+    previous, previous_inner = _name(spec, catalog, working_name(spec.table, PREVIOUS))
+    if not spark.catalog.tableExists(target):
+        _undo_swap(spark, spec, catalog)
 
     counted = Observation()
-    df.observe(counted, F.count(F.lit(1)).alias("rows")).writeTo(loading).create()
-    loaded, expected = spark.table(loading).count(), counted.get["rows"]
-    if loaded != expected:
-        spark.sql(f"DROP TABLE {loading}")
-        raise IncompleteLoad(f"{target}: {loaded} rows loaded, {expected} expected")
-
-    spark.sql(f"DROP TABLE IF EXISTS {previous}")
-    if spark.catalog.tableExists(target):
+    writer = df.observe(counted, F.count(F.lit(1)).alias("rows")).writeTo(loading)
+    if not catalog:  # databases take no properties of ours
+        writer = writer.tableProperty(MARK, spec.table)
+    try:
+        writer.create()
+        loaded, expected = spark.table(loading).count(), counted.get["rows"]
+        if loaded != expected:
+            raise IncompleteLoad(f"{target}: {loaded} rows loaded, {expected} expected")
+    except Exception:
+        spark.sql(f"DROP TABLE IF EXISTS {loading}")
+        raise
+
+    replaces = spark.catalog.tableExists(target)
+    if replaces:
+        if not catalog:
+            spark.sql(f"ALTER TABLE {target} SET TBLPROPERTIES ('{MARK}' = 'previous')")
         spark.sql(f"ALTER TABLE {target} RENAME TO {previous_inner}")
     spark.sql(f"ALTER TABLE {loading} RENAME TO {target_inner}")
-    spark.sql(f"DROP TABLE IF EXISTS {previous}")
+    if replaces:
+        spark.sql(f"DROP TABLE IF EXISTS {previous}")
     return target

@@ -11,14 +11,21 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quayload.functions.columns import column
+from quayload.spec import quote
 from quayload.staging import JSON_WRITE, TIME_OPTIONS
 
 RECORDS = "records"
 
 
-def _page_schema(record: T.StructType, values_in: str | None) -> T.StructType:
+class IncompletePages(RuntimeError):
+    """Landed pages do not have what a page must have."""
+
+
+def _page_schema(
+    record: T.StructType, values_in: str | None, beside: T.StructType | None
+) -> T.StructType:
     if values_in:
-        record = T.StructType([T.StructField(values_in, record)])
+        record = T.StructType([*(beside.fields if beside else ()), T.StructField(values_in, record)])
     return T.StructType([T.StructField(RECORDS, T.ArrayType(record))])
 
 
@@ -29,6 +36,8 @@ def extract_records(
     values_in: str | None = None,
     nested_as_json: bool = False,
     page_per_file: bool = False,
+    beside: T.StructType | None = None,
+    skip_incomplete: bool = False,
 ) -> DataFrame:
     """One row per record of all landed pages.
 
@@ -36,15 +45,28 @@ def extract_records(
     from all pages. ``values_in`` names the field of a record that holds its
     values, for applications that wrap them (``{"id": …, "fields": {…}}``).
     Nested values are kept, or become JSON text with ``nested_as_json``.
+    ``beside`` are the columns such records have next to their values, such as
+    their id and the time they were made; they come first.
     ``page_per_file`` reads pages that are spread over several lines.
-    A page that is not valid JSON fails the read instead of losing its records.
+    A page that is not valid JSON, or has no list of records (an error page),
+    fails the read instead of losing its records; with ``skip_incomplete``
+    pages without a list are left out, and :func:`count_incomplete` tells how
+    many there are.
     """
     reader = spark.read.options(mode="FAILFAST", multiLine=page_per_file, **TIME_OPTIONS)
     if record is not None:
-        reader = reader.schema(_page_schema(record, values_in))
-    rows = reader.json(pages).select(F.inline(RECORDS))
+        reader = reader.schema(_page_schema(record, values_in, beside))
+    read = reader.json(pages)
+    if RECORDS not in read.columns:
+        raise IncompletePages(f"{pages}: no page has a list of {RECORDS}")
+    listed = column(RECORDS)
+    if not skip_incomplete:
+        failure = F.raise_error(F.lit(f"{pages}: a page has no list of {RECORDS}"))
+        listed = F.when(listed.isNull(), failure.cast(read.schema[RECORDS].dataType)).otherwise(listed)
+    rows = read.select(F.inline(listed))
     if values_in:
-        rows = rows.select(f"`{values_in}`.*")
+        own = [column(f.name) for f in beside.fields] if beside else []
+        rows = rows.select(*own, f"{quote(values_in)}.*")
     if not nested_as_json:
         return rows
     return rows.select(
@@ -57,6 +79,13 @@ def extract_records(
     )
 
 
+def count_incomplete(spark: SparkSession, pages: str, page_per_file: bool = False) -> int:
+    """How many landed pages have no list of records."""
+    schema = T.StructType([T.StructField(RECORDS, T.ArrayType(T.StringType()))])
+    read = spark.read.options(mode="FAILFAST", multiLine=page_per_file).schema(schema).json(pages)
+    return read.where(column(RECORDS).isNull()).count()
+
+
 def land_records(df: DataFrame, pages: str, page_rows: int = 500, values_in: str | None = None) -> None:
     """Write ``df`` the way a page client lands it, at most ``page_rows`` records a page.
 

@@ -28,6 +28,10 @@ class ColumnSplit:
     upper: str
     partitions: int
 
+    def __post_init__(self) -> None:
+        if self.partitions < 1:
+            raise ValueError("a split needs at least one partition")
+
 
 @dataclass(frozen=True)
 class PredicateSplit:
@@ -35,6 +39,10 @@ class PredicateSplit:
 
     predicates: tuple[str, ...]
 
+    def __post_init__(self) -> None:
+        if not self.predicates or not all(p.strip() for p in self.predicates):
+            raise ValueError("a split needs predicates, of which one holds for each row")
+
 
 def range_split(column: str, bounds: Sequence[str]) -> PredicateSplit:
     """Ranges between sorted SQL literals, for keys whose values are not evenly spread.
@@ -51,12 +59,16 @@ def range_split(column: str, bounds: Sequence[str]) -> PredicateSplit:
 def bucket_split(bucket: str, partitions: int) -> PredicateSplit:
     """One predicate per value of ``bucket``, an SQL expression over ``{last}``.
 
-    ``bucket`` must yield the numbers 0 to ``{last}`` and never null, such as
-    ``ORA_HASH(ROWID, {last})``. A hash of the row address spreads the rows
+    ``bucket`` must yield the numbers 0 to ``{last}``, such as
+    ``ORA_HASH(ROWID, {last})``; the first partition also takes the rows for
+    which it is null. A hash of the row address spreads the rows
     evenly whatever their key values are, so no hot key can fill one partition.
     """
+    if partitions < 1:
+        raise ValueError("a split needs at least one partition")
     expression = bucket.format(last=partitions - 1)
-    return PredicateSplit(tuple(f"{expression} = {i}" for i in range(partitions)))
+    first = f"{expression} = 0 OR {expression} IS NULL"
+    return PredicateSplit((first, *(f"{expression} = {i}" for i in range(1, partitions))))
 
 
 @dataclass(frozen=True)
@@ -67,7 +79,8 @@ class JdbcSource:
     carry (a geometry as text). ``snapshot`` is appended to the table name, so
     that all partitions read one state of a changing table (such as
     ``AS OF SCN 1234``). ``custom_schema`` sets exact types, such as an
-    unscaled number's precision.
+    unscaled number's precision. Without a split a table is read by one task
+    over one connection; that must be asked for with ``one_task``.
     """
 
     url: str
@@ -76,6 +89,7 @@ class JdbcSource:
     custom_schema: str | None = None
     projection: Mapping[str, str] | None = None
     snapshot: str | None = None
+    one_task: bool = False
 
     def relation(self, spec: TableSpec) -> str:
         table = f"{spec.source_schema}.{spec.table}"
@@ -105,6 +119,8 @@ class JdbcSource:
         split: ColumnSplit | PredicateSplit | None = None,
     ) -> DataFrame:
         relation, options = self.relation(spec), self.options()
+        if split is None and not self.one_task:
+            raise ValueError(f"{spec.table}: give a split, or ask for a read by one task")
         if isinstance(split, PredicateSplit):
             return spark.read.jdbc(
                 self.url, relation, predicates=list(split.predicates), properties=options
@@ -120,6 +136,13 @@ class JdbcSource:
         return reader.load()
 
 
+    def count(self, spark: SparkSession, spec: TableSpec) -> int:
+        """Rows of the table, counted by the database."""
+        query = f"(SELECT COUNT(*) AS n FROM {self.relation(spec)}) counted"
+        reader = spark.read.format("jdbc").options(**self.options(), url=self.url, dbtable=query)
+        return int(reader.load().first()[0])
+
+
 @dataclass(frozen=True)
 class CatalogSource:
     """A source mounted as a Spark catalog; ``None`` means the session catalog."""
@@ -145,6 +168,9 @@ class CatalogSource:
             )
         return reader.table(".".join(map(quote, parts)))
 
+    def count(self, spark: SparkSession, spec: TableSpec) -> int:
+        return self.read(spark, spec).count()
+
 
 def extract_table(
     spark: SparkSession,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 from pathlib import Path
@@ -34,6 +36,23 @@ CONFIG_TARGET = "carto_conn_id"
 
 PRODUCTION = "production"
 TEST = "test"
+#: "test" as a word of its own: ``latest`` and ``contest`` are no test sources.
+TEST_WORD = re.compile(r"(?<![a-z0-9])test(?![a-z0-9])", re.IGNORECASE)
+
+# Side tables of a warehouse load.
+LOADING = "loading"
+PREVIOUS = "previous"
+WORKING_NAME = re.compile(rf"(.+)__({LOADING}|{PREVIOUS})_[0-9a-f]{{8}}")
+
+
+def working_name(table: str, kind: str) -> str:
+    """A new name for a side table of ``table``."""
+    return f"{table}__{kind}_{uuid.uuid4().hex[:8]}"
+
+
+def is_working_name(name: str, table: str, kind: str) -> bool:
+    match = WORKING_NAME.fullmatch(name)
+    return bool(match) and match[1].lower() == table.lower() and match[2] == kind
 
 
 def quote(identifier: str) -> str:
@@ -76,6 +95,8 @@ class TableSpec:
     def __post_init__(self) -> None:
         if not self.schema or not self.table:
             raise ValueError("schema and table must not be empty")
+        if WORKING_NAME.fullmatch(self.table):
+            raise ValueError(f"{self.table!r} is the name of a side table")
         if self.environment not in (PRODUCTION, TEST):
             raise ValueError(f"unknown environment {self.environment!r}")
 
@@ -115,7 +136,7 @@ def spec_from_config(schema: str, table: str, config: dict) -> TableSpec:
         publish=bool(config.get(CONFIG_PUBLISH)),
         readers=tuple(config.get(CONFIG_READERS) or ()),
         keys=tuple(config.get(CONFIG_KEYS) or ()),
-        environment=TEST if TEST in source else PRODUCTION,
+        environment=TEST if TEST_WORD.search(source) else PRODUCTION,
         object_id=None if object_id is None else int(object_id),
         target=config.get(CONFIG_TARGET),
     )

@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from quayload.functions.columns import column, combine
 from quayload.functions.text import escape_lines, unescape_lines
-from quayload.sidecar import NESTED_TYPES, check_schema, read_sidecar, write_sidecar
+from quayload.sidecar import NESTED_TYPES, check_schema, read_sidecar, remove_sidecar, write_sidecar
 from quayload.spec import TableSpec, quote
 
 TIMESTAMP_NTZ_PATTERN = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
@@ -41,6 +41,11 @@ TIME_BYTES = 26
 NUMBER_BYTES = 8
 # A staged file is closed after this many rows and another begun.
 FILE_ROWS = 10_000_000
+# Numbers in text: for decimals the digits before and after the point and the
+# exponent; for floating point also the names the writer uses.
+DECIMAL_TEXT = r"^\s*[+-]?([0-9]*)\.?([0-9]*)(?:[eE]([+-]?[0-9]+))?\s*$"
+FLOAT_TEXT = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
+FLOAT_NAMES = ("NaN", "Infinity", "-Infinity", "Inf", "-Inf")
 # Options about files, which rendering a single record has no use for.
 FILE_OPTIONS = ("header", "encoding", "multiLine", "lineSep")
 
@@ -168,6 +173,7 @@ def stage_table(
     writer = text.write.mode("overwrite").options(**LINES.options(), maxRecordsPerFile=FILE_ROWS)
     if compression:
         writer = writer.option("compression", compression)
+    remove_sidecar(df.sparkSession, spec, root)
     # A lone blank field would be a blank line, which CSV readers skip.
     writer.option("quoteAll", len(text.columns) == 1).csv(path)
     write_sidecar(df.sparkSession, df.schema, spec, root)
@@ -176,7 +182,7 @@ def stage_table(
 
 def _read_type(data_type: T.DataType) -> T.DataType:
     """The type the CSV reader itself converts to; the rest is converted from text."""
-    as_text = (*NESTED_TYPES, T.StringType, T.BinaryType, T.DecimalType)
+    as_text = (*NESTED_TYPES, T.StringType, T.BinaryType, T.DecimalType, T.FloatType, T.DoubleType)
     return T.StringType() if isinstance(data_type, as_text) else data_type
 
 
@@ -194,20 +200,34 @@ def _convert(field: T.StructField, fmt: StagingFormat) -> tuple[Column, Column |
         )
         text = unescape_lines(field.name) if fmt.escaped else value
         parsed = F.from_json(F.concat(F.lit('{"v":'), text, F.lit("}")), wrapper, JSON_READ)
-        return parsed["v"], F.coalesce(parsed[JSON_BAD].isNotNull(), F.lit(False))
+        # Text that closes the wrapper's brace to go on cannot also be the one element of a list.
+        one = F.json_array_length(F.concat(F.lit("["), text, F.lit("]"))) == 1
+        single = text.isNull() | F.coalesce(one, F.lit(False))
+        return parsed["v"], F.coalesce(parsed[JSON_BAD].isNotNull(), F.lit(False)) | ~single
     if isinstance(field.dataType, T.BinaryType):
         typed = F.try_to_binary(value, F.lit("base64"))
         return typed, value.isNotNull() & typed.isNull()
     if isinstance(field.dataType, T.DecimalType):
-        # The widest fraction that leaves room for the integer digits shows
-        # whether the declared scale rounded anything away.
-        whole = field.dataType.precision - field.dataType.scale
         typed = value.try_cast(field.dataType)
-        exact = typed == value.try_cast(T.DecimalType(38, 38 - whole))
+        exact = typed.isNotNull() & (_fraction_digits(value) <= field.dataType.scale)
         return typed, value.isNotNull() & ~F.coalesce(exact, F.lit(False))
+    if isinstance(field.dataType, (T.FloatType, T.DoubleType)):
+        typed = value.try_cast(field.dataType)
+        number = value.rlike(FLOAT_TEXT) & typed.isNotNull() & (F.abs(typed) < float("inf"))
+        return typed, value.isNotNull() & ~(F.coalesce(number, F.lit(False)) | value.isin(*FLOAT_NAMES))
     return value, None
 
 
+def _fraction_digits(text: Column) -> Column:
+    """Digits after the point that a decimal's text needs: without trailing zeros, moved by the exponent."""
+    whole, fraction, exponent = (F.regexp_extract(text, DECIMAL_TEXT, i) for i in (1, 2, 3))
+    digits = F.concat(whole, fraction)
+    needed = F.rtrim(digits, F.lit("0"))
+    shift = F.when(exponent == "", 0).otherwise(exponent.try_cast("int"))
+    places = F.length(fraction) - shift - (F.length(digits) - F.length(needed))
+    return F.when(~text.rlike(DECIMAL_TEXT), F.lit(None)).when(needed == "", 0).otherwise(places)
+
+
 def typed_load(
     spark: SparkSession,
     spec: TableSpec,

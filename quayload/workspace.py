@@ -30,6 +30,30 @@ def workspace_root(spark: SparkSession) -> str:
     return _local_folder()
 
 
+def _file_system(spark: SparkSession, path: str):
+    """Hadoop's path object and the file system it is on."""
+    context = spark.sparkContext
+    place = context._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(context._jsc.hadoopConfiguration())
+
+
+def write_small_file(spark: SparkSession, path: str, text: str) -> None:
+    """Write one object, replacing what is there."""
+    delete_path(spark, path)
+    place, system = _file_system(spark, path)
+    out = system.create(place, True)
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+
+
+def delete_path(spark: SparkSession, path: str) -> bool:
+    """Delete a file, or a folder with all in it; says whether there was one."""
+    place, system = _file_system(spark, path)
+    return system.delete(place, True)
+
+
 def new_area(spark: SparkSession, label: str) -> str:
     """A path below the shared folder that no other run uses."""
     return f"{workspace_root(spark)}/quayload/{label}-{uuid.uuid4().hex}"

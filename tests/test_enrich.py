@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 
 from quayload.operators.enrich import (
     FOUND,
-    HEAVY,
+    HASH,
     JOIN_KEY,
     KEY,
+    SALT,
+    SALTS,
     attach_location,
     geocode_enrich,
     heavy_keys,
@@ -51,7 +53,7 @@ def normal(text):
 def join_options(spark, shuffled):
     if not shuffled:
         return {}
-    return {"broadcast_bytes": 0, "path": new_area(spark, "heavy"), "heavy_rows": 2}
+    return {"broadcast_bytes": 0, "heavy_rows": 2}
 
 
 def test_lookup_is_unique_and_measured(prepared):
@@ -120,24 +122,34 @@ def test_skewed_input_against_brute_force(spark, shuffled):
 def test_hot_and_missing_keys_are_spread(spark):
     keys = F.when(F.col("id") % 3 == 0, F.lit("HOT")).when(F.col("id") % 3 == 1, F.col("id").cast("string"))
     keyed = spark.range(9000, numPartitions=30).withColumn(KEY, keys)
-    heavy = heavy_keys(keyed, rows=2)
-    assert [row[0] for row in heavy.collect()] == ["HOT"]
-    assert heavy_keys(keyed, rows=4000).count() == 0
-    assert heavy_keys(keyed, rows=1, limit=1).collect() == heavy.collect()
-    spread = spread_keys(keyed, F.broadcast(heavy.withColumn(HEAVY, F.lit(True))))
-    sizes = [row["count"] for row in spread.groupBy(JOIN_KEY).count().collect()]
+    heavy = heavy_keys(keyed, new_area(spark, "heavy"), rows=300)
+    expected = spark.sql("SELECT xxhash64('HOT') AS h").first().h
+    assert [(row[HASH], row[SALTS]) for row in heavy.collect()] == [(expected, 10)]
+    assert heavy_keys(keyed, new_area(spark, "heavy"), rows=4000).count() == 0
+    # By default a task's share of the rows: 6000 rows with a key, 4 tasks.
+    assert [row[SALTS] for row in heavy_keys(keyed, new_area(spark, "heavy")).collect()] == [2]
+    spread = spread_keys(keyed, heavy)
+    sizes = [row["count"] for row in spread.groupBy(JOIN_KEY, SALT).count().collect()]
     assert sum(sizes) == 9000
-    # Each input partition has 300 rows, 200 of them hot or without a key.
-    assert max(sizes) == 200
+    # Three of the 30 input partitions, of 100 hot rows each, share a salt.
+    assert max(sizes) == 300
 
 
-def test_heavy_keys_with_large_locations_are_not_broadcast(spark, monkeypatch):
+def test_nothing_is_shuffled_by_a_raw_heavy_or_missing_key(spark, prepared, capsys):
+    path = new_area(spark, "input")
+    spark.range(10).withColumn("street", F.lit("1 main st")).write.parquet(path)
+    df = spark.read.parquet(path)
+    attach_location(df, prepared, ["street"], FIELDS, broadcast_bytes=0).explain()
+    plan = capsys.readouterr().out
+    exchanges = [line for line in plan.splitlines() if "hashpartitioning" in line]
+    assert len(exchanges) == 2 and all(f"{JOIN_KEY}#" in line and f"{SALT}#" in line for line in exchanges)
+
+
+def test_heavy_keys_with_large_locations(spark):
     df = spark.range(100, numPartitions=4).withColumn("street", F.concat(F.col("id") % 3, F.lit(" st")))
     reference = spark.range(2).select("id", F.concat("id", F.lit(" ST")).alias("a"), F.repeat(F.lit("x"), 999).alias("shape"))
     lookup = prepare_lookup(reference, ["a"], ["shape"], "id", new_area(spark, "lookup"))
     expected = geocode_enrich(df, lookup, ["street"], ["shape"])
-    monkeypatch.setattr("quayload.operators.enrich.BROADCAST_BYTES", 1000)
-    monkeypatch.setattr("quayload.operators.enrich.F.broadcast", lambda _: pytest.fail("broadcast"))
     located = geocode_enrich(df, lookup, ["street"], ["shape"], **join_options(spark, True))
     assert located.count() == 100
     assert not located.exceptAll(expected).take(1) and not expected.exceptAll(located).take(1)
@@ -161,7 +173,6 @@ def test_unknown_and_clashing_names(spark, reference, prepared):
         lambda: geocode_enrich(df, prepared, ["street"], ["nope"]),
         lambda: geocode_enrich(df, prepared, ["street"], ["lon"], ["nope"]),
         lambda: geocode_enrich(df, prepared, ["street"], ["lat"]),
-        lambda: geocode_enrich(df, prepared, ["street"], ["lon"], broadcast_bytes=0),
         lambda: prepare_lookup(reference, ["nope"], FIELDS, "id", "unused"),
         lambda: remove_fields(df, ["id", "nope"]),
     ):

@@ -8,23 +8,23 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quayload.operators.enrich import prepare_lookup
-from quayload.plans import refresh
 from quayload.plans.refresh import (
     DIVERT,
     RowsLost,
+    load_staged,
     publish_environments,
-    publish_partitions,
     publish_staged,
+    refresh_all,
     refresh_geocoded,
     refresh_records,
     refresh_table,
 )
 from quayload.sidecar import write_sidecar
-from quayload.sinks.publish import ServingArea
+from quayload.sinks.publish import PARTITION_BYTES, ServingArea, partitions_for
 from quayload.sources.records import land_records
 from quayload.sources.relational import CatalogSource
-from quayload.spec import TEST, TableSpec
-from quayload.staging import StagedTable, stage_table
+from quayload.spec import PRODUCTION, TEST, TableSpec, quote
+from quayload.staging import PLAIN_CSV, StagedTable, stage_table
 
 
 @pytest.fixture
@@ -132,13 +132,127 @@ def test_lost_rows_are_noticed(spark, tmp_path, area, on_misfit):
 
 
 def test_partitions_follow_the_size():
-    def partitions(size):
-        return publish_partitions(StagedTable(TableSpec("s", "t"), "path", 1, size), 8)
-
-    assert publish_partitions(StagedTable(TableSpec("s", "t"), "path"), 8) is None
-    assert partitions(0) == 1
-    assert partitions(1000) == 1
-    assert partitions(12 * 1024**2) == 3
-    assert partitions(1024**3) == 8
-    assert partitions(100 * refresh.PARTITION_BYTES) == 100
-    assert partitions(100 * 1024**4) == refresh.MOST_PARTITIONS
+    assert partitions_for(0, 8) == 1
+    assert partitions_for(1000, 8) == 1
+    assert partitions_for(12 * 1024**2, 8) == 3
+    assert partitions_for(1024**3, 8) == 8
+    assert partitions_for(100 * PARTITION_BYTES, 8) == 100
+    # no switch at a large size: a task's share stays the same
+    assert partitions_for(100 * 1024**4, 8) == 100 * 1024**4 // PARTITION_BYTES
+    assert partitions_for(100 * 1024**4, 8, 1024**3) == 100 * 1024
+
+
+def test_rejects_are_those_of_the_last_run(spark, tmp_path, area):
+    spec, root = TableSpec("s", "t"), str(tmp_path)
+    for way in (DIVERT, "fail"):
+        assert publish_staged(spark, stage_with_misfits(spark, root, spec), root, area, DIVERT).rejects == 3
+        assert os.path.exists(f"{root}/{spec.rejects_path}")
+        clean = stage_table(spark.range(4).select("id", F.lit(1).alias("n")), spec, root)
+        assert publish_staged(spark, clean, root, area, way).rejects == 0
+        assert not os.path.exists(f"{root}/{spec.rejects_path}")
+
+
+def test_typed_files_do_not_stay(spark, tmp_path, area):
+    spec, root = TableSpec("s", "t", keys=("id",)), str(tmp_path)
+    publish_staged(spark, stage_table(spark.range(9), spec, root), root, area)
+    assert not any(files for _, _, files in os.walk(f"{root}/typed"))
+
+
+def test_text_is_parsed_once(spark, tmp_path, area, monkeypatch):
+    """Each staged row is drawn once from the text, with keys and with rejects."""
+    import quayload.staging as staging
+
+    drawn = spark.sparkContext.accumulator(0)
+    real = staging.typed_load
+
+    def counting(*args, **kwargs):
+        load = real(*args, **kwargs)
+
+        def count(batches):
+            for batch in batches:
+                drawn.add(batch.num_rows)
+                yield batch
+
+        return staging.TypedLoad(load.parsed.mapInArrow(count, load.parsed.schema), load.names)
+
+    monkeypatch.setattr(staging, "typed_load", counting)
+    monkeypatch.setattr("quayload.plans.refresh.typed_load", counting)
+    root = str(tmp_path)
+    spec = TableSpec("s", "t", keys=("n", "id"))
+    rows = spark.range(1000).select("id", (F.col("id") % 7).cast("int").alias("n"))
+    publish_staged(spark, stage_table(rows, spec, root), root, area)
+    assert drawn.value == 1000
+    publish_staged(spark, stage_with_misfits(spark, root, spec), root, area, on_misfit=DIVERT)
+    assert drawn.value == 1009
+
+
+def test_a_lookup_with_a_key_twice_is_found_out(spark, tmp_path, area):
+    from quayload.operators.enrich import AddressLookup, KEY
+
+    rows = spark.createDataFrame([(1, "1 Main st.")], "id int, street string")
+    twice = spark.createDataFrame([("1 MAIN ST", 1.0), ("1 MAIN ST", 2.0)], f"{KEY} string, lat double")
+    lookup = AddressLookup(twice, ("lat",), 2, 100)
+    with pytest.raises(RowsLost):
+        refresh_geocoded(spark, TableSpec("a", "in"), TableSpec("a", "out"), rows, lookup, ["street"], ["lat"], str(tmp_path), area)
+
+
+def test_a_short_read_of_the_source_is_found_out(spark, tmp_path, area, mounted):
+    class Short(CatalogSource):
+        def read(self, *args):
+            return super().read(*args).where("id > 3")
+
+        def count(self, spark, spec):
+            return CatalogSource().count(spark, spec)
+
+    spec = TableSpec(mounted, "t")
+    with pytest.raises(RowsLost, match="96 staged, 100 in the source"):
+        refresh_table(spark, spec, Short(), str(tmp_path), area)
+    assert refresh_table(spark, spec, Short(), str(tmp_path), area, count_source=False).rows == 96
+
+
+def test_keys_in_another_letter_case(spark, tmp_path, area):
+    rows = spark.range(5).select(F.col("id").alias("OPA_ACCOUNT_NUM"), F.lit(1).alias("V"))
+    spec, root = TableSpec("lni", "permits", keys=("opa_account_num", "v")), str(tmp_path)
+    done = publish_staged(spark, stage_table(rows, spec, root), root, area)
+    assert spark.table(done.name).columns == ["OPA_ACCOUNT_NUM", "V"]
+    with pytest.raises(ValueError, match="unknown key: nope"):
+        publish_environments(spark, [(TableSpec("lni", "x", keys=("nope",)), rows)], root, area)
+    assert not os.path.exists(f"{root}/staging/lni/x.csv")
+
+
+def test_files_another_tool_staged(spark, tmp_path, area):
+    spec, root = TableSpec("s", "foreign", keys=("k",)), str(tmp_path)
+    folder = tmp_path / "staging" / "s"
+    folder.mkdir(parents=True)
+    (folder / "foreign.csv").write_text('k,v\n1,"two\nlines, one field"\n2,\n3,"a ""quoted"" word"\n', encoding="utf-8")
+    schema = T.StructType.fromDDL("k int, v string")
+    staged = StagedTable(spec, f"{root}/{spec.staging_path}")
+    done = publish_staged(spark, staged, root, area, fmt=PLAIN_CSV, schema=schema)
+    expected = [(1, "two\nlines, one field"), (2, None), (3, 'a "quoted" word')]
+    assert sorted(map(tuple, spark.table(done.name).collect())) == expected
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS s LOCATION '{tmp_path}/warehouse'")
+    write_sidecar(spark, schema, spec, root)
+    assert sorted(map(tuple, spark.table(load_staged(spark, staged, root, fmt=PLAIN_CSV)).collect())) == expected
+
+
+def test_each_environment_has_its_area(spark, tmp_path, area):
+    other = ServingArea(str(tmp_path / "other"), f"{area.prefix}other_")
+    tables = [(TableSpec("s", "t", environment=env), spark.range(n)) for env, n in ((TEST, 2), (PRODUCTION, 3))]
+    served = publish_environments(spark, tables, str(tmp_path), {TEST: other, PRODUCTION: area})
+    assert served[TEST].name == f"{quote(other.prefix + 's_test')}.`t`"
+    assert served[PRODUCTION].name == f"{quote(area.prefix + 's')}.`t`"
+    assert spark.table(served[TEST].name).count() == 2 and spark.table(served[PRODUCTION].name).count() == 3
+    with pytest.raises(ValueError, match="no serving area"):
+        publish_environments(spark, tables, str(tmp_path), {TEST: other})
+
+
+def test_one_failing_table_does_not_stop_the_others(spark, tmp_path, area):
+    specs = [TableSpec("s", name) for name in ("a", "b", "c")]
+
+    def run(spec):
+        if spec.table == "b":
+            raise RuntimeError("no source")
+        return publish_staged(spark, stage_table(spark.range(2), spec, str(tmp_path)), str(tmp_path), area)
+
+    outcomes = refresh_all(specs, run)
+    assert [type(outcomes[spec]).__name__ for spec in specs] == ["Refresh", "RuntimeError", "Refresh"]

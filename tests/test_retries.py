@@ -56,7 +56,7 @@ def test_shuffled_join(spark, flaky):
     assert lookup.rows == 2
     located = geocode_enrich(
         flaky, lookup, ["street"], ["lat"],
-        broadcast_bytes=0, path=new_area(spark, "heavy"), heavy_rows=334,
+        broadcast_bytes=0, heavy_rows=334,
     )
     counts = {row.lat: row["count"] for row in located.groupBy("lat").count().collect()}
     assert counts == {None: 334, 1.0: 333, 2.0: 333}

@@ -98,6 +98,56 @@ def test_looking_up_a_null_and_an_odd_name(spark, area):
     assert lookup(spark, name, {"odd name": "x", "name": 1}).count() == 0
 
 
+def test_lookups_by_zero(spark, area):
+    """0.0 equals -0.0, whatever the files' filters and dictionaries say."""
+    df = spark.range(20_000).select("id", F.when(F.col("id") == 7, F.lit(-0.0)).otherwise(F.col("id") % 5 + 1.0).alias("b"))
+    df = df.withColumn("f", F.col("b").cast("float"))
+    name = publish_table(df, TableSpec("s", "zero", keys=("id", "b", "f")), area)
+    for key in ("b", "f"):
+        for zero in (0.0, -0.0, 0):
+            assert [row.id for row in lookup(spark, name, {key: zero}).collect()] == [7]
+        assert lookup(spark, name, {key: 2}).count() == df.where("b = 2").count()
+    assert lookup(spark, name, {"f": 0.1}).count() == 0
+
+
+def test_only_keys_can_be_looked_up_by_their_own_types(spark, area):
+    from decimal import Decimal
+
+    df = spark.createDataFrame([("0077", 77, Decimal("1.50"), 1.0, "x")], "acct string, N int, d decimal(5,2), f double, other string")
+    name = publish_table(df, TableSpec("s", "typed", keys=("acct", "n", "d", "f")), area)
+    for values in ({}, {"other": "x"}, {"nope": 1}):
+        with pytest.raises(ValueError):
+            lookup(spark, name, values)
+    for values in ({"acct": 77}, {"n": "77"}, {"n": 77.0}, {"n": 1 << 40}, {"n": True}, {"d": 1.5}, {"d": Decimal("1.505")}, {"f": "1"}):
+        with pytest.raises(TypeError):
+            lookup(spark, name, values)
+    for values in ({"acct": "0077"}, {"ACCT": "0077", "n": 77}, {"d": Decimal("1.5")}, {"f": 1}):
+        assert lookup(spark, name, values).count() == 1
+
+
+def test_versions_on_their_way_are_not_old(spark, area):
+    spec = TableSpec("s", "t")
+    publish_table(spark.range(1), spec, area)
+    publish_table(spark.range(2), spec, area)
+    waiting = write_version(spark.range(3), spec, area)
+    for old in old_versions(spark, spec, area):
+        discard(spark, old)
+    assert spark.table(activate(spark, waiting)).count() == 3
+
+
+def test_partitions_come_from_the_input(spark, area, tmp_path, monkeypatch):
+    from quayload.sinks import publish
+
+    spark.range(200_000).write.parquet(str(tmp_path / "input"))
+    df = spark.read.parquet(str(tmp_path / "input"))
+    assert publish.input_bytes(df) > 100_000
+    monkeypatch.setattr(publish, "PARTITION_BYTES", 100_000)
+    monkeypatch.setattr(publish.partitions_for, "__defaults__", (100_000,))
+    name = publish_table(df, TableSpec("s", "sized", keys=("id",)), area)
+    files = spark.table(name).select(F.input_file_name()).distinct().count()
+    assert files > int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def test_publishing_an_empty_table(spark, area):
     for keys in ((), ("id",)):
         name = publish_table(spark.range(0), TableSpec("s", "t", keys=keys), area)
@@ -110,9 +160,9 @@ def test_timestamp_keys_have_statistics(spark, area):
     import glob
 
     stamps = spark.range(100).select(F.timestamp_seconds("id").alias("opened"))
-    before = spark.conf.get("spark.sql.parquet.outputTimestampType")
     publish_table(stamps, TableSpec("s", "t", keys=("opened",)), area)
-    assert spark.conf.get("spark.sql.parquet.outputTimestampType") == before
+    # set once and left, so that publishes at the same time cannot undo it for each other
+    assert spark.conf.get("spark.sql.parquet.outputTimestampType") == "TIMESTAMP_MICROS"
     (folder,) = glob.glob(f"{area.root}/*/t__*")
     for file in glob.glob(f"{folder}/*.parquet"):
         group = pq.ParquetFile(file).metadata.row_group(0).column(0)
@@ -129,7 +179,7 @@ def test_lookups_skip_most_of_a_keyed_table(spark, area):
         expected = lineitem.where(F.col(key) == value)
         found = lookup(spark, keyed, {key: value})
         assert not found.exceptAll(expected).take(1) and found.count() == expected.count()
-    assert rows_scanned(lookup(spark, plain, {"l_partkey": 77})) > total / 2
+    assert rows_scanned(spark.table(plain).where("l_partkey = 77")) > total / 2
     assert rows_scanned(lookup(spark, keyed, {"l_partkey": 77})) < total / 4
     assert rows_scanned(spark.table(keyed).where("l_partkey between 70 and 77")) < total / 4
     # Order 77 lies scattered over the files; bloom filters rule out those without it.
@@ -204,14 +254,22 @@ def test_a_wrong_row_count_is_not_swapped_in(spark, schema, monkeypatch):
 def test_a_swap_cut_short_is_completed(spark, schema, monkeypatch):
     name = load_table(spark.range(10), schema)
     inner = quote(schema.warehouse_schema)
-    spark.range(1).writeTo(f"{inner}.`supplier__loading_dead`").create()
-    spark.sql(f"ALTER TABLE {name} RENAME TO {inner}.`supplier__previous`")
+    for neighbour in ("supplier__loading_dock", "supplier__previous", "supplier__loading_0123abcd"):
+        spark.range(1).writeTo(f"{inner}.{quote(neighbour)}").create()
+    spark.range(1).writeTo(f"{inner}.`supplier__loading_deadbeef`").tableProperty(warehouse.MARK, "supplier").create()
+    spark.sql(f"ALTER TABLE {name} RENAME TO {inner}.`supplier__previous_0123abcd`")
     broken = spark.range(10).select(F.raise_error(F.lit("broken")).cast("int").alias("id"))
     with pytest.raises(Exception, match="broken"):
         load_table(broken, schema)
     assert spark.table(name).count() == 10
     assert spark.table(load_table(spark.range(2), schema)).count() == 2
-    assert tables(spark, schema) == ["supplier"]
+    # a load touches nothing but its own; leftovers go when asked for, and only those with the mark
+    assert warehouse.drop_leftovers(spark, schema) == ["supplier__loading_deadbeef"]
+    others = ["supplier__loading_0123abcd", "supplier__loading_dock", "supplier__previous"]
+    assert tables(spark, schema) == ["supplier", *others]
+    for working in ("supplier__previous_0123abcd", "supplier__loading_0123abcd"):
+        with pytest.raises(ValueError, match="side table"):
+            TableSpec("s", working)
 
 
 def test_jdbc_catalog_settings():

@@ -7,11 +7,17 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quayload.sources.records import extract_records, land_records
+from quayload.sources.records import (
+    IncompletePages,
+    count_incomplete,
+    extract_records,
+    land_records,
+)
 from quayload.sources.relational import (
     CatalogSource,
     ColumnSplit,
     JdbcSource,
+    PredicateSplit,
     bucket_split,
     extract_table,
     range_split,
@@ -44,7 +50,7 @@ class Reader:
 
 
 def test_whole_table_over_jdbc():
-    source = JdbcSource(URL, {"user": "login", "password": "secret"})
+    source = JdbcSource(URL, {"user": "login", "password": "secret"}, one_task=True)
     assert extract_table(Reader(), SPEC, source) == {
         "format": "jdbc",
         "url": URL,
@@ -64,7 +70,11 @@ def test_partitioned_over_jdbc():
     assert (asked["lowerBound"], asked["upperBound"]) == ("1", "100")
     assert asked["customSchema"] == "id DECIMAL(38,0)"
     asked = extract_table(Reader(), SPEC, source, bucket_split("ORA_HASH(ROWID, {last})", 3))
-    assert asked["predicates"] == [f"ORA_HASH(ROWID, 2) = {i}" for i in range(3)]
+    assert asked["predicates"] == [
+        "ORA_HASH(ROWID, 2) = 0 OR ORA_HASH(ROWID, 2) IS NULL",
+        "ORA_HASH(ROWID, 2) = 1",
+        "ORA_HASH(ROWID, 2) = 2",
+    ]
     assert asked["dbtable"] == "gis_schema.table" and asked["fetchsize"] == "10000"
 
 
@@ -72,7 +82,21 @@ def test_partitioned_over_jdbc():
 def test_spark_accepts_the_jdbc_options(spark, split):
     """As far as a session without any database driver gets."""
     with pytest.raises(Exception, match="No suitable driver"):
-        extract_table(spark, SPEC, JdbcSource("jdbc:none:here"), split)
+        extract_table(spark, SPEC, JdbcSource("jdbc:none:here", one_task=split is None), split)
+    with pytest.raises(Exception, match="No suitable driver"):
+        JdbcSource("jdbc:none:here").count(spark, SPEC)
+
+
+def test_reads_that_could_lose_rows_or_swamp_a_task_are_refused():
+    for make in (
+        lambda: bucket_split("k", 0),
+        lambda: PredicateSplit(()),
+        lambda: PredicateSplit(("k = 1", " ")),
+        lambda: ColumnSplit("k", "1", "9", 0),
+        lambda: extract_table(Reader(), SPEC, JdbcSource(URL)),
+    ):
+        with pytest.raises(ValueError):
+            make()
 
 
 def test_projection_and_snapshot_over_jdbc():
@@ -94,6 +118,9 @@ def test_range_split_takes_every_row_once(spark, bounds):
 
 def test_bucket_split_takes_every_row_once(spark):
     df = spark.range(1000).withColumn("k", F.lit("hot"))
+    predicates = bucket_split("nullif(pmod(xxhash64(id), {last} + 1), if(id < 0, 1, 2))", 7).predicates
+    counts = [df.where(p).count() for p in predicates]
+    assert sum(counts) == 1000 and counts[2] == 0
     predicates = bucket_split("pmod(xxhash64(id), {last} + 1)", 7).predicates
     counts = [df.where(p).count() for p in predicates]
     assert sum(counts) == 1000 and min(counts) > 50
@@ -134,7 +161,6 @@ def test_flat_and_nested_records(spark, tmp_path):
         {"records": [{"id": "a", "n": 1, "tags": ["x", None], "raw": {"a": 1, "b": "q"}}, {"id": "b"}]},
         {"records": [], "total": 3},
         {"records": [{"id": "c", "n": 3, "unknown": True}]},
-        {"other": 1},
     )
     rows = extract_records(spark, pages, RECORD)
     assert rows.schema == RECORD
@@ -160,6 +186,29 @@ def test_wrapped_values_and_inferred_schema(spark, tmp_path):
     assert extract_records(spark, pages, record, "fields").count() == 2
 
 
+def test_ids_beside_wrapped_values(spark, tmp_path):
+    pages = write_pages(tmp_path / "pages", {"records": [{"id": "r1", "createdTime": "t1", "fields": {"n": 2}}, {"id": "r2", "fields": {}}]})
+    beside = T.StructType().add("id", "string").add("createdTime", "string")
+    rows = extract_records(spark, pages, T.StructType().add("n", "long"), "fields", beside=beside)
+    assert sorted(map(tuple, rows.collect())) == [("r1", "t1", 2), ("r2", None, None)]
+
+
+@pytest.mark.parametrize("page", [{"error": "rate limit"}, {"records": None}, {"Records": [{"id": "x"}]}])
+def test_a_page_without_records_is_not_passed_over(spark, tmp_path, page):
+    pages = write_pages(tmp_path / "pages", {"records": [{"id": "a"}]}, page)
+    with pytest.raises(Exception, match="no list of records"):
+        extract_records(spark, pages, RECORD).collect()
+    with pytest.raises(Exception, match="no list of records"):
+        extract_records(spark, pages, RECORD).count()
+    assert extract_records(spark, pages, RECORD, skip_incomplete=True).count() == 1
+    assert count_incomplete(spark, pages) == 1
+
+
+def test_pages_without_any_records(spark, tmp_path):
+    with pytest.raises(IncompletePages):
+        extract_records(spark, write_pages(tmp_path / "pages", {"error": "x"}))
+
+
 def test_one_page_per_file(spark, tmp_path):
     for page, ids in enumerate((["a", "b"], ["c"])):
         (tmp_path / f"{page}.json").write_text(json.dumps({"records": [{"id": i} for i in ids]}, indent=2))

@@ -4,10 +4,18 @@ import pytest
 from pyspark.sql import functions as F
 
 from quayload.functions.text import compose_query_key, point_wkt, spell_digits
-from quayload.spec import TEST, TableSpec, load_specs, spell_schema_name
+from quayload.spec import TEST, TableSpec, load_specs, spec_from_config, spell_schema_name
 from quayload.workspace import new_area, workspace_root
 
 
+@pytest.mark.parametrize(
+    ("source", "environment"),
+    [("latest", "production"), ("contest_db", "production"), ("app-test", "test"), ("test_app", "test"), ("app_Test", "test")],
+)
+def test_the_environment_is_a_whole_word(source, environment):
+    assert spec_from_config("s", "t", {"knack_conn_id": source}).environment == environment
+
+
 def test_names_and_paths():
     spec = TableSpec("schema", "table")
     assert spec.staging_path == "staging/schema/table.csv"

@@ -211,7 +211,9 @@ def test_bad_rows_are_split_off(spark, tmp_path):
         (6, None, None, None, None, None),
     ]
     rejects = load.rejects.collect()
-    assert sorted(row.raw_record for row in rejects) == sorted(bad)
+    # A record with a field count of its own is given as it came, others with as few quotes as they need.
+    rendered = [line.replace('"[1]"', "[1]") for line in bad]
+    assert sorted(row.raw_record for row in rejects) == sorted(rendered)
     assert all(row.source_file.endswith("part.csv") for row in rejects)
     # The split does not depend on which columns are asked for.
     assert load.rows.count() == 2 and load.rejects.count() == len(bad)
@@ -242,3 +244,50 @@ def test_sidecar_keeps_the_schema(spark, tmp_path):
     schema = T.StructType.fromDDL("k int not null, m map<string,array<decimal(9,2)>>")
     write_sidecar(spark, schema, SPEC, str(tmp_path))
     assert read_sidecar(spark, SPEC, str(tmp_path)) == schema
+
+
+def load_texts(spark, tmp_path, kind, texts):
+    """What becomes of each text in a column of the given type; ``misfit`` if it is refused."""
+    rows = spark.createDataFrame(list(enumerate(texts)), "k int, v string")
+    stage_table(rows, SPEC, str(tmp_path))
+    write_sidecar(spark, T.StructType.fromDDL(f"k int, v {kind}"), SPEC, str(tmp_path))
+    load = typed_load(spark, SPEC, str(tmp_path))
+    found = {row.k: row.v for row in load.rows.collect()}
+    return [found.get(i, "misfit") for i in range(len(texts))]
+
+
+def test_decimals_are_exact_or_refused(spark, tmp_path):
+    wide = ["1.12345678915", "1.1234567891", "1.12345678910000", "12e-1", "100e-12", "1e3", "0e-99", ".5", "5.", "x", None]
+    got = load_texts(spark, tmp_path, "decimal(38,10)", wide)
+    assert got == ["misfit", Decimal("1.1234567891"), Decimal("1.1234567891"), Decimal("1.2"), Decimal("1e-10"),
+                   Decimal(1000), Decimal(0), Decimal("0.5"), Decimal(5), "misfit", None]
+    assert load_texts(spark, tmp_path, "decimal(38,1)", ["1.55", "1.50", "-0.1"]) == ["misfit", Decimal("1.5"), Decimal("-0.1")]
+    big = "9" * 38
+    assert load_texts(spark, tmp_path, "decimal(38,0)", [big, big + "0", "1.5", "1.0"]) == [Decimal(big), "misfit", "misfit", Decimal(1)]
+
+
+def test_floating_text_is_a_number_or_refused(spark, tmp_path):
+    texts = ["1.5", "1.5d", "1f", "0x1p3", "1e5", "-.5", "1e999", "Infinity", "-Infinity", "one", "", " 2.0 ", None]
+    got = load_texts(spark, tmp_path, "double", texts)
+    assert got == [1.5, "misfit", "misfit", "misfit", 1e5, -0.5, "misfit", float("inf"), float("-inf"), "misfit", "misfit", 2.0, None]
+    (nan,) = load_texts(spark, tmp_path, "float", ["NaN"])
+    assert nan != nan
+
+
+def test_nested_text_is_one_value(spark, tmp_path):
+    texts = ["[1]", '[1],"v":[2]', "[1],[2]", "[1] junk", '[1]} {"v":[2]', "[1]], [[2]", "[]", "null", None, '["x"]']
+    assert load_texts(spark, tmp_path, "array<int>", texts) == [[1], *["misfit"] * 5, [], None, None, "misfit"]
+
+
+def test_a_staging_cut_short_leaves_no_sidecar(spark, tmp_path):
+    stage_table(spark.range(3), SPEC, str(tmp_path))
+    broken = spark.range(3).select(F.raise_error(F.lit("broken")).cast("string").alias("v"))
+    with pytest.raises(Exception, match="broken"):
+        stage_table(broken, SPEC, str(tmp_path))
+    with pytest.raises(Exception):
+        read_staged(spark, SPEC, str(tmp_path))
+
+
+def test_the_sidecar_is_one_file(spark, tmp_path):
+    stage_table(spark.range(3), SPEC, str(tmp_path))
+    assert (tmp_path / SPEC.sidecar_path).is_file()
