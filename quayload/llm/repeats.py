@@ -26,7 +26,8 @@ LAST = np.iinfo(np.int64).max
 NO_BYTES = hashlib.sha256(b"").hexdigest()
 
 BLOBS = "bucket int, kind int, key binary, key2 binary, rid binary, ord binary, pos binary, data binary"
-MARKS = "rid long, pos array<int>, mask array<long>"
+#: A place in a text, with a number that says more about it.
+MARKS = "rid long, pos int, mask long"
 #: Kinds of blob rows: to be compared with other batches (two forms), and settled ones.
 OPEN, WINDOWS, SETTLED = 0, 1, 2
 
@@ -80,18 +81,13 @@ def joined(table: pa.Table, name: str, kind: type) -> np.ndarray:
     return np.frombuffer(b"".join(x for x in table[name].to_pylist() if x), kind)
 
 
-def by_document(rid: np.ndarray, pos: np.ndarray, mask: np.ndarray | None = None) -> pa.Table:
-    """A row per document with its positions, as MARKS has them."""
-    order = np.argsort(rid, kind="stable")
-    rid, pos = rid[order], pos[order]
-    starts = np.flatnonzero(np.concatenate([[True], rid[1:] != rid[:-1]])) if len(rid) else np.zeros(0, np.int64)
-    ends = np.concatenate([starts, [len(rid)]]).astype(np.int32)
-    masks = np.zeros(len(rid), np.int64) if mask is None else mask[order].astype(np.int64)
+def marks(rid: np.ndarray, pos: np.ndarray, mask: np.ndarray | None = None) -> pa.Table:
+    """A row per place, as MARKS has them."""
     return pa.table(
         {
-            "rid": pa.array(rid[starts].astype(np.int64)),
-            "pos": pa.ListArray.from_arrays(ends, pa.array(pos.astype(np.int32))),
-            "mask": pa.ListArray.from_arrays(ends, pa.array(masks)),
+            "rid": pa.array(rid.astype(np.int64)),
+            "pos": pa.array(pos.astype(np.int32)),
+            "mask": pa.array(np.zeros(len(rid), np.int64) if mask is None else mask.astype(np.int64)),
         }
     )
 
@@ -110,12 +106,10 @@ def in_groups(same: np.ndarray) -> np.ndarray:
     return same | np.concatenate([same[1:], [False]])
 
 
-def marked_texts(texts: DataFrame, marks: DataFrame) -> DataFrame:
-    """Left join of ``texts`` to all marks of their document (``pos`` and ``mask``)."""
-    gathered = marks.groupBy("rid").agg(
-        F.flatten(F.collect_list("pos")).alias("pos"), F.flatten(F.collect_list("mask")).alias("mask")
-    )
-    return texts.join(gathered, "rid", "left")
+def marked_texts(texts: DataFrame, found: DataFrame) -> DataFrame:
+    """Left join of ``texts`` to the lists ``pos`` and ``mask`` of all marks in them."""
+    gathered = found.groupBy("rid").agg(F.collect_list(F.struct("pos", "mask")).alias("marks"))
+    return texts.join(gathered.select("rid", "marks.pos", "marks.mask"), "rid", "left")
 
 
 def settle(rows: DataFrame, compare: Callable[[pa.Table], pa.Table]) -> DataFrame:
@@ -126,8 +120,8 @@ def settle(rows: DataFrame, compare: Callable[[pa.Table], pa.Table]) -> DataFram
         parts = [compare(table.filter(pc.not_equal(table["kind"], SETTLED)))]
         if done.num_rows:
             data = joined(done, "data", np.int64)
-            parts.append(by_document(joined(done, "rid", np.int64), joined(done, "pos", np.int32), data if len(data) else None))
-        return pa.concat_tables([part for part in parts if part is not None] or [by_document(*[np.zeros(0, np.int64)] * 2)])
+            parts.append(marks(joined(done, "rid", np.int64), joined(done, "pos", np.int32), data if len(data) else None))
+        return pa.concat_tables(parts)
 
     return rows.groupBy("bucket").applyInArrow(run, MARKS)
 

@@ -27,13 +27,13 @@ from quayload.llm.repeats import (
     answer_rows,
     blobs,
     buckets_for,
-    by_document,
     distinct_texts,
     in_groups,
     joined,
     lists,
     map_texts,
     marked_texts,
+    marks,
     same_as_before,
     settle,
     settled,
@@ -122,7 +122,7 @@ def compare_anchors(table: pa.Table) -> pa.Table:
     key, rid, pos = joined(table, "key", np.uint64), joined(table, "rid", np.int64), joined(table, "pos", np.int32)
     order = np.argsort(key, kind="stable")
     twice = order[in_groups(same_as_before(key[order]))]
-    return by_document(rid[twice], pos[twice])
+    return marks(rid[twice], pos[twice])
 
 
 def windows(marked: DataFrame, buckets: int, window: int) -> DataFrame:
@@ -131,8 +131,8 @@ def windows(marked: DataFrame, buckets: int, window: int) -> DataFrame:
     def make(table: pa.Table) -> Iterator[pa.Table]:
         ends, words = word_hashes(table["text"].to_pylist(), WordHashes())
         row, place, left = _places(ends)
-        mark_ends, marks = lists(table["pos"])
-        at = ends[:-1].repeat(np.diff(mark_ends)) + marks
+        mark_ends, places = lists(table["pos"])
+        at = ends[:-1].repeat(np.diff(mark_ends)) + places
         near = np.zeros(len(words) + 1, np.int32)
         np.add.at(near, at + 1, -1)
         np.add.at(near, np.maximum(at - PERIOD + 1, ends[:-1].repeat(np.diff(mark_ends))), 1)
@@ -159,7 +159,7 @@ def compare_windows(table: pa.Table) -> pa.Table:
     rid, pos = joined(table, "rid", np.int64), joined(table, "pos", np.int32)
     order = np.lexsort((pos, rid, ord_, key2, key))
     later = order[same_as_before(key[order], key2[order])]
-    return by_document(rid[later], pos[later])
+    return marks(rid[later], pos[later])
 
 
 def covered(starts: np.ndarray, window: int, size: int) -> np.ndarray:
@@ -174,11 +174,11 @@ def kept_texts(marked: DataFrame, window: int, with_text: bool) -> DataFrame:
     schema = "sha string, ord long, copies long, n_words long, n_removed long, kept_sha256 string, whole_sha256 string"
 
     def make(table: pa.Table) -> Iterator[pa.Table]:
-        mark_ends, marks = lists(table["pos"])
+        mark_ends, places = lists(table["pos"])
         out: dict[str, list] = {c: [] for c in ("n_words", "n_removed", "kept_sha256", "whole_sha256", "kept_text")}
         for i, text in enumerate(table["text"].to_pylist()):
             words = text.encode("utf-8", "surrogatepass").split()
-            starts = marks[mark_ends[i] : mark_ends[i + 1]]
+            starts = places[mark_ends[i] : mark_ends[i + 1]]
             whole = kept = b" ".join(words)
             gone = 0
             if len(starts):
@@ -213,7 +213,7 @@ def substring_dedup(docs: DataFrame, files: Files, window: int = WINDOW, with_te
         raise ValueError(f"the window must have more than {PERIOD} words")
     entries, texts = distinct_texts(docs, files)
     buckets = buckets_for(texts, partition_bytes(docs.sparkSession), 1.0)
-    survivors = files.write(settle(anchors(texts, buckets, window), compare_anchors).select("rid", "pos", "mask"), "survivors")
+    survivors = files.write(settle(anchors(texts, buckets, window), compare_anchors), "survivors")
     near = marked_texts(texts, survivors).where("pos IS NOT NULL")
     removed = files.write(settle(windows(near, buckets, window), compare_windows), "removed")
     kept = files.write(kept_texts(marked_texts(texts, removed), window, with_text), "kept")

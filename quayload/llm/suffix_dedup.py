@@ -37,13 +37,13 @@ from quayload.llm.repeats import (
     answer_rows,
     blobs,
     buckets_for,
-    by_document,
     distinct_texts,
     in_groups,
     joined,
     lists,
     map_texts,
     marked_texts,
+    marks,
     same_as_before,
     settle,
     settled,
@@ -107,16 +107,13 @@ def anchors(texts: DataFrame, buckets: int) -> DataFrame:
         row = np.searchsorted(ends, at, "right") - 1
         rid = np.array([x[0] for x in parts], np.int64)[row]
         pos = (at - ends[row] + np.array([x[1] for x in parts], np.int64)[row]).astype(np.int32)
-        order = np.lexsort((pos, rid, key))
+        order = np.argsort(key, kind="stable")
         key, rid, pos = key[order], rid[order], pos[order]
         again = same_as_before(key, rid, pos)
         key, rid, pos = key[~again], rid[~again], pos[~again]
         same = same_as_before(key)
-        group = np.cumsum(~same) - 1
         first = np.flatnonzero(~same)
-        shared = np.zeros(len(first), bool)
-        np.logical_or.at(shared, group, rid != rid[first][group])
-        sure = shared[group] if len(first) else same
+        sure = several(rid, first)
         if sure.any():
             yield settled(buckets, rid[sure], pos[sure])
         own = ~sure | ~same
@@ -125,18 +122,24 @@ def anchors(texts: DataFrame, buckets: int) -> DataFrame:
     return map_texts(texts.select("rid", "text"), make, BLOBS, BATCH_BYTES)
 
 
+def several(values: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """For entries in groups that begin at ``first``: whether the group holds different values."""
+    if not len(values):
+        return np.zeros(0, bool)
+    differ = np.minimum.reduceat(values, first) != np.maximum.reduceat(values, first)
+    return np.repeat(differ, np.diff([*first, len(values)]))
+
+
 def compare_anchors(limit: int):
     def compare(table: pa.Table) -> pa.Table:
         key, rid, pos = joined(table, "key", np.uint64), joined(table, "rid", np.int64), joined(table, "pos", np.int32)
-        order = np.lexsort((rid, key))
+        order = np.argsort(key)
         key, rid, pos = key[order], rid[order], pos[order]
         first = np.flatnonzero(~same_as_before(key))
-        last = np.concatenate([first[1:], [len(key)]])[: len(first)] - 1
-        shared = rid[first] != rid[last]
-        keep = np.repeat(shared, last - first + 1)
-        hot = key[first[(last - first + 1) > limit]]
-        found = by_document(rid[keep], pos[keep])
-        named = by_document(np.full(len(hot), HOT_RID, np.int64), np.zeros(len(hot), np.int32), hot.view(np.int64))
+        keep = several(rid, first)
+        hot = key[first[np.diff([*first, len(key)]) > limit]]
+        found = marks(rid[keep], pos[keep])
+        named = marks(np.full(len(hot), HOT_RID, np.int64), np.zeros(len(hot), np.int32), hot.view(np.int64))
         return pa.concat_tables([found, named])
 
     return compare
@@ -151,19 +154,16 @@ def contexts(marked: DataFrame, buckets: int, hot: np.ndarray) -> DataFrame:
         sizes = np.array([len(x) for x in raw], np.int64)
         starts = np.concatenate([[0], np.cumsum(sizes)])[:-1]
         data = np.frombuffer(b"\0" * BEFORE + b"".join(raw) + b"\0" * WINDOW, np.uint8)
-        mark_ends, marks = lists(table["pos"])
+        mark_ends, places = lists(table["pos"])
         row = np.repeat(np.arange(len(raw)), np.diff(mark_ends))
-        pos = marks.astype(np.int64)
-        bytes_ = data[(starts[row] + pos + BEFORE)[:, None] + columns]
-        before = np.minimum(pos, BEFORE).astype(np.uint8)
-        after = np.minimum(sizes[row] - pos, WINDOW).astype(np.uint8)
+        pos = places.astype(np.int64)
+        at = starts[row] + pos + BEFORE
+        grams = mixed(rolled(data.astype(np.uint64) + np.uint64(1), GRAM, MULTIPLIERS[0])) | np.uint64(1)
+        key = grams[at]
+        before, after = _reach(grams, at, key, pos, sizes[row])
+        bytes_ = data[at[:, None] + columns]
         bytes_[columns[None] < -before.astype(np.int64)[:, None]] = 0
         bytes_[columns[None] >= after.astype(np.int64)[:, None]] = 0
-        gram = bytes_[:, BEFORE : BEFORE + GRAM].astype(np.uint64) + np.uint64(1)
-        key = np.zeros(len(gram), np.uint64)
-        for j in range(GRAM):
-            key = key * np.uint64(MULTIPLIERS[0]) + gram[:, j]
-        key = mixed(key) | np.uint64(1)
         rid, ord_ = np.array(table["rid"])[row], np.array(table["ord"])[row]
         near = np.isin(key, hot)
         yield from _open_contexts(buckets, *(x[~near] for x in (key, rid, ord_, pos, bytes_, before, after)))
@@ -173,6 +173,22 @@ def contexts(marked: DataFrame, buckets: int, hot: np.ndarray) -> DataFrame:
     return map_texts(marked.select("rid", "ord", "text", "pos"), make, BLOBS, BATCH_BYTES)
 
 
+def _reach(grams, at, key, pos, sizes) -> tuple[np.ndarray, np.ndarray]:
+    """How many bytes before and from each anchor on belong to windows whose least gram it is.
+
+    A smaller gram on either side ends them, as does the text.
+    """
+    before, after = np.empty(len(at), np.int64), np.empty(len(at), np.int64)
+    for part in range(0, len(at), 8192):
+        own = slice(part, part + 8192)
+        around = grams[np.minimum(at[own, None] + np.arange(-BEFORE, BEFORE + 1), len(grams) - 1)] < key[own, None]
+        left = np.where(around[:, :BEFORE].any(axis=1), around[:, :BEFORE][:, ::-1].argmax(axis=1), BEFORE)
+        right = np.where(around[:, BEFORE + 1 :].any(axis=1), around[:, BEFORE + 1 :].argmax(axis=1), BEFORE)
+        before[own] = np.minimum(pos[own], left)
+        after[own] = np.minimum(sizes[own] - pos[own], right + GRAM)
+    return before.astype(np.uint8), after.astype(np.uint8)
+
+
 def _valid(before: np.ndarray, after: np.ndarray) -> np.ndarray:
     """For each anchor and place d: whether the window that begins d bytes before it is inside the text."""
     d = np.arange(BEFORE + 1)[None]
@@ -236,14 +252,14 @@ def _open_windows(buckets, rid, ord_, pos, bytes_, before, after) -> Iterator[pa
 def radix_pass(group: np.ndarray, digit: np.ndarray, ord_: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Refine groups by one more digit: which entries go on, and their new groups.
 
-    Entries whose group holds a single document are finished.
+    Entries with equal group and digit are brought together by a mixed 64-bit
+    value of both. Those whose new group holds a single document are finished.
     """
-    order = np.lexsort((digit, group))
-    g, o = np.cumsum(~same_as_before(group[order], digit[order])) - 1, ord_[order]
-    first = np.flatnonzero(~same_as_before(g))
-    several = (np.minimum.reduceat(o, first) != np.maximum.reduceat(o, first)) if len(first) else np.zeros(0, bool)
-    on = several[g] if len(g) else np.zeros(0, bool)
-    return order[on], g[on]
+    order = np.argsort(mixed(mixed(digit) + group.astype(np.uint64)))
+    g, d, o = group[order], digit[order], ord_[order]
+    first = np.flatnonzero(~same_as_before(g, d))
+    on = several(o, first)
+    return order[on], np.repeat(np.arange(len(first)), np.diff([*first, len(o)]))[on] if len(o) else g
 
 
 def digits(window: np.ndarray) -> Iterator[np.ndarray]:
@@ -281,7 +297,7 @@ def compare_contexts(table: pa.Table) -> pa.Table:
             later = some[ord_[some] > np.repeat(least, np.diff([*first, len(some)]))]
             mask[later] |= np.int64(1) << np.int64(d)
     hit = mask != 0
-    found = by_document(rid[hit], pos[hit], mask[hit])
+    found = marks(rid[hit], pos[hit], mask[hit])
 
     wide = table.filter(pc.equal(table["kind"], WINDOWS))
     if not wide.num_rows:
@@ -292,7 +308,7 @@ def compare_contexts(table: pa.Table) -> pa.Table:
     same = same_as_before(key[order], key2[order])
     first = np.maximum.accumulate(np.where(same, 0, np.arange(len(order))))
     later = order[ord_[order] > ord_[order][first]]
-    return pa.concat_tables([found, by_document(rid[later], pos[later], bit[later])])
+    return pa.concat_tables([found, marks(rid[later], pos[later], bit[later])])
 
 
 def removed_starts(pos: np.ndarray, mask: np.ndarray) -> np.ndarray:
@@ -305,7 +321,7 @@ def kept_bytes(marked: DataFrame, with_text: bool) -> DataFrame:
     schema = "sha string, ord long, copies long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
     def make(table: pa.Table) -> Iterator[pa.Table]:
-        mark_ends, marks = lists(table["pos"])
+        mark_ends, places = lists(table["pos"])
         _, masks = lists(table["mask"])
         out: dict[str, list] = {c: [] for c in ("n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text")}
         for i, text in enumerate(table["text"].to_pylist()):
@@ -315,7 +331,7 @@ def kept_bytes(marked: DataFrame, with_text: bool) -> DataFrame:
             kept = data
             if own.stop > own.start:
                 change = np.zeros(len(data) + 1, np.int32)
-                starts = removed_starts(marks[own].astype(np.int64), masks[own])
+                starts = removed_starts(places[own].astype(np.int64), masks[own])
                 np.add.at(change, starts, 1)
                 np.add.at(change, starts + WINDOW, -1)
                 drop = np.cumsum(change[:-1]) > 0
@@ -350,11 +366,11 @@ def suffix_dedup(docs: DataFrame, files: Files, with_text: bool = True, hot_limi
     """
     entries, texts = distinct_texts(docs, files)
     bytes_each = partition_bytes(docs.sparkSession)
-    buckets = buckets_for(texts, bytes_each, 1.2)
+    buckets = buckets_for(texts, bytes_each, 4.0)
     limit = hot_limit or max(100, bytes_each // (CONTEXT + 2) // HOT_PART)
     found = files.write(settle(anchors(texts, buckets), compare_anchors(limit)), "survivors")
     # Occurrences beyond ``limit`` fill a tenth of a bucket, so there are at most some ten keys per bucket.
-    named = found.where(F.col("rid") == HOT_RID).select(F.explode("mask").alias("key")).distinct().collect()
+    named = found.where(F.col("rid") == HOT_RID).select(F.col("mask").alias("key")).distinct().collect()
     hot = np.array([r["key"] for r in named], np.int64).view(np.uint64)
     near = marked_texts(texts, found.where(F.col("rid") != HOT_RID)).where("pos IS NOT NULL")
     removed = files.write(settle(contexts(near, buckets, hot), compare_contexts), "removed")
