@@ -1,17 +1,21 @@
 """MinHash near-dedup by a multi-index Hamming join.
 
-A document's signature is 40 symbols of 15 bits, each the least hash of its
-shingles under one of 40 functions. The distance of two signatures is the number
-of symbols that differ. Signatures are cut into 10 chunks of 4 symbols. By the
-pigeonhole principle two signatures at distance 19 or less have a chunk with at
-most one error, so a document is indexed by each chunk with each of its symbols
-left out: all pairs within that distance meet, and most of those beyond.
-At a similarity of 0.8 a pair fails to meet once in 27 million.
-
-Documents with equal sets are one class. Meeting classes are compared first with
-a few leaders of their index entry, on whole sets; only what this leaves in
-different components is compared pair by pair. So a group of copies costs a
-number of comparisons in proportion to its size.
+A document's signature is 80 symbols of 14 bits, each the least hash of its
+shingles under one of 80 functions. The distance of two signatures is the number
+of symbols that differ. The first 40 symbols are cut into 10 chunks of 4. By the
+pigeonhole principle two signatures that differ in 19 of the 40 or fewer have a
+chunk with at most one error, so a document is indexed by each chunk with each
+of its symbols left out: all pairs within that distance meet, and most of those
+beyond. At a similarity of 0.8 a pair fails to meet once in 27 million, and one
+in about 100,000 is beyond the distance of 32 of 80 that is compared at all, or of
+135 of 480 in the longer signature of documents that meet others.
+
+Documents with equal sets are one class. Meeting classes are first compared, on
+whole sets, with two leaders of their index entry: the one that most others meet
+in all entries together, which in a group of copies is the text they come from,
+and one chosen by a hash. Only what this leaves in different components is
+compared pair by pair, each pair in the first entry it meets in, and not if the
+distances to a common leader rule it out (1 - similarity is a metric).
 """
 
 from __future__ import annotations
@@ -33,20 +37,21 @@ from quayload.llm.substring_dedup import MULTIPLIERS, WordHashes, mixed, rolled
 
 SHINGLE, SIMILARITY = 4, (80, 100)
 CHUNKS, CHUNK = 10, 4
-SYMBOLS, BITS, LANES = CHUNKS * CHUNK, 15, 3
-#: Pairs of a greater distance aren't compared; at a similarity of 0.8 one in 6 million is greater.
-MOST_DISTANCE = 23
-#: Orders in which an index entry's leader is the first.
-LEADERS = 3
+#: A number holds the symbols of one chunk, in lanes with a bit to spare.
+SYMBOLS, BITS, LANES = 80, 14, CHUNK
+#: Symbols of the longer signature of those that meet others.
+LONG = 480
+#: Pairs of a greater distance aren't compared: in the signature, and in the longer one.
+MOST_DISTANCE, MOST_LONG = 32, 135
 BATCH_BYTES = 1 << 20
 SEED = 31
 
 _random = np.random.default_rng(SEED)
-FACTORS = _random.integers(0, 1 << 63, SYMBOLS, np.uint64) * np.uint64(2) + np.uint64(1)
-SHIFTS = _random.integers(0, 1 << 63, SYMBOLS, np.uint64)
+FACTORS = _random.integers(0, 1 << 63, LONG, np.uint64) * np.uint64(2) + np.uint64(1)
+SHIFTS = _random.integers(0, 1 << 63, LONG, np.uint64)
 #: One in each lane's highest bit; all others.
-HIGH = sum(1 << (16 * lane + 15) for lane in range(LANES))
-LOW = sum(0x7FFF << (16 * lane) for lane in range(LANES))
+HIGH = sum(1 << ((BITS + 1) * lane + BITS) for lane in range(LANES))
+LOW = sum(((1 << BITS) - 1) << ((BITS + 1) * lane) for lane in range(LANES))
 
 
 def shingle_hashes(text: str, width: int, memory: WordHashes) -> np.ndarray:
@@ -59,29 +64,41 @@ def shingle_hashes(text: str, width: int, memory: WordHashes) -> np.ndarray:
     return np.unique(mixed(rolled(values, size, MULTIPLIERS[0]) + np.uint64(size)))
 
 
-def signature(hashes: np.ndarray) -> np.ndarray:
-    """The symbols of a non-empty set."""
-    least = np.array([(hashes * a + b).min() for a, b in zip(FACTORS, SHIFTS, strict=True)])
+def signature(hashes: np.ndarray, size: int = SYMBOLS) -> np.ndarray:
+    """The first ``size`` symbols of a non-empty set."""
+    least = np.array([(hashes * a + b).min() for a, b in zip(FACTORS[:size], SHIFTS[:size], strict=True)])
     return (mixed(least) >> np.uint64(64 - BITS)).astype(np.int64)
 
 
 def packed(symbols: np.ndarray) -> np.ndarray:
-    """Three symbols to a number, in lanes of 16 bits whose highest bit is 0."""
-    padded = np.zeros((len(symbols), -(-SYMBOLS // LANES) * LANES), np.int64)
-    padded[:, :SYMBOLS] = symbols
-    return sum(padded[:, lane::LANES] << (16 * lane) for lane in range(LANES))
+    """Four symbols to a number, each in a lane whose highest bit is 0."""
+    return sum(symbols[:, lane::LANES] << ((BITS + 1) * lane) for lane in range(LANES))
 
 
 def unpacked(numbers: np.ndarray) -> np.ndarray:
-    lanes = [(numbers >> (16 * lane)) & 0x7FFF for lane in range(LANES)]
-    return np.stack(lanes, axis=2).reshape(len(numbers), -1)[:, :SYMBOLS]
+    lanes = [(numbers >> ((BITS + 1) * lane)) & ((1 << BITS) - 1) for lane in range(LANES)]
+    return np.stack(lanes, axis=2).reshape(len(numbers), -1)
+
+
+def _errors(a: str, b: str) -> str:
+    """How many symbols of each chunk differ: adding LOW carries into a lane's highest bit unless the lane is 0."""
+    return f"zip_with({a}, {b}, (x, y) -> bit_count(((x ^ y) + {LOW}L) & {HIGH}L))"
 
 
 def distance(a: str, b: str) -> Column:
-    """Number of lanes that differ: adding LOW carries into a lane's highest bit unless the lane is 0."""
-    return F.expr(
-        f"aggregate(zip_with({a}, {b}, (x, y) -> bit_count(((x ^ y) + {LOW}L) & {HIGH}L)), 0, (s, n) -> s + n)"
-    )
+    return F.expr(f"aggregate({_errors(a, b)}, 0, (s, n) -> s + n)")
+
+
+def first_meeting(key: str, a: str, b: str) -> Column:
+    """Whether ``key`` is the first of the keys that two signatures share.
+
+    They share a chunk's keys if it has no error, and one of them if it has one.
+    """
+    chunk = f"(shiftrightunsigned({key}, {BITS * (CHUNK - 1)}) div {CHUNK})"
+    out = f"(shiftrightunsigned({key}, {BITS * (CHUNK - 1)}) % {CHUNK})"
+    first = f"array_position(transform(slice({_errors(a, b)}, 1, {CHUNKS}), n -> n <= 1), true)"
+    whole = f"element_at({a}, int({chunk}) + 1) = element_at({b}, int({chunk}) + 1)"
+    return F.expr(f"{first} = {chunk} + 1 AND ({out} = 0 OR NOT {whole})")
 
 
 def index_keys(symbols: np.ndarray) -> np.ndarray:
@@ -147,7 +164,7 @@ def _index(classes: DataFrame) -> DataFrame:
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """rid and set (hashes, sorted, 8 bytes each) of the classes in ``wanted`` (rid, first_id, set_key).
+    """rid, set (hashes, sorted, 8 bytes each) and longer signature of the classes in ``wanted`` (rid, first_id, set_key).
 
     A class's set comes from a row with its smallest doc_id.
     """
@@ -156,41 +173,59 @@ def _sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
 
     def make(table: pa.Table) -> Iterator[pa.Table]:
         memory = WordHashes()
-        rids, sets = [], []
+        rids, sets, longer = [], [], []
         texts = pc.fill_null(table["text"].cast(pa.large_string()), "").to_pylist()
         for rid, key, text in zip(table["rid"].to_pylist(), table["set_key"].to_pylist(), texts, strict=True):
-            data = shingle_hashes(text, width, memory).tobytes()
+            hashes = shingle_hashes(text, width, memory)
+            data = hashes.tobytes()
             # rows that share a doc_id may have other sets
             if hashlib.blake2b(data, digest_size=16).hexdigest() == key:
                 rids.append(rid)
                 sets.append(data)
-        yield pa.table({"rid": pa.array(rids, pa.int64()), "shingles": pa.array(sets, pa.binary())})
+                longer.append(packed(signature(hashes, LONG)[None])[0])
+        ends = np.arange(len(rids) + 1, dtype=np.int32) * (LONG // LANES)
+        values = np.concatenate(longer) if longer else np.zeros(0, np.int64)
+        yield pa.table(
+            {
+                "rid": pa.array(rids, pa.int64()),
+                "shingles": pa.array(sets, pa.binary()),
+                "longer": pa.ListArray.from_arrays(ends, values),
+            }
+        )
 
-    return found.mapInArrow(in_batches(make, BATCH_BYTES), "rid long, shingles binary").dropDuplicates(["rid"])
+    made = found.mapInArrow(in_batches(make, BATCH_BYTES), "rid long, shingles binary, longer array<long>")
+    return made.dropDuplicates(["rid"])
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame, similarity: tuple[int, int]) -> DataFrame:
-    """Pairs (a, b) whose whole sets are similar enough."""
+def _compared(pairs: DataFrame, sets: DataFrame, similarity: tuple[int, int]) -> DataFrame:
+    """Pairs (a, b) with the similarity of their whole sets, and whether they are linked."""
     part, whole = similarity
 
     def make(table: pa.Table) -> Iterator[pa.Table]:
-        keep = []
+        found, linked = [], []
         for one, two in zip(table["one"].to_pylist(), table["two"].to_pylist(), strict=True):
             x, y = np.frombuffer(one, np.uint64), np.frombuffer(two, np.uint64)
             both = len(np.intersect1d(x, y, assume_unique=True))
-            keep.append(whole * both >= part * (len(x) + len(y) - both))
-        yield table.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            found.append(both / (len(x) + len(y) - both))
+            linked.append(whole * both >= part * (len(x) + len(y) - both))
+        yield table.select(["a", "b"]).append_column("similarity", pa.array(found, pa.float64())).append_column(
+            "linked", pa.array(linked, pa.bool_())
+        )
 
-    one = sets.toDF("a", "one")
-    two = sets.toDF("b", "two")
+    plain = sets.select("rid", "shingles")
+    one, two = plain.toDF("a", "one"), plain.toDF("b", "two")
     loaded = pairs.join(one, "a").join(two, "b").select("a", "b", "one", "two")
-    return loaded.mapInArrow(in_batches(make, BATCH_BYTES), "a long, b long")
+    return loaded.mapInArrow(in_batches(make, BATCH_BYTES), "a long, b long, similarity double, linked boolean")
 
 
 def _close(similarity: tuple[int, int]) -> Column:
     """Whether sizes and signatures of a pair (n1, n2, s1, s2) allow the similarity."""
+    return _similar_size(similarity) & (distance("s1", "s2") <= MOST_DISTANCE)
+
+
+def _similar_size(similarity: tuple[int, int]) -> Column:
     part, whole = similarity
-    return (F.least("n1", "n2") * whole >= F.greatest("n1", "n2") * part) & (distance("s1", "s2") <= MOST_DISTANCE)
+    return F.least("n1", "n2") * whole >= F.greatest("n1", "n2") * part
 
 
 def near_documents(
@@ -219,47 +254,63 @@ def near_documents(
     facts = classes.select("rid", "n", "signature")
 
     index = _index(classes)
-    # three leaders per entry: the first by three different orders
-    first = [F.min(F.struct(F.xxhash64("rid", F.lit(k)), "rid")).alias(f"l{k}") for k in range(LEADERS)]
-    entries = index.groupBy("key").agg(F.count("*").alias("m"), *first).where("m > 1")
-    live = files.write(entries.select("key", "m", *[F.col(f"l{k}.rid").alias(f"l{k}") for k in range(LEADERS)]), "live")
+    live = files.write(index.groupBy("key").agg(F.count("*").alias("m")).where("m > 1"), "live")
     total = live.agg(F.coalesce(F.sum("m"), F.lit(0))).first()[0]
-    members = look_up(index, live, "key", "m", max(total, 1)).where("m IS NOT NULL")
-    members = files.write(members, "members")
-
-    wanted = members.select("rid").distinct().join(classes.select("rid", "first_id", "set_key"), "rid")
-    sets = files.write(_sets(docs, wanted, shingle), "sets")
-
-    leader = F.explode(F.array(*[f"l{k}" for k in range(LEADERS)])).alias("b")
-    stars = members.select(F.col("rid").alias("a"), leader).where("a <> b")
-    stars = stars.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    members = files.write(look_up(index, live, "key", "m", max(total, 1)).where("m IS NOT NULL"), "members")
+    met = files.write(members.groupBy("rid").agg(F.sum("m").alias("meets")), "met")
+    sets = files.write(_sets(docs, met.join(classes.select("rid", "first_id", "set_key"), "rid"), shingle), "sets")
+
+    central, other = F.max(F.struct("meets", "rid")), F.min(F.struct(F.xxhash64("rid"), "rid"))
+    chosen = members.join(met, "rid").groupBy("key").agg(F.count("*").alias("m"), central.alias("c"), other.alias("o"))
+    chosen = chosen.select("key", "m", F.array("c.rid", "o.rid").alias("leaders"))
+    stars = look_up(members.drop("m"), chosen, "key", "m", max(total, 1))
+    stars = stars.select(F.col("rid").alias("a"), F.explode("leaders").alias("b")).where("a <> b").distinct()
     stars = stars.join(facts.toDF("a", "n1", "s1"), "a").join(facts.toDF("b", "n2", "s2"), "b").where(_close(similarity))
-    links = files.write(_confirmed(files.write(stars.select("a", "b"), "stars"), sets, similarity), "star_links")
-    label = components(links, Files(files.spark, "minhash_stars")).toDF("rid", "root")
+    compared = files.write(_compared(files.write(stars.select("a", "b"), "stars"), sets, similarity), "compared")
+    label = components(compared.where("linked").select("a", "b"), Files(files.spark, "minhash_stars")).toDF("rid", "root")
 
     # what meets and is still in different components
-    placed = members.select("key", "rid").join(facts, "rid").join(label, "rid", "left")
-    placed = files.write(placed.withColumn("root", F.coalesce("root", "rid")), "placed")
+    placed = members.drop("m").join(label, "rid", "left").withColumn("root", F.coalesce("root", "rid"))
     shares = placed.groupBy("key", "root").agg(F.count("*").alias("c"))
     mixed_keys = shares.groupBy("key").agg(
         F.count("*").alias("roots"), F.sum("c").alias("m"), F.max(F.struct("c", "root")).alias("top")
     )
     mixed_keys = files.write(mixed_keys.where("roots > 1").select("key", "m", F.col("top.root").alias("top")), "mixed")
-    left = files.write(look_up(placed, mixed_keys, "key", "m", max(total, 1)).where("m IS NOT NULL"), "left")
-    minor = left.where("root <> top").select("key", F.col("rid").alias("a"), F.col("root").alias("r1"), F.col("n").alias("n1"), F.col("signature").alias("s1"), "top")
-    every = left.select("key", F.col("rid").alias("b"), F.col("root").alias("r2"), F.col("n").alias("n2"), F.col("signature").alias("s2"))
-    rest = minor.join(every, "key").where((F.col("r1") != F.col("r2")) & ((F.col("r2") == F.col("top")) | (F.col("a") < F.col("b"))))
-    rest = rest.where(_close(similarity)).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    more = files.write(_confirmed(files.write(rest, "rest"), sets, similarity), "rest_links")
-
-    roots = components(links.unionByName(more), Files(files.spark, "minhash_all")).toDF("rid", "root")
-    named = classes.select("rid", "set_key", "copies", "first_id").join(roots, "rid", "left")
-    named = files.write(named.withColumn("root", F.coalesce("root", "rid")), "named")
+    # the leader that most others meet, of those a class was compared with, and how far it is
+    pivots = compared.join(met.toDF("b", "meets"), "b").select("a", "b", "meets", (1 - F.col("similarity")).alias("far"))
+    itself = compared.select("b").distinct().join(met.toDF("b", "meets"), "b").select(F.col("b").alias("a"), "b", "meets", F.lit(0.0).alias("far"))
+    nearest = pivots.unionByName(itself).groupBy("a").agg(F.max(F.struct("meets", "b", "far")).alias("p"))
+    longer = facts.select("rid", "n").join(sets.select("rid", F.col("longer").alias("signature")), "rid")
+    known = longer.join(nearest.select(F.col("a").alias("rid"), F.col("p.b").alias("pivot"), F.col("p.far").alias("far")), "rid", "left")
+    left = look_up(placed, mixed_keys, "key", "m", max(total, 1)).where("m IS NOT NULL").join(known, "rid")
+    left = files.write(left.select("key", "rid", "root", "top", "n", "signature", "pivot", "far"), "left")
+    minor = left.where("root <> top").toDF("key", "a", "r1", "top", "n1", "s1", "p1", "f1")
+    every = left.drop("top").toDF("key", "b", "r2", "n2", "s2", "p2", "f2")
+    once = (F.col("r1") != F.col("r2")) & ((F.col("r2") == F.col("top")) | (F.col("a") < F.col("b")))
+    reach = 1 - similarity[0] / similarity[1] + 1e-9
+    apart = F.coalesce((F.col("p1") == F.col("p2")) & (F.abs(F.col("f1") - F.col("f2")) > reach), F.lit(False))
+    rest = minor.join(every, "key").where(
+        once & ~apart & _similar_size(similarity) & first_meeting("key", "s1", "s2") & (distance("s1", "s2") <= MOST_LONG)
+    )
+    more = files.write(_compared(files.write(rest.select("a", "b"), "rest"), sets, similarity), "rest_compared")
+    more = more.where("linked").select("a", "b")
+
+    # the second time among components: each end of a link stands for its component
+    ends = label.select("rid", "root")
+    joined = more.join(ends.toDF("a", "ra"), "a", "left").join(ends.toDF("b", "rb"), "b", "left")
+    joined = joined.select(F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b"))
+    merged = components(joined, Files(files.spark, "minhash_all")).toDF("old", "new")
+    named = classes.select("rid", "set_key", "copies", "first_id").join(label, "rid", "left")
+    named = named.withColumn("old", F.coalesce("root", "rid")).drop("root")
+    n_classes = max(classes.count(), 1)
+    sizes = named.groupBy("old").agg(F.count("*").alias("size")).join(merged, "old")
+    named = look_up(named, sizes, "old", "size", n_classes)
+    named = files.write(named.select("rid", "set_key", "copies", "first_id", F.coalesce("new", "old").alias("root")), "named")
     ids = named.groupBy("root").agg(F.min("first_id").alias("component_id"), F.count("*").alias("in_component"))
-    answers = look_up(named, ids, "root", "in_component", max(classes.count(), 1))
+    answers = look_up(named, ids, "root", "in_component", n_classes)
     answers = files.write(answers.select("set_key", "copies", "component_id"), "answers")
 
-    files.drop("sets", "members", "placed", "left", "live", "mixed")
+    files.drop("sets", "members", "left", "live", "mixed")
     columns = ["doc_id", "n_shingles", "component_id", "text_sha256"]
     some = rows.where("set_key IS NOT NULL").drop("signature")
     found = look_up(some, answers, "set_key", "copies", max(rows.count(), 1)).select(*columns)

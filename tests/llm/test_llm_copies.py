@@ -95,9 +95,9 @@ def test_index_guarantees_the_distance():
 
     random = np.random.default_rng(1)
     for _ in range(300):
-        a = random.integers(0, 1 << 15, minhash.SYMBOLS)
+        a = random.integers(0, 1 << minhash.BITS, minhash.SYMBOLS)
         b = a.copy()
-        at = random.choice(minhash.SYMBOLS, 2 * minhash.CHUNKS - 1, replace=False)
+        at = random.choice(minhash.CHUNKS * minhash.CHUNK, 2 * minhash.CHUNKS - 1, replace=False)
         b[at] ^= 1
         one, two = minhash.index_keys(np.stack([a, b]))
         assert (one == two).any()
@@ -113,6 +113,25 @@ def test_distance_in_sql(spark):
     assert df.select(minhash.distance("a", "b")).first()[0] == int((symbols[0] != symbols[1]).sum())
 
 
+def test_a_pair_is_met_once(spark):
+    """Of all keys that two signatures share, exactly one is the first."""
+    import numpy as np
+
+    random = np.random.default_rng(3)
+    rows, shares = [], 0
+    for case in range(60):
+        a = random.integers(0, 1 << minhash.BITS, minhash.SYMBOLS)
+        b = np.where(random.random(minhash.SYMBOLS) < case / 70, a ^ 1, a)
+        one, two = minhash.index_keys(np.stack([a, b]))
+        both = set(one.tolist()) & set(two.tolist())
+        shares += bool(both)
+        numbers = minhash.packed(np.stack([a, b])).tolist()
+        rows += [(case, key, *numbers) for key in both]
+    df = spark.createDataFrame(rows, "case int, key long, a array<long>, b array<long>")
+    counts = df.where(minhash.first_meeting("key", "a", "b")).groupBy("case").count().collect()
+    assert len(counts) == shares > 20 and {r["count"] for r in counts} == {1}
+
+
 def test_one_of_each_near_group_stays(table, edge_rows, files):
     docs = table(edge_rows)
     left = drop_near_copies(docs, files)
