@@ -56,6 +56,8 @@ BEFORE = WINDOW - GRAM
 BATCH_BYTES = 1 << 20
 #: Longer texts are searched for anchors in overlapping slices.
 SLICE = 1 << 20
+#: Anchors whose bytes are held at once; a text of one repeated word has one at every few bytes.
+MOST_CONTEXTS = 1 << 16
 #: An anchor with more occurrences than this part of a bucket is dealt by windows.
 HOT_PART = 10
 #: rid of the rows that name such anchors.
@@ -147,7 +149,6 @@ def compare_anchors(limit: int):
 
 def contexts(marked: DataFrame, buckets: int, hot: np.ndarray) -> DataFrame:
     """The bytes around each surviving anchor, or the windows around a hot one."""
-    columns = np.arange(-BEFORE, WINDOW)
 
     def make(table: pa.Table) -> Iterator[pa.Table]:
         raw = [text.encode("utf-8", "surrogatepass") for text in table["text"].to_pylist()]
@@ -161,18 +162,30 @@ def contexts(marked: DataFrame, buckets: int, hot: np.ndarray) -> DataFrame:
         grams = mixed(rolled(data.astype(np.uint64) + np.uint64(1), GRAM, MULTIPLIERS[0])) | np.uint64(1)
         key = grams[at]
         before, after = _reach(grams, at, key, pos, sizes[row])
-        bytes_ = data[at[:, None] + columns]
-        bytes_[columns[None] < -before.astype(np.int64)[:, None]] = 0
-        bytes_[columns[None] >= after.astype(np.int64)[:, None]] = 0
         rid, ord_ = np.array(table["rid"])[row], np.array(table["ord"])[row]
-        near = np.isin(key, hot)
-        yield from _open_contexts(buckets, *(x[~near] for x in (key, rid, ord_, pos, bytes_, before, after)))
-        if near.any():
-            yield from _open_windows(buckets, *(x[near] for x in (rid, ord_, pos, bytes_, before, after)))
+        hot_here = np.isin(key, hot)
+        for first in range(0, len(at), MOST_CONTEXTS):
+            own = slice(first, first + MOST_CONTEXTS)
+            bytes_ = _around(data, at[own], before[own], after[own])
+            near, given = hot_here[own], (rid[own], ord_[own], pos[own], bytes_, before[own], after[own])
+            yield from _open_contexts(buckets, key[own][~near], *(x[~near] for x in given))
+            if near.any():
+                yield from _open_windows(buckets, *(x[near] for x in given))
 
     return map_texts(marked.select("rid", "ord", "text", "pos"), make, BLOBS, BATCH_BYTES)
 
 
+def _around(data, at, before, after) -> np.ndarray:
+    """The bytes that belong to each anchor, a row each; others are 0."""
+    columns = np.arange(-BEFORE, WINDOW, dtype=np.int32)
+    out = np.zeros((len(at), CONTEXT), np.uint8)
+    for part in range(0, len(at), 8192):
+        own = slice(part, part + 8192)
+        inside = (columns[None] >= -before[own, None].astype(np.int32)) & (columns[None] < after[own, None].astype(np.int32))
+        out[own] = data[at[own, None] + columns] * inside
+    return out
+
+
 def _reach(grams, at, key, pos, sizes) -> tuple[np.ndarray, np.ndarray]:
     """How many bytes before and from each anchor on belong to windows whose least gram it is.
 
