@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import functools
+import shutil
 import tempfile
 import uuid
 
@@ -13,7 +15,9 @@ CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 @functools.cache
 def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="quayload-")
+    folder = tempfile.mkdtemp(prefix="quayload-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
 
 
 def workspace_root(spark: SparkSession) -> str:
