@@ -22,12 +22,12 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from quayload.llm.common import documents, in_batches, only
+from quayload.llm.common import documents, give_back_memory, in_batches, only
 
 #: Text handled at once by a task.
 BATCH_BYTES = 1 << 20
 #: Pieces a worker remembers between batches.
-MEMORY = 150_000
+MEMORY = 100_000
 
 
 def byte_alphabet() -> list[str]:
@@ -138,9 +138,21 @@ class Model:
                 held.append(ByteBpe(shared.value, pattern))
             return held[0]
 
+        get.forget = held.clear
         return get
 
 
+def _with_codec(get, make):
+    """``make`` over batches; the codec goes with the task that needed it."""
+
+    def run(batches):
+        yield from in_batches(make, BATCH_BYTES)(batches)
+        get.forget()
+        give_back_memory()
+
+    return run
+
+
 def encode_documents(docs: DataFrame, model: Model, with_ids: bool = True) -> DataFrame:
     """A row per row of ``docs`` (doc_id, text): doc_id, n_tokens, [ids,] ids_sha256, decoded_sha256.
 
@@ -179,7 +191,7 @@ def encode_documents(docs: DataFrame, model: Model, with_ids: bool = True) -> Da
         out["decoded_sha256"] = pa.array(decoded, pa.string())
         yield pa.table(out)
 
-    return only(docs, "doc_id", "text").mapInArrow(in_batches(make, BATCH_BYTES), T.StructType(fields))
+    return only(docs, "doc_id", "text").mapInArrow(_with_codec(get, make), T.StructType(fields))
 
 
 def decode_documents(encoded: DataFrame, model: Model) -> DataFrame:
@@ -192,7 +204,7 @@ def decode_documents(encoded: DataFrame, model: Model) -> DataFrame:
         texts = [codec.decode(ids or ()) for ids in table["ids"].to_pylist()]
         yield pa.table({"doc_id": table["doc_id"], "text": pa.array(texts, pa.string())})
 
-    return only(encoded, "doc_id", "ids").mapInArrow(in_batches(make, BATCH_BYTES), schema)
+    return only(encoded, "doc_id", "ids").mapInArrow(_with_codec(get, make), schema)
 
 
 def production_model(spark: SparkSession) -> Model:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
@@ -100,6 +102,15 @@ def only(df: DataFrame, *columns: str) -> DataFrame:
     return df.select(*[df[c] for c in columns])
 
 
+def give_back_memory() -> None:
+    """At the end of a task: a worker that waits for the next one should not hold what this one has freed."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def in_batches(
     make: Callable[[pa.Table], Iterator[pa.Table]], most_bytes: int
 ) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -120,5 +131,7 @@ def in_batches(
         if held:
             for out in make(pa.Table.from_batches(held)):
                 yield from out.to_batches()
+        del held
+        give_back_memory()
 
     return run
