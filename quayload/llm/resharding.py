@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from quayload.llm.common import Files, crc, documents, text_of
+from quayload.workspace import delete_path
 
 #: Bytes a row takes besides its text.
 ROW_BYTES = 16
@@ -111,20 +112,25 @@ def reshard(docs: DataFrame, old_shard: Column, old_shards: int, shards: int, fi
 
     ``old_shard`` gives the shard a row is in now, 0 to ``old_shards`` - 1; null
     counts as 0. Returns a row per row (doc_id, size, text_crc32, old_shard,
-    shard, slot, moved) and the blocks. Slots of each shard are 0, 1, 2, ...
+    shard, slot, moved, row) and the blocks. Slots of each shard are 0, 1, 2, ...
     without gaps. Null texts have no bytes; their CRC is that of the empty
-    text. Rows of equal size, hash and doc_id are interchangeable. An empty
-    table gives no rows and no blocks. Other columns are ignored.
+    text. An empty table gives no rows and no blocks. ``row`` holds all columns
+    of the row itself, from a copy in ``files``: null and repeated doc_ids are
+    rows of their own, told apart by a number that the copy gives them.
     """
     text = text_of()
     size = (F.octet_length(text) + ROW_BYTES).cast("long")
-    hashed = F.xxhash64(F.col("doc_id"), F.lit(7))
+    numbered = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), "doc_id", "text", old_shard.alias("was"))
+    # The number is in the hash as well, so that a frequent doc_id is no one cell.
+    hashed = F.xxhash64(F.col("doc_id"), F.col("rid"), F.lit(7))
     rows = files.write(
-        docs.select(
+        numbered.withColumn("rid", F.monotonically_increasing_id()).select(
+            "rid",
+            "row",
             "doc_id",
             size.alias("size"),
             crc(text).alias("text_crc32"),
-            F.coalesce(old_shard, F.lit(0)).cast("int").alias("old_shard"),
+            F.coalesce("was", F.lit(0)).cast("int").alias("old_shard"),
             (_size_class(size) * HASH_CELLS + F.pmod(hashed, F.lit(HASH_CELLS))).cast("int").alias("cell"),
         ),
         "rows",
@@ -139,7 +145,7 @@ def reshard(docs: DataFrame, old_shard: Column, old_shards: int, shards: int, fi
 
     before = Window.partitionBy("old_shard").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
     offsets = cells.select("old_shard", "cell", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
-    inside = Window.partitionBy("old_shard", "cell").orderBy("size", F.col("doc_id").asc_nulls_last(), "text_crc32")
+    inside = Window.partitionBy("old_shard", "cell").orderBy("size", F.col("doc_id").asc_nulls_last(), "text_crc32", "rid")
     ranked = rows.withColumn("place", F.row_number().over(inside) - 1).join(offsets, ["old_shard", "cell"])
     ranked = ranked.withColumn("rank", F.col("place") + F.col("offset"))
     # One row per block: at most old_shards + shards of them.
@@ -161,6 +167,7 @@ def reshard(docs: DataFrame, old_shard: Column, old_shards: int, shards: int, fi
             "shard",
             (F.col("b_slot") + F.col("rank") - F.col("b_start")).alias("slot"),
             (F.col("shard") != F.col("old_shard")).alias("moved"),
+            "row",
         ),
         blocks,
     )
@@ -170,15 +177,18 @@ def rewrite_shards(docs: DataFrame, placed: DataFrame, blocks: Sequence[Transfer
     """Write the rows of changed shards to ``target/shard=<n>`` and leave the others' files.
 
     ``target`` is the folder whose sub-folders hold the old shards, or will
-    hold the new ones. ``docs`` must not be read from the folders being
-    replaced: stage changed shards first. Needs doc_ids that identify rows.
-    Returns the numbers of the changed shards.
+    hold the new ones. ``docs`` names the columns; the rows are those ``placed``
+    carries, so each is written once whatever its doc_id, and ``docs`` may be
+    read from ``target`` itself. Folders of changed shards that no row is in any
+    more are deleted, after the others are written: a run cut short is done
+    again with the same ``placed``. Returns the numbers of the changed shards.
     """
     changed = sorted({n for b in blocks if b.old != b.new for n in (b.old, b.new)})
-    names = {"doc_id": "_doc_id", "shard": "_shard", "slot": "_slot"}
-    where = placed.where(F.col("shard").isin(changed)).select(*[F.col(a).alias(b) for a, b in names.items()])
-    rows = docs.join(where, docs["doc_id"].eqNullSafe(where["_doc_id"])).select(*[docs[c] for c in docs.columns if c != "shard"], F.col("_shard").alias("shard"))
+    columns = [F.col("row").getField(c).alias(c) for c in docs.columns if c.lower() != "shard"]
+    rows = placed.where(F.col("shard").isin(changed)).select(*columns, "shard")
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("shard").parquet(target)
+    for n in sorted(set(changed) - {b.new for b in blocks}):
+        delete_path(placed.sparkSession, f"{target}/shard={n}")
     return changed
 
 

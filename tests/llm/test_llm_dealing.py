@@ -187,6 +187,22 @@ def test_only_changed_shards_are_rewritten(spark, tmp_path, table):
     assert now == {r.doc_id: r.shard for r in placed.collect()}
 
 
+def test_rewritten_shards_hold_each_row_once(spark, tmp_path):
+    """From 40 to 32 shards, with null and repeated doc_ids."""
+    rows = [(None if i % 3 == 0 else i // 4, f"text {i % 5}", i) for i in range(400)]
+    given_rows = spark.createDataFrame(rows, "doc_id long, text string, n int").repartition(3)
+    old = F.pmod(F.col("n"), F.lit(40))
+    target = str(tmp_path / "shards")
+    given_rows.withColumn("shard", old).write.partitionBy("shard").parquet(target)
+    docs = spark.read.parquet(target)
+    placed, blocks = reshard(docs, F.col("shard"), 40, 32, Files(spark, "tests"))
+    assert set(range(32, 40)) <= set(rewrite_shards(docs, placed, blocks, target))
+    assert {p.name for p in (tmp_path / "shards").glob("shard=*")} == {f"shard={n}" for n in range(32)}
+    now = spark.read.parquet(target).collect()
+    assert Counter((r.doc_id, r.text, r.n) for r in now) == Counter(rows)
+    assert {r.n: r.shard for r in now} == {r.row.n: r.shard for r in placed.collect()}
+
+
 # pipeline
 
 
