@@ -31,7 +31,7 @@ TABLES, HALVES, DIMENSION = 8, 2, 8
 #: Lattice units of a unit vector, for 64 dimensions.
 SCALE = 4.0
 SEED = 23
-#: Members of a cell that are compared at once, and entries of a bucket of cells.
+#: Members of a cell that are compared at once, and entries of a bucket of cells, blocks dealt out.
 BLOCK, BUCKET_ENTRIES = 2000, 20_000
 BATCH_BYTES = 1 << 20
 
@@ -295,9 +295,10 @@ def near_vectors(vectors: DataFrame, files: Files, cosine: float = COSINE) -> Da
     entries = files.write(_entries(classes), "entries")
     cells = entries.groupBy("key").agg(F.count("*").alias("n"), F.sum(1 - F.col("role")).alias("stored"))
     live = files.write(cells.where("n > 1 AND stored > 0"), "cells")
-    total = live.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    met = look_up(entries, live, "key", "n", max(total, 1)).where("n IS NOT NULL")
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    # A cell's entries go to each of its blocks, so so many rows are dealt.
+    total, dealt_rows = live.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum(F.col("n") * blocks), F.lit(0))).first()
+    met = look_up(entries, live, "key", "n", max(total, 1)).where("n IS NOT NULL")
     own = F.pmod(F.xxhash64("rid", F.lit(3)), blocks).cast("int")
     met = met.withColumns({"blocks": blocks, "block": own})
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
@@ -309,7 +310,7 @@ def near_vectors(vectors: DataFrame, files: Files, cosine: float = COSINE) -> Da
             "crossing": F.col("block") != F.col("other"),
         }
     )
-    buckets = int(total // BUCKET_ENTRIES) + 1
+    buckets = int(dealt_rows // BUCKET_ENTRIES) + 1
     loaded = dealt.select("cell", "crossing", "block", "place", "rid", "role").join(
         classes.select("rid", "label_key", "copies", "vector"), "rid"
     )

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import math
+import tempfile
 import zlib
 from collections import Counter
 
@@ -258,6 +259,31 @@ def test_vector_groups(spark, monkeypatch, block):
     assert sum((found - true).values()) < 0.2 * len(rows)
 
 
+def test_vector_buckets_hold_what_they_may(spark, monkeypatch, tmp_path):
+    """Many close vectors under one label: blocks repeat entries, and groups stay small."""
+    monkeypatch.setattr(lattice, "BLOCK", 20)
+    monkeypatch.setattr(lattice, "BUCKET_ENTRIES", 400)
+    compare, folder = lattice._compare, str(tmp_path)
+
+    def noting(cosine):
+        run = compare(cosine)
+
+        def noted(table):
+            with tempfile.NamedTemporaryFile("w", dir=folder, delete=False) as file:
+                file.write(str(table.num_rows))
+            return run(table)
+
+        return noted
+
+    monkeypatch.setattr(lattice, "_compare", noting)
+    random = np.random.default_rng(8)
+    centre = random.normal(size=64)
+    rows = [(i, (centre + random.normal(size=64) * 0.01).tolist(), 1) for i in range(300)]
+    assert found_vectors(spark, rows) == brute_vectors(rows)
+    held = [int(path.read_text()) for path in tmp_path.iterdir()]
+    assert sum(held) > 5 * 8 * 300 and max(held) <= 2 * 400
+
+
 def test_lattice_points_are_nearest():
     random = np.random.default_rng(6)
     x = random.normal(size=(2000, 8)) * 2
