@@ -8,11 +8,13 @@ shards that gain or lose rows are rewritten.
 
 The flow has one node per shard and is solved in the driver; rows are ranked
 and dealt by Spark. No shard's rows are sorted in one task: a rank is a cell's
-offset plus the rank within the cell.
+offset plus the rank within the cell. Cells are classes of sizes, cut by hash;
+the class in which the rows that go end is cut by exact size first.
 """
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -107,6 +109,18 @@ def _size_class(size: Column) -> Column:
     return F.floor(F.log2(F.greatest(size, F.lit(1)).cast("double")) * CLASSES).cast("int")
 
 
+def _cut_classes(by_class: Sequence, blocks: Sequence[Transfer]) -> list[tuple[int, int]]:
+    """Each old shard that keeps some rows and not others, and the size class in which the ones that go end."""
+    goes, out = defaultdict(int), []
+    for b in blocks:
+        goes[b.old] += b.rows if b.old != b.new else 0
+    for old, size_class, n in sorted(map(tuple, by_class)):
+        if 0 < goes[old] < n:
+            out.append((old, size_class))
+        goes[old] -= n
+    return out
+
+
 def reshard(docs: DataFrame, old_shard: Column, old_shards: int, shards: int, files: Files) -> tuple[DataFrame, list[Transfer]]:
     """New shard and slot of each row of ``docs`` (doc_id, text), counts at most one apart.
 
@@ -136,6 +150,7 @@ def reshard(docs: DataFrame, old_shard: Column, old_shards: int, shards: int, fi
         "rows",
     )
     cells = files.write(rows.groupBy("old_shard", "cell").agg(F.count("*").alias("n"), F.sum("size").alias("bytes")), "cells")
+    by_class = cells.groupBy("old_shard", F.expr(f"cell div {HASH_CELLS}").alias("class")).agg(F.sum("n").alias("n")).collect()
     held = {r["old_shard"]: r for r in cells.groupBy("old_shard").agg(F.sum("n").alias("n"), F.sum("bytes").alias("b")).collect()}
     if any(not 0 <= i < old_shards for i in held):
         raise ValueError("a row is in no old shard")
@@ -143,13 +158,25 @@ def reshard(docs: DataFrame, old_shard: Column, old_shards: int, shards: int, fi
     old_bytes = [held[i]["b"] if i in held else 0 for i in range(old_shards)]
     blocks = transfers(old_rows, even_capacities(sum(old_rows), shards), old_bytes)
 
-    before = Window.partitionBy("old_shard").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = cells.select("old_shard", "cell", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
-    inside = Window.partitionBy("old_shard", "cell").orderBy("size", F.col("doc_id").asc_nulls_last(), "text_crc32", "rid")
-    ranked = rows.withColumn("place", F.row_number().over(inside) - 1).join(offsets, ["old_shard", "cell"])
+    # The class in which a shard's last leaving rows are, at most one a shard, is ranked by exact size.
+    spark = docs.sparkSession
+    cut = spark.createDataFrame(_cut_classes(by_class, blocks), "old_shard int, cut int")
+    exact = F.expr(f"cell div {HASH_CELLS}") == F.col("cut")
+    rows = rows.join(F.broadcast(cut), "old_shard", "left").withColumns(
+        {
+            "class": F.expr(f"cell div {HASH_CELLS}"),
+            "fine": F.when(exact, F.col("size")).otherwise(0),
+            "tie": F.expr(f"cell % {HASH_CELLS}"),
+        }
+    )
+    parts = ["class", "fine", "tie"]
+    counts = rows.groupBy("old_shard", *parts).agg(F.count("*").alias("n"))
+    before = Window.partitionBy("old_shard").orderBy(*parts).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("old_shard", *parts, F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
+    inside = Window.partitionBy("old_shard", *parts).orderBy("size", F.col("doc_id").asc_nulls_last(), "text_crc32", "rid")
+    ranked = rows.withColumn("place", F.row_number().over(inside) - 1).join(offsets, ["old_shard", *parts])
     ranked = ranked.withColumn("rank", F.col("place") + F.col("offset"))
     # One row per block: at most old_shards + shards of them.
-    spark = docs.sparkSession
     plan = spark.createDataFrame(
         [(b.old, b.start, b.start + b.rows, b.new, b.slot) for b in blocks],
         "b_old int, b_start long, b_end long, shard int, b_slot long",

@@ -173,6 +173,17 @@ def test_reshard_query(spark):
     assert sum(r.moved for r in rows) == fewest
 
 
+def test_fewest_bytes_move(spark):
+    """The rows that leave a shard are its smallest, to the byte."""
+    rand = random.Random(3)
+    rows = [(i, "x" * rand.choice([rand.randint(900, 1100), rand.randint(0, 5000)]), i % 3) for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n int").repartition(3)
+    placed = reshard(docs, F.col("n"), 4, 5, Files(spark, "tests"))[0].collect()
+    check_placed(rows, placed, 5)
+    sizes = {s: sorted(r.size for r in placed if r.old_shard == s) for s in range(3)}
+    assert sum(r.size for r in placed if r.moved) == sum(sum(own[: len(own) - 120]) for own in sizes.values())
+
+
 def test_only_changed_shards_are_rewritten(spark, tmp_path, table):
     rows = [(i, f"text {i}") for i in range(30)]
     docs = table(rows)
