@@ -20,9 +20,10 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from quayload.llm.common import Files, crc, documents, text_of
+from quayload.llm.common import Files, crc, documents, shuffles_dropped, text_of
 from quayload.workspace import delete_path
 
 #: Bytes a row takes besides its text.
@@ -104,6 +105,10 @@ def transfers(old_rows: Sequence[int], room: Sequence[int], old_bytes: Sequence[
     return out
 
 
+def size_of() -> Column:
+    return (F.octet_length(text_of()) + ROW_BYTES).cast("long")
+
+
 def _size_class(size: Column) -> Column:
     """Grows with the size; at least one row in 1 + 1/CLASSES of the size apart is in another class."""
     return F.floor(F.log2(F.greatest(size, F.lit(1)).cast("double")) * CLASSES).cast("int")
@@ -132,8 +137,7 @@ def reshard(docs: DataFrame, old_shard: Column, old_shards: int, shards: int, fi
     of the row itself, from a copy in ``files``: null and repeated doc_ids are
     rows of their own, told apart by a number that the copy gives them.
     """
-    text = text_of()
-    size = (F.octet_length(text) + ROW_BYTES).cast("long")
+    text, size = text_of(), size_of()
     numbered = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), "doc_id", "text", old_shard.alias("was"))
     # The number is in the hash as well, so that a frequent doc_id is no one cell.
     hashed = F.xxhash64(F.col("doc_id"), F.col("rid"), F.lit(7))
@@ -200,7 +204,9 @@ def reshard(docs: DataFrame, old_shard: Column, old_shards: int, shards: int, fi
     )
 
 
-def rewrite_shards(docs: DataFrame, placed: DataFrame, blocks: Sequence[Transfer], target: str) -> list[int]:
+def rewrite_shards(
+    docs: DataFrame, placed: DataFrame, blocks: Sequence[Transfer], target: str, slot: str | None = None
+) -> list[int]:
     """Write the rows of changed shards to ``target/shard=<n>`` and leave the others' files.
 
     ``target`` is the folder whose sub-folders hold the old shards, or will
@@ -208,10 +214,12 @@ def rewrite_shards(docs: DataFrame, placed: DataFrame, blocks: Sequence[Transfer
     carries, so each is written once whatever its doc_id, and ``docs`` may be
     read from ``target`` itself. Folders of changed shards that no row is in any
     more are deleted, after the others are written: a run cut short is done
-    again with the same ``placed``. Returns the numbers of the changed shards.
+    again with the same ``placed``. ``slot`` names a column to write the slots
+    to. Returns the numbers of the changed shards.
     """
     changed = sorted({n for b in blocks if b.old != b.new for n in (b.old, b.new)})
     columns = [F.col("row").getField(c).alias(c) for c in docs.columns if c.lower() != "shard"]
+    columns += [F.col("slot").alias(slot)] if slot else []
     rows = placed.where(F.col("shard").isin(changed)).select(*columns, "shard")
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("shard").parquet(target)
     for n in sorted(set(changed) - {b.new for b in blocks}):
@@ -224,9 +232,21 @@ OLD_SHARDS, SHARDS = 32, 40
 
 
 def op6_reshard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents(spark, sf_dir)
-    placed, _ = reshard(docs, F.pmod(crc(F.col("doc_id")), F.lit(OLD_SHARDS)), OLD_SHARDS, SHARDS, Files(spark, "reshard"))
-    return placed.select(
+    """Rewrites the changed shards in its working area; their rows are told from those files, the others' from the plan."""
+    docs, files = documents(spark, sf_dir), Files(spark, "reshard")
+    law = F.pmod(crc(F.col("doc_id")), F.lit(OLD_SHARDS)).cast("int")
+    placed, blocks = reshard(docs, law, OLD_SHARDS, SHARDS, files)
+    target = f"{files.root}/shards"
+    with shuffles_dropped(spark):
+        changed = rewrite_shards(docs, placed, blocks, target, slot="slot")
+    schema = T.StructType([*docs.schema.fields, T.StructField("slot", T.LongType()), T.StructField("shard", T.IntegerType())])
+    written = spark.read.schema(schema).parquet(target)
+    names = ["doc_id", "size", "text_crc32", "shard", "slot", "old_shard", "moved"]
+    read_back = written.withColumns(
+        {"size": size_of(), "text_crc32": crc(text_of()), "old_shard": law, "moved": F.col("shard") != law}
+    )
+    rows = read_back.select(*names).unionByName(placed.where(~F.col("shard").isin(changed)).select(*names))
+    return rows.select(
         "doc_id",
         "size",
         "text_crc32",

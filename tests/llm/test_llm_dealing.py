@@ -16,7 +16,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from quayload.llm import registry
+from quayload.llm import registry, resharding
 from quayload.llm.common import Files
 from quayload.llm.mixing import Mix, leaf_budgets, mix_sources, take_mix
 from quayload.llm.resharding import minimum_cost_flow, op6_reshard, reshard, rewrite_shards, transfers
@@ -173,6 +173,27 @@ def test_reshard_query(spark):
     assert sum(r.moved for r in rows) == fewest
 
 
+def test_reshard_query_rewrites_changed_shards(spark, monkeypatch, tmp_path):
+    """The query's rows of changed shards are those of the files it has written, columns and all."""
+    made = []
+
+    class Noted(Files):
+        def __init__(self, spark, label):
+            super().__init__(spark, label)
+            made.append(self.root)
+
+    monkeypatch.setattr(resharding, "Files", Noted)
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    rows = op6_reshard(spark, SF).collect()
+    written = spark.read.parquet(f"{made[0]}/shards").collect()
+    changed = {n for r in rows if r.moved for n in (r.old_shard, r.shard)}
+    assert {r.shard for r in written} == changed
+    places = {(r.doc_id, r.shard, r.slot) for r in rows if r.shard in changed}
+    assert len(written) == len(places) and {(r.doc_id, r.shard, r.slot) for r in written} == places
+    given_rows = {r.doc_id: r for r in docs.collect()}
+    assert all(getattr(r, c) == given_rows[r.doc_id][c] for r in written for c in docs.columns)
+
+
 def test_fewest_bytes_move(spark):
     """The rows that leave a shard are its smallest, to the byte."""
     rand = random.Random(3)
