@@ -113,11 +113,16 @@ class ByteBpe:
 
     def offsets(self, text: str) -> list[tuple[int, int]]:
         """Start and end of each token in characters of ``text``; a split character belongs to all its tokens."""
-        size = np.array([len(self.bytes_of[i]) for i in self.encode(text)], np.int64)
+        starts, ends = self.spans(self.encode(text), text)
+        return list(zip(starts.tolist(), ends.tolist(), strict=True))
+
+    def spans(self, ids: list[int], text: str) -> tuple[np.ndarray, np.ndarray]:
+        """``offsets`` of the tokens that ``text`` has been encoded to, as arrays."""
+        size = np.array([len(self.bytes_of[i]) for i in ids], np.int64)
         ends = np.cumsum(size)
         raw = np.frombuffer(text.encode(), np.uint8)
         character = np.cumsum((raw & 0xC0) != 0x80) - 1
-        return [(int(character[e - n]), int(character[e - 1]) + 1) for e, n in zip(ends, size, strict=True)]
+        return character[ends - size].astype(np.int32), (character[ends - 1] + 1).astype(np.int32)
 
 
 class Model:
@@ -153,9 +158,11 @@ def _with_codec(get, make):
     return run
 
 
-def encode_documents(docs: DataFrame, model: Model, with_ids: bool = True) -> DataFrame:
-    """A row per row of ``docs`` (doc_id, text): doc_id, n_tokens, [ids,] ids_sha256, decoded_sha256.
+def encode_documents(docs: DataFrame, model: Model, with_ids: bool = True, with_offsets: bool = False) -> DataFrame:
+    """A row per row of ``docs`` (doc_id, text): doc_id, n_tokens, [ids,] [starts, ends,] ids_sha256, decoded_sha256.
 
+    ``starts`` and ``ends`` are of each token, in characters of the text; a
+    split character belongs to all its tokens.
     A null or empty text has no tokens. ``ids_sha256`` is of the ids as
     little-endian unsigned 32-bit integers and ``decoded_sha256`` of the bytes
     decoded from them. Texts are never cut. A null doc_id stays null, repeated
@@ -166,6 +173,7 @@ def encode_documents(docs: DataFrame, model: Model, with_ids: bool = True) -> Da
     kind = docs.schema["doc_id"].dataType
     fields = [T.StructField("doc_id", kind), T.StructField("n_tokens", T.LongType())]
     fields += [T.StructField("ids", T.ArrayType(T.IntegerType()))] if with_ids else []
+    fields += [T.StructField(c, T.ArrayType(T.IntegerType())) for c in ("starts", "ends")] if with_offsets else []
     fields += [T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType())]
 
     def make(table: pa.Table) -> Iterator[pa.Table]:
@@ -174,7 +182,8 @@ def encode_documents(docs: DataFrame, model: Model, with_ids: bool = True) -> Da
         pieces = [codec.find(text) for text in texts]
         flat = codec.encode_pieces([piece for found in pieces for piece in found])
         counts, hashes, decoded, all_ids, at = [], [], [], [], 0
-        for found in pieces:
+        all_starts, all_ends = [], []
+        for text, found in zip(texts, pieces, strict=True):
             packed = b"".join(flat[at : at + len(found)])
             ids = np.frombuffer(packed, "<u4")
             at += len(found)
@@ -183,10 +192,15 @@ def encode_documents(docs: DataFrame, model: Model, with_ids: bool = True) -> Da
             decoded.append(hashlib.sha256(codec.decode_bytes(ids.tolist())).hexdigest())
             if with_ids:
                 all_ids.append(ids.astype(np.int32))
+            if with_offsets:
+                starts, ends = codec.spans(ids.tolist(), text)
+                all_starts.append(starts)
+                all_ends.append(ends)
         out = {"doc_id": table["doc_id"], "n_tokens": pa.array(counts, pa.int64())}
-        if with_ids:
-            ends = np.cumsum([0, *counts]).astype(np.int32)
-            out["ids"] = pa.ListArray.from_arrays(ends, np.concatenate(all_ids) if all_ids else np.array([], np.int32))
+        lists = ({"ids": all_ids} if with_ids else {}) | ({"starts": all_starts, "ends": all_ends} if with_offsets else {})
+        for name, parts in lists.items():
+            bounds = np.cumsum([0, *counts]).astype(np.int32)
+            out[name] = pa.ListArray.from_arrays(bounds, np.concatenate(parts) if parts else np.array([], np.int32))
         out["ids_sha256"] = pa.array(hashes, pa.string())
         out["decoded_sha256"] = pa.array(decoded, pa.string())
         yield pa.table(out)

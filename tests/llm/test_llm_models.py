@@ -191,6 +191,23 @@ VECTORS = T.StructType(
 )
 
 
+def test_documents_have_offsets(spark):
+    """In columns, split characters too."""
+    texts = ["plain words", "été 漢字 \U0001f642\U0001f9ff ꙮ", "", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    model = byte_bpe.production_model(spark)
+    codec, split = byte_bpe.ByteBpe(model.json, model.pattern), 0
+    for row in byte_bpe.encode_documents(docs, model, with_offsets=True).collect():
+        text, expected, at = texts[row.doc_id] or "", [], 0
+        of_byte = [i for i, c in enumerate(text) for _ in c.encode()]
+        for n in (len(codec.bytes_of[i]) for i in row.ids):
+            expected.append((of_byte[at], of_byte[at + n - 1] + 1))
+            at += n
+        assert list(zip(row.starts, row.ends, strict=True)) == expected
+        split += any(a[1] > b[0] for a, b in zip(expected, expected[1:]))
+    assert split
+
+
 def brute_vectors(rows, cosine=0.98):
     units = []
     for _, values, label, *_ in rows:
