@@ -2,7 +2,21 @@
 
 from __future__ import annotations
 
-from quayload.llm import byte_bpe, exact_dedup, language_id, lattice, minhash, mixing, quality, resharding, substring_dedup, suffix_dedup
+from quayload.llm import (
+    byte_bpe,
+    decontamination,
+    divergence,
+    exact_dedup,
+    language_id,
+    lattice,
+    minhash,
+    mixing,
+    periodic_runs,
+    quality,
+    resharding,
+    substring_dedup,
+    suffix_dedup,
+)
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
@@ -15,5 +29,13 @@ QUERIES = {
     "op8_quality": quality.op8_quality,
     "op9_byte_bpe": byte_bpe.op9_byte_bpe,
     "op10_embedding_dedup": lattice.op10_embedding_dedup,
+    "op11_decontaminate": decontamination.op11_decontaminate,
+    "op12_periodic_runs": periodic_runs.op12_periodic_runs,
+    "op13_divergence": divergence.op13_divergence,
+}
+SQL = {
+    "op1_exact_dedup": exact_dedup.SQL,
+    "op2_mix_sources": mixing.SQL,
+    "op11_decontaminate": decontamination.SQL,
+    "op13_divergence": divergence.SQL,
 }
-SQL = {"op1_exact_dedup": exact_dedup.SQL, "op2_mix_sources": mixing.SQL}
