@@ -1,0 +1,268 @@
+"""Benchmark decontamination, periodic runs and source divergence, against brute force."""
+
+from __future__ import annotations
+
+import collections
+import itertools
+import re
+import zlib
+
+import numpy as np
+import pytest
+from brute import sha
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+import quayload.llm.decontamination as decontamination
+import quayload.llm.divergence as divergence
+from quayload.llm.decontamination import contaminated_spans, op11_decontaminate
+from quayload.llm.divergence import galloped, op13_divergence, shares
+from quayload.llm.periodic_runs import find_runs, lyndon_lengths, op12_periodic_runs, periodic_runs
+
+SF = "/root/testdata/sf0.001"
+BIG = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def item_words(text):
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate(BIG))
+
+
+def contaminated(docs, items, window=10):
+    """A list of (doc_id, n_words, spans, items)."""
+    wanted = collections.defaultdict(set)
+    for item, text in items:
+        words = item_words(text)
+        size = min(window, len(words))
+        for i in range(len(words) - size + 1 if size else 0):
+            wanted[tuple(words[i : i + size])].add("" if item is None else str(item))
+    out = []
+    for doc_id, text in docs:
+        words, hit, found = item_words(text), set(), set()
+        for size in {len(w) for w in wanted}:
+            for i in range(len(words) - size + 1):
+                if names := wanted.get(tuple(words[i : i + size])):
+                    hit |= set(range(i, i + size))
+                    found |= names
+        spans = [i for i in sorted(hit) if i - 1 not in hit], [i + 1 for i in sorted(hit) if i + 1 not in hit]
+        out.append((doc_id, len(words), tuple(zip(*spans)), tuple(sorted(found))))
+    return out
+
+
+def numbered(start, n):
+    return " ".join(f"w{(start * 7919 + i * i * 31 + i) % 100003}" for i in range(n))
+
+
+def make_items(spark, rows):
+    return spark.createDataFrame([(i, t, 1.5) for i, t in rows], "item_id long, text string, seq double")
+
+
+def spans_of(df):
+    rows = df.select("doc_id", "n_words", "spans", "items").collect()
+    return collections.Counter((r[0], r[1], tuple((s.start, s.end) for s in r[2]), tuple(r[3])) for r in rows)
+
+
+def test_contaminated_spans(spark, table, edge_rows, files):
+    passage = numbered(9, 40).split()
+    items = [
+        (1, numbered(9, 40)),  # a passage of two documents
+        (2, " ".join(passage[5:14])),  # nine words: a window of its own
+        (3, "one, TWO"),  # shorter than a shingle
+        (4, "été 漢字 \U0001f642 été"),
+        (5, "no no no no no no no no no no no"),  # a window that overlaps itself
+        (6, None),
+        (7, " .,!\x00"),
+        (8, numbered(70, 30)),  # occurs nowhere
+        (9, " ".join(passage[:20]) + " other words that end this item differently"),
+        (9, "12345"),
+        (None, numbered(4, 12)),
+        (1, numbered(9, 40)),
+    ]
+    rows = [(r[0], r[1]) for r in edge_rows]
+    rows += [(30, " ".join(passage[:9])), (31, "x " + " ".join(passage[30:]).upper() + "."), (32, "a\x00one-two_one")]
+    found = contaminated_spans(table(rows), make_items(spark, items), files)
+    assert spans_of(found) == collections.Counter(contaminated(rows, items))
+
+
+def test_contamination_by_every_rule_of_choice(spark, table, files, monkeypatch):
+    # few words, so that shingles repeat in windows, items and documents; and a filter that lets nearly all through
+    rng = np.random.default_rng(5)
+    text = lambda n: " ".join(f"w{v}" for v in rng.integers(0, 3, n))
+    rows = [(i, text(int(rng.integers(0, 60)))) for i in range(60)]
+    items = [(i, text(int(rng.integers(0, 9)))) for i in range(12)]
+    monkeypatch.setattr(decontamination, "BITS_EACH", 1)
+    monkeypatch.setattr(decontamination, "LEAST_BITS", 64)
+    monkeypatch.setattr(decontamination, "MOST_BITS", 64)
+    found = contaminated_spans(table(rows), make_items(spark, items), files, window=5, width=2)
+    assert spans_of(found) == collections.Counter(contaminated(rows, items, 5))
+
+
+def test_contamination_of_empty_tables(spark, table, files):
+    rows = [(1, "some words here"), (None, None)]
+    nothing = spans_of(contaminated_spans(table(rows), make_items(spark, []), files))
+    assert nothing == collections.Counter([(1, 3, (), ()), (None, 0, (), ())])
+    assert contaminated_spans(table([]), make_items(spark, [(1, "a b")]), decontamination.Files(spark, "tests")).count() == 0
+
+
+def test_decontamination_query(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()
+    items = spark.read.parquet(f"{SF}/benchmark.parquet").select("item_id", "text").collect()
+    expected = [
+        (d, n, sum(b - a for a, b in spans), len(names), sha(",".join(names).encode()), bool(spans))
+        for d, n, spans, names in contaminated(docs, items)
+    ]
+    found = op11_decontaminate(spark, SF)
+    assert found.columns == ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"]
+    assert collections.Counter(map(tuple, found.collect())) == collections.Counter(expected)
+    assert any(row[-1] for row in expected)
+
+
+def plain_runs(words, least, exponent):
+    """(start, length, period) by trying every period."""
+    out, ids = [], np.unique(np.array(words, object), return_inverse=True)[1] if words else np.zeros(0)
+    for period in range(1, len(words) // exponent + 1):
+        equal = np.concatenate([[False], ids[:-period] == ids[period:], [False]])
+        edges = np.flatnonzero(equal[1:] != equal[:-1]).tolist()
+        for start, end in zip(edges[::2], edges[1::2]):
+            length = end - start + period
+            run = words[start : start + length]
+            if length >= max(least, exponent * period) and not any(run[q:] == run[:-q] for q in range(1, period)):
+                out.append((start, length, period))
+    return sorted(out, key=lambda run: (run[0], run[2]))
+
+
+@given(st.lists(st.integers(0, 2), max_size=30))
+def test_grouping_gives_lyndon_words(values):
+    symbols = [sorted(set(values)).index(v) for v in values]
+    expected = []
+    for i in range(len(symbols)):
+        ends = range(i + 1, len(symbols) + 1)
+        expected.append(max(e - i for e in ends if all(symbols[i:e] < symbols[k:e] for k in range(i + 1, e))))
+    assert lyndon_lengths(symbols) == expected
+
+
+pieces = st.tuples(st.lists(st.sampled_from("abc"), min_size=1, max_size=6), st.integers(1, 6), st.integers(0, 5))
+periodic_text = st.lists(pieces, max_size=5).map(lambda parts: [w.encode() for root, n, cut in parts for w in (root * n)[cut:]])
+
+
+@settings(max_examples=300)
+@given(st.lists(periodic_text, max_size=4), st.sampled_from([(6, 4), (1, 3), (10, 5)]))
+def test_runs_of_any_texts(texts, rule):
+    assert find_runs(texts, *rule) == [plain_runs(words, *rule) for words in texts]
+
+
+def test_runs_of_long_texts():
+    words = [f"w{i % 3000}".encode() for i in range(60_000)]
+    flat = [b"a"] * 60_000
+    assert find_runs([words, flat, words[:11_999]], 6, 4) == [[(0, 60_000, 3000)], [(0, 60_000, 1)], []]
+
+
+def test_periodic_runs_of_edge_cases(table, edge_rows):
+    rows = [(r[0], r[1]) for r in edge_rows] + [(40, "x " + "a b c " * 5 + "a y"), (40, "x " + "a b c " * 5 + "a y")]
+    expected = []
+    for doc_id, text in rows:
+        words = (text or "").encode().split()
+        runs = plain_runs(words, 6, 4)
+        gone = {i for s, n, p in runs for i in range(s + p, s + n)}
+        kept = b" ".join(w for i, w in enumerate(words) if i not in gone).decode()
+        expected.append((doc_id, len(words), tuple(runs), kept))
+    found = periodic_runs(table(rows)).collect()
+    assert collections.Counter((r[0], r[1], tuple(map(tuple, r[2])), r[3]) for r in found) == collections.Counter(expected)
+    assert periodic_runs(table([])).collect() == []
+    with pytest.raises(ValueError, match="periods"):
+        periodic_runs(table([]), exponent=2)
+
+
+def test_periodic_query(spark):
+    expected = []
+    for doc_id, text in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect():
+        words = (text or "").encode().split()
+        n, h = len(words), zlib.crc32(str(doc_id).encode())
+        if h % 10 == 0 and n:
+            g = h // 10
+            a = g % n
+            p = 1 + (n - a) // (3 + g % 8)
+            words = [words[i] if i < a else words[a + (i - a) % p] for i in range(n)]
+        runs = plain_runs(words, 6, 4)
+        gone = {i for s, size, p in runs for i in range(s + p, s + size)}
+        best = max(runs, key=lambda r: r[1] / r[2], default=None)  # the first of the greatest
+        milli = 1000 * best[1] // best[2] if best else None
+        lines = "".join(f"{s},{size},{p}\n" for s, size, p in runs)
+        kept = b" ".join(w for i, w in enumerate(words) if i not in gone)
+        expected.append((doc_id, len(runs), *(best or (None,) * 3), milli, sha(lines.encode()), sha(kept)))
+    found = op12_periodic_runs(spark, SF)
+    assert collections.Counter(map(tuple, found.collect())) == collections.Counter(expected)
+    assert sum(row[1] for row in expected) > 5
+
+
+def diverging(rows, least=10, top=10):
+    """A set of (lang, source, part, item, value, rank) from (text, lang, source)."""
+    by_lang = collections.defaultdict(lambda: collections.defaultdict(collections.Counter))
+    with_term = collections.defaultdict(collections.Counter)
+    for text, lang, source in rows:
+        terms = [t.translate(BIG) for t in re.findall(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+", text or "")]
+        by_lang[lang or ""][source or ""].update(terms)
+        with_term[lang or ""].update(set(terms))
+    out = set()
+    for lang, groups in by_lang.items():
+        kept = [t for t, n in with_term[lang].items() if n >= least]
+
+        def prices(counts):
+            total = sum(counts[t] for t in kept)
+            return {t: 1 + 10**9 * (counts[t] + 2) // (total + 2 * len(kept)) for t in kept}
+
+        p = {source: prices(counts) for source, counts in groups.items()}
+        whole = prices(sum(groups.values(), collections.Counter()))
+        f = lambda x, y: (x - y) ** 2 // (x + y)
+        for a in groups:
+            pairs = [(-sum(f(p[a][t], p[b][t]) for t in kept), b.encode(), b) for b in groups if b != a]
+            out |= {(lang, a, "pair", b, -v, i) for i, (v, _, b) in enumerate(sorted(pairs), 1)}
+            terms = [(-f(p[a][t], whole[t]), t.encode(), t) for t in kept if groups[a][t] and p[a][t] > whole[t]]
+            out |= {(lang, a, "term", t, -v, i) for i, (v, _, t) in enumerate(sorted(terms)[:top], 1)}
+    return out
+
+
+def make_docs(spark, rows):
+    schema = "text string, lang string, source string, term string, n int, ids array<int>, block double"
+    return spark.createDataFrame([(*row, "x", 1, [1], 0.5) for row in rows], schema).repartition(3)
+
+
+@pytest.mark.parametrize("tight", [False, True])
+def test_divergence(spark, files, monkeypatch, tight):
+    if tight:  # many slices, blocks and hand-overs
+        monkeypatch.setattr(divergence, "SLICE_TERMS", 4)
+        monkeypatch.setattr(divergence, "BLOCK_SOURCES", 2)
+        monkeypatch.setattr(divergence, "HELD_TERMS", 7)
+        monkeypatch.setattr(divergence, "STRIDE", 2)
+    rng = np.random.default_rng(3)
+    rows = []
+    for i in range(90):
+        lang, source = "ab"[i % 2], [None, "", "s1", "s2", "s3", "é", "S1"][i % 7]
+        words = [f"T{chr(97 + int(v))}é" for v in rng.zipf(1.3, 30) % 23]
+        rows.append(("1 ".join(words), lang, source))
+    rows += [(None, "a", "s9"), ("", None, None), ("rare words", None, "z"), (None, "c", "only"), rows[0], rows[0]]
+    found = divergence.divergence(make_docs(spark, rows), files, least=3)
+    expected = diverging(rows, 3)
+    assert found.columns == ["lang", "source", "part", "item", "value", "rank"]
+    assert collections.Counter(map(tuple, found.collect())) == collections.Counter(expected)
+    assert {row[2] for row in expected} == {"pair", "term"}
+
+
+def test_divergence_of_an_empty_table(spark, files):
+    assert divergence.divergence(make_docs(spark, []), files).collect() == []
+
+
+def test_divergence_query(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("text", "lang", "source").collect()
+    assert collections.Counter(map(tuple, op13_divergence(spark, SF).collect())) == collections.Counter(diverging(docs))
+
+
+@given(st.sets(st.integers(0, 5000), max_size=700), st.sets(st.integers(0, 5000), max_size=3000))
+def test_galloping(few, many):
+    few, many = (np.array(sorted(x), np.int64) for x in (few, many))
+    expected = [int(np.searchsorted(many, v)) if v in set(many.tolist()) else -1 for v in few.tolist()]
+    assert galloped(few, many).tolist() == expected
+
+
+def test_shares_are_exact():
+    for count, total, terms in itertools.product([0, 1, 12345678901], [10**13, 9 * 10**15 - 20], [1, 5]):
+        assert shares(np.array([count]), total, terms).tolist() == [1 + 10**9 * (count + 2) // (total + 2 * terms)]
