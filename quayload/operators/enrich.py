@@ -83,14 +83,20 @@ def prepare_lookup(
         .agg(F.min("ranked").alias("ranked"))
         .select(KEY, "ranked.location.*")
     )
+    return write_lookup(unique, path)
+
+
+def write_lookup(unique: DataFrame, path: str) -> AddressLookup:
+    """Write a table of unique keys and their fields, and measure it meanwhile."""
+    fields = tuple(name for name in unique.columns if name != KEY)
     measured = Observation()
-    size = F.coalesce(F.sum(_width([KEY, *location_fields])), F.lit(0))
+    size = F.coalesce(F.sum(_width([KEY, *fields])), F.lit(0))
     unique.observe(
         measured, F.count(F.lit(1)).alias("rows"), size.alias("bytes")
     ).write.mode("errorifexists").parquet(path)
     seen = measured.get
-    table = reference.sparkSession.read.schema(unique.schema).parquet(path)
-    return AddressLookup(table, tuple(location_fields), seen["rows"], seen["bytes"])
+    table = unique.sparkSession.read.schema(unique.schema).parquet(path)
+    return AddressLookup(table, fields, seen["rows"], seen["bytes"])
 
 
 def _found(names: Sequence[str]) -> Column:

@@ -8,21 +8,14 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
-from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quayload.functions.text import compose_query_key, point_wkt, spell_digits
-from quayload.operators.enrich import (
-    AddressLookup,
-    attach_location,
-    geocode_enrich,
-    prepare_lookup,
-    remove_fields,
-    select_location_fields,
-)
+from quayload.functions.text import compose_query_key, spell_digits
+from quayload.operators.enrich import attach_location, geocode_enrich, remove_fields, select_location_fields
+from quayload.plans import checks_content, checks_keyed
 from quayload.plans.refresh import (
     DIVERT,
     load_staged,
@@ -32,6 +25,7 @@ from quayload.plans.refresh import (
     refresh_records,
     refresh_table,
 )
+from quayload.plans.run import READERS, Run
 from quayload.sidecar import write_sidecar
 from quayload.sinks.publish import ServingArea, lookup, publish_table
 from quayload.sources.records import extract_records, land_records
@@ -42,84 +36,9 @@ from quayload.staging import (
     TIMESTAMP_NTZ_PATTERN,
     StagedTable,
     TypedLoad,
-    read_staged,
     stage_table,
     typed_load,
 )
-from quayload.workspace import new_area
-
-READERS = ("reader_a", "reader_b")
-
-
-@dataclass(frozen=True)
-class Run:
-    """A query's own folder and database prefix, so that runs never meet."""
-
-    spark: SparkSession
-    sf_dir: str
-    root: str
-    mark: str
-
-    @classmethod
-    def start(cls, spark: SparkSession, sf_dir: str, label: str) -> Run:
-        return cls(spark, sf_dir, new_area(spark, label), f"q{uuid.uuid4().hex[:12]}")
-
-    @property
-    def area(self) -> ServingArea:
-        return ServingArea(f"{self.root}/served", f"{self.mark}_")
-
-    def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
-
-    def mount(self, schema: str, name: str) -> TableSpec:
-        """Make a given table visible as ``gis_<schema>.<name>`` in the session catalog."""
-        spec = TableSpec(f"{schema}_{self.mark}", name, readers=READERS)
-        database = quote(spec.source_schema)
-        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{self.root}/mounted'")
-        self.spark.catalog.createTable(
-            f"{database}.{quote(name)}", path=f"{self.sf_dir}/{name}.parquet", source="parquet"
-        )
-        return spec
-
-    def round_trip(self, name: str) -> DataFrame:
-        spec = TableSpec("given", name)
-        stage_table(self.table(name), spec, self.root)
-        return read_staged(self.spark, spec, self.root)
-
-    def addresses(self) -> DataFrame:
-        """Customers with a messy street address; one market segment has none."""
-        house = F.floor(F.col("c_acctbal") / 1000).cast("string")
-        street = F.concat(
-            F.lit("  "), house, F.lit(",  "), F.lower("n_name"), F.lit(" -- st. ")
-        )
-        nation = self.table("nation").select("n_nationkey", "n_name")
-        return (
-            self.table("customer")
-            .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-            .withColumn("street_address", F.when(F.col("c_mktsegment") != "MACHINERY", street))
-            .drop("n_nationkey", "n_name")
-        )
-
-    def lookup(self) -> AddressLookup:
-        """Suppliers as an address reference; several share an address."""
-        nation = self.table("nation").select("n_nationkey", "n_name")
-        lat, lon = F.col("s_acctbal") / 1000, -F.col("s_acctbal") / 2000
-        reference = (
-            self.table("supplier")
-            .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
-            .select(
-                F.floor(F.col("s_acctbal") / 1000).cast("string").alias("house"),
-                F.concat("n_name", F.lit(" ST")).alias("street"),
-                F.col("s_suppkey").alias("address_id"),
-                lat.alias("lat"),
-                lon.alias("lon"),
-                point_wkt(lon, lat).alias("shape"),
-            )
-        )
-        fields = ("lat", "lon", "shape")
-        path = f"{self.root}/lookup"
-        return prepare_lookup(reference, ["house", "street"], fields, "address_id", path)
-
 
 LOCATED_SQL = """
 WITH reference AS (
@@ -230,6 +149,19 @@ def q_typed_load_decimals(run: Run) -> DataFrame:
     return fit.unionByName(load.rejects.select(*nothing, "raw_record"))
 
 
+def q_typed_load_floats(run: Run) -> DataFrame:
+    """Prices as doubles and keys as whole numbers, with blanks, zeros at the end, and more digits than there are."""
+    price, key = F.col("o_totalprice").cast("decimal(12,2)").cast("string"), F.col("o_orderkey").cast("string")
+    more = F.when(F.col("o_orderstatus") == "P", F.lit("0000000000000001")).when(F.col("o_orderstatus") == "O", F.lit("0000000000000000 ")).otherwise("")
+    landed = run.table("orders").select(F.concat(F.lit(" "), key).alias("k"), F.concat(price, more).alias("price"))
+    spec = TableSpec("sales", "floats")
+    stage_table(landed, spec, run.root)
+    load = typed_load(run.spark, spec, run.root, T.StructType.fromDDL("k bigint, price double"))
+    nothing = F.lit(None).cast("string").alias("raw_record")
+    bad = load.rejects.select(F.lit(None).cast("bigint").alias("k"), F.lit(None).cast("double").alias("price"), "raw_record")
+    return load.rows.select("k", "price", nothing).unionByName(bad)
+
+
 def q_foreign_files(run: Run) -> DataFrame:
     """Documents as CSV with quoted line breaks, the way other tools stage them, published."""
     docs = run.table("documents")
@@ -437,6 +369,13 @@ CHECKS: dict[str, tuple[Callable[[Run], DataFrame], str]] = {
                || CASE WHEN o_orderstatus = 'O' THEN '.5' ELSE '.0' END
            FROM p WHERE o_orderstatus <> 'F'""",
     ),
+    "typed_load_floats": (
+        q_typed_load_floats,
+        """SELECT o_orderkey AS k, o_totalprice AS price, NULL::VARCHAR AS raw_record FROM orders WHERE o_orderstatus <> 'P'
+           UNION ALL
+           SELECT NULL, NULL, ' ' || o_orderkey || ',' || cast(o_totalprice AS DECIMAL(12,2)) || '0000000000000001'
+           FROM orders WHERE o_orderstatus = 'P'""",
+    ),
     "foreign_files": (q_foreign_files, "SELECT * FROM documents"),
     "compose_query_key": (q_compose_query_key, f"SELECT p_partkey, {KEY_SQL} AS query_key FROM part"),
     "geocode_enrich": (q_geocode_enrich, LOCATED_SQL + "SELECT * FROM enriched"),
@@ -502,6 +441,8 @@ CHECKS: dict[str, tuple[Callable[[Run], DataFrame], str]] = {
         q_refresh_geocoded,
         LOCATED_SQL + "SELECT * EXCLUDE (c_acctbal) FROM enriched",
     ),
+    **checks_keyed.CHECKS,
+    **checks_content.CHECKS,
 }
 
 

@@ -51,6 +51,8 @@ def check_schema(schema: T.StructType) -> None:
     for field in schema.fields:
         if field.name.startswith(RESERVED):
             raise TypeError(f"{field.name}: names beginning with {RESERVED} are reserved")
+        if any(c in field.name for c in "\n\r\0"):
+            raise TypeError(f"{field.name!r}: a staged column's name must be on one line")
         check_stageable(field.dataType, field.name)
 
 

@@ -63,10 +63,13 @@ def _marked(spark: SparkSession, name: str) -> bool:
 def drop_leftovers(spark: SparkSession, spec: TableSpec, catalog: str | None = None) -> list[str]:
     """Drop side tables of loads that never finished; returns their names.
 
-    Call it only when no load of this table runs: a load in flight has such a
-    table too.
+    A table moved aside is dropped only when there is one with its name again:
+    until then it is the table. Call this only when no load of this table runs:
+    a load in flight has such tables too.
     """
     names = side_tables(spark, spec, catalog, LOADING)
+    if spark.catalog.tableExists(_name(spec, catalog)[0]):
+        names += side_tables(spark, spec, catalog, PREVIOUS)
     for name in names:
         spark.sql(f"DROP TABLE IF EXISTS {_name(spec, catalog, name)[0]}")
     return names

@@ -6,7 +6,7 @@ Each line of a landed file is one page, or each file is one.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,6 +29,10 @@ def _page_schema(
     return T.StructType([T.StructField(RECORDS, T.ArrayType(record))])
 
 
+def _faulty(listed: Column) -> Column:
+    return listed.isNull() | F.exists(listed, lambda r: r.isNull())
+
+
 def extract_records(
     spark: SparkSession,
     pages: str,
@@ -48,10 +52,10 @@ def extract_records(
     ``beside`` are the columns such records have next to their values, such as
     their id and the time they were made; they come first.
     ``page_per_file`` reads pages that are spread over several lines.
-    A page that is not valid JSON, or has no list of records (an error page),
-    fails the read instead of losing its records; with ``skip_incomplete``
-    pages without a list are left out, and :func:`count_incomplete` tells how
-    many there are.
+    A page that is not valid JSON, has no list of records (an error page), or
+    has a record that is null, fails the read instead of losing records; with
+    ``skip_incomplete`` pages without a list and null records are left out, and
+    :func:`count_incomplete` tells how many pages have such a fault.
     """
     reader = spark.read.options(mode="FAILFAST", multiLine=page_per_file, **TIME_OPTIONS)
     if record is not None:
@@ -61,8 +65,10 @@ def extract_records(
         raise IncompletePages(f"{pages}: no page has a list of {RECORDS}")
     listed = column(RECORDS)
     if not skip_incomplete:
-        failure = F.raise_error(F.lit(f"{pages}: a page has no list of {RECORDS}"))
-        listed = F.when(listed.isNull(), failure.cast(read.schema[RECORDS].dataType)).otherwise(listed)
+        failure = F.raise_error(F.lit(f"{pages}: a page has no list of {RECORDS}, or one that is null"))
+        listed = F.when(_faulty(listed), failure.cast(read.schema[RECORDS].dataType)).otherwise(listed)
+    else:
+        listed = F.filter(listed, lambda r: r.isNotNull())
     rows = read.select(F.inline(listed))
     if values_in:
         own = [column(f.name) for f in beside.fields] if beside else []
@@ -80,10 +86,10 @@ def extract_records(
 
 
 def count_incomplete(spark: SparkSession, pages: str, page_per_file: bool = False) -> int:
-    """How many landed pages have no list of records."""
+    """How many landed pages have no list of records, or a record that is null."""
     schema = T.StructType([T.StructField(RECORDS, T.ArrayType(T.StringType()))])
     read = spark.read.options(mode="FAILFAST", multiLine=page_per_file).schema(schema).json(pages)
-    return read.where(column(RECORDS).isNull()).count()
+    return read.where(_faulty(column(RECORDS))).count()
 
 
 def land_records(df: DataFrame, pages: str, page_rows: int = 500, values_in: str | None = None) -> None:

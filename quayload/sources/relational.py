@@ -10,8 +10,12 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from quayload.functions.columns import column, resolve
+from quayload.functions.quantiles import WHOLE, quantiles
 from quayload.spec import TableSpec, quote
 
 
@@ -71,6 +75,70 @@ def bucket_split(bucket: str, partitions: int) -> PredicateSplit:
     return PredicateSplit((first, *(f"{expression} = {i}" for i in range(1, partitions))))
 
 
+#: Columns a split can be planned by; their values are written the same in all SQL dialects.
+SPLIT_TYPES = (*WHOLE, T.DecimalType, T.DateType, T.TimestampNTZType)
+
+
+def sql_literal(kind: T.DataType, value: object) -> str:
+    """A number, date or time as SQL has it."""
+    if isinstance(kind, T.DateType):
+        return f"DATE '{value.isoformat()}'"
+    if isinstance(kind, T.TimestampNTZType):
+        return f"TIMESTAMP '{value.isoformat(sep=' ')}'"
+    return str(value)
+
+
+def plan_split(df: DataFrame, columns: Sequence[str], parts: int) -> PredicateSplit:
+    """A split of a table into about ``parts`` even reads, from the rows of ``df``.
+
+    ``df`` is the table, or its last staged copy: only the named columns are
+    read, and summarised where they are. The first column is cut at its
+    quantiles, whatever its values are. A value that holds more than a part's
+    share gets reads of its own; they are cut by the second column, as many
+    times as its share asks for, and so on. A value that has no further column
+    stays one read. Rows with a null are in the lowest read of their column. The
+    predicates are right for any state of the table; only their evenness comes
+    from ``df``. Columns must be whole numbers, decimals, dates or times.
+    """
+    names = resolve(df, columns, "column to split by")
+    wrong = [name for name in names if not isinstance(df.schema[name].dataType, SPLIT_TYPES)]
+    if parts < 1 or not names or wrong:
+        raise ValueError(f"a split needs one part and one column at least, and no text: {', '.join(wrong)}")
+    return PredicateSplit(tuple(_planned(df, names, {"": (F.lit(True), parts)})))
+
+
+def _both(given: str, more: str) -> str:
+    return f"{given} AND {more}" if given else more
+
+
+def _planned(df: DataFrame, names: Sequence[str], wanted: Mapping[str, tuple[Column, int]]) -> list[str]:
+    """Predicates for each wanted one (as SQL, and as a condition on ``df``), cut into so many parts by the columns left."""
+    done = [given or "1 = 1" for given, (_, parts) in wanted.items() if parts < 2 or not names]
+    open_ = {given: how for given, how in wanted.items() if how[1] > 1 and names}
+    if not open_:
+        return done
+    name, kind = names[0], df.schema[names[0]].dataType
+    which = F.coalesce(*[F.when(rows, F.lit(i)) for i, (rows, _) in enumerate(open_.values())])
+    most = max(parts for _, parts in open_.values())
+    values = df.select(which.alias("of"), column(name).alias("value")).where("of IS NOT NULL AND value IS NOT NULL")
+    # one short list for each part that is still to be cut
+    found = dict(values.groupBy("of").agg(quantiles(F.col("value"), most).alias("cut")).collect())
+    deeper: dict[str, tuple[Column, int]] = {}
+    for i, (given, (rows, parts)) in enumerate(open_.items()):
+        ends = found.get(i, [])
+        taken = [ends[(j + 1) * most // parts - 1] for j in range(parts - 1)] if ends else []
+        low = ""
+        for value in sorted(set(taken)):
+            text = sql_literal(kind, value)
+            done.append(_both(given, f"{low} AND {name} < {text}" if low else f"({name} < {text} OR {name} IS NULL)"))
+            low = f"{name} >= {text}"
+            if taken.count(value) > 1:
+                deeper[_both(given, f"{name} = {text}")] = (rows & (column(name) == F.lit(str(value)).cast(kind)), taken.count(value))
+                low = f"{name} > {text}"
+        done.append(_both(given, low) or "1 = 1")
+    return done + (_planned(df, names[1:], deeper) if deeper else [])
+
+
 @dataclass(frozen=True)
 class JdbcSource:
     """A relational source. Credentials stay in ``properties`` and out of any repr.

@@ -42,10 +42,14 @@ NUMBER_BYTES = 8
 # A staged file is closed after this many rows and another begun.
 FILE_ROWS = 10_000_000
 # Numbers in text: for decimals the digits before and after the point and the
-# exponent; for floating point also the names the writer uses.
+# exponent; for floating point also the names the writer uses. Blanks around a
+# number of any type do not matter.
 DECIMAL_TEXT = r"^\s*[+-]?([0-9]*)\.?([0-9]*)(?:[eE]([+-]?[0-9]+))?\s*$"
 FLOAT_TEXT = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
+WHOLE_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 FLOAT_NAMES = ("NaN", "Infinity", "-Infinity", "Inf", "-Inf")
+# So many digits tell any value of a type from all others; text with more is no value of it.
+FLOAT_DIGITS, DOUBLE_DIGITS = 9, 17
 # Options about files, which rendering a single record has no use for.
 FILE_OPTIONS = ("header", "encoding", "multiLine", "lineSep")
 
@@ -182,7 +186,8 @@ def stage_table(
 
 def _read_type(data_type: T.DataType) -> T.DataType:
     """The type the CSV reader itself converts to; the rest is converted from text."""
-    as_text = (*NESTED_TYPES, T.StringType, T.BinaryType, T.DecimalType, T.FloatType, T.DoubleType)
+    numbers = (*WHOLE_TYPES, T.DecimalType, T.FloatType, T.DoubleType)
+    as_text = (*NESTED_TYPES, *numbers, T.StringType, T.BinaryType)
     return T.StringType() if isinstance(data_type, as_text) else data_type
 
 
@@ -207,17 +212,28 @@ def _convert(field: T.StructField, fmt: StagingFormat) -> tuple[Column, Column |
     if isinstance(field.dataType, T.BinaryType):
         typed = F.try_to_binary(value, F.lit("base64"))
         return typed, value.isNotNull() & typed.isNull()
+    if isinstance(field.dataType, WHOLE_TYPES):
+        typed = value.try_cast(field.dataType)
+        return typed, value.isNotNull() & typed.isNull()
     if isinstance(field.dataType, T.DecimalType):
         typed = value.try_cast(field.dataType)
         exact = typed.isNotNull() & (_fraction_digits(value) <= field.dataType.scale)
         return typed, value.isNotNull() & ~F.coalesce(exact, F.lit(False))
     if isinstance(field.dataType, (T.FloatType, T.DoubleType)):
         typed = value.try_cast(field.dataType)
+        most = FLOAT_DIGITS if isinstance(field.dataType, T.FloatType) else DOUBLE_DIGITS
         number = value.rlike(FLOAT_TEXT) & typed.isNotNull() & (F.abs(typed) < float("inf"))
+        number = number & (_significant_digits(value) <= most)
         return typed, value.isNotNull() & ~(F.coalesce(number, F.lit(False)) | value.isin(*FLOAT_NAMES))
     return value, None
 
 
+def _significant_digits(text: Column) -> Column:
+    """Digits of a number's text without zeros at either end."""
+    digits = F.regexp_replace(F.regexp_extract(text, "^[^eE]*", 0), "[^0-9]", "")
+    return F.length(F.trim(digits, F.lit("0")))
+
+
 def _fraction_digits(text: Column) -> Column:
     """Digits after the point that a decimal's text needs: without trailing zeros, moved by the exponent."""
     whole, fraction, exponent = (F.regexp_extract(text, DECIMAL_TEXT, i) for i in (1, 2, 3))
@@ -238,8 +254,10 @@ def typed_load(
     """Apply the sidecar to staged text and tell fitting rows from the rest.
 
     A row is a misfit when it has too few or too many fields, or when a field
-    cannot be converted to its type exactly. Files whose header does not match
-    the sidecar fail the read.
+    cannot be converted to its type exactly. Floating point is the nearest
+    value, and a text with more digits than its type can tell apart (9 for a
+    float, 17 for a double) is a misfit. Blanks around a number are ignored,
+    whatever its type. Files whose header does not match the sidecar fail the read.
     """
     schema = schema or read_sidecar(spark, spec, root)
     check_schema(schema)
