@@ -26,8 +26,8 @@ from quayload.llm.common import documents, give_back_memory, in_batches, only
 
 #: Text handled at once by a task.
 BATCH_BYTES = 1 << 20
-#: Pieces a worker remembers between batches.
-MEMORY = 100_000
+#: Pieces a worker remembers between batches, in each of two generations, and the longest of them.
+MEMORY, LONGEST = 60_000, 64
 
 
 def byte_alphabet() -> list[str]:
@@ -83,23 +83,38 @@ class ByteBpe:
         from tokenizers import Tokenizer
 
         self.model = Tokenizer.from_str(model)
+        self.tokenize = self.model.model.tokenize
         self.find = regex.compile(pattern).findall
         self.memory: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         vocabulary = self.model.get_vocab(with_added_tokens=False)
-        self.bytes_of = {i: bytes(map(FROM_ALPHABET.__getitem__, map(ord, token))) for token, i in vocabulary.items()}
+        self.bytes_of = [b""] * (max(vocabulary.values(), default=-1) + 1)
+        for token, i in vocabulary.items():
+            self.bytes_of[i] = bytes(map(FROM_ALPHABET.__getitem__, map(ord, token)))
 
     def encode_pieces(self, pieces: list[str]) -> list[bytes]:
-        """Ids of each piece, little-endian 32-bit; different pieces are encoded once."""
-        memory = self.memory
-        new = [piece for piece in set(pieces) if piece not in memory]
-        if len(memory) + len(new) > MEMORY:
-            memory.clear()
-            new = list(set(pieces))
-        if new:
-            written = [piece.encode().decode("latin-1").translate(TO_ALPHABET) for piece in new]
-            for piece, found in zip(new, self.model.encode_batch(written, add_special_tokens=False), strict=True):
-                memory[piece] = struct.pack(f"<{len(found.ids)}I", *found.ids)
-        return list(map(memory.__getitem__, pieces))
+        """Ids of each piece, little-endian 32-bit; different pieces are encoded once.
+
+        A piece met again is carried into the next generation; the others are
+        forgotten with their own.
+        """
+        memory, older = self.memory, self.older
+        new = []
+        for piece in set(pieces).difference(memory):
+            known = older.get(piece)
+            if known is None:
+                new.append(piece)
+            else:
+                memory[piece] = known
+        for piece in new:
+            # the model itself: the pieces need no normalising, cutting or special tokens
+            ids = [token.id for token in self.tokenize(piece.encode().decode("latin-1").translate(TO_ALPHABET))]
+            memory[piece] = struct.pack(f"<{len(ids)}I", *ids)
+        out = list(map(memory.__getitem__, pieces))
+        if len(memory) > MEMORY:
+            self.older = {piece: ids for piece, ids in memory.items() if len(piece) <= LONGEST}
+            self.memory = {}
+        return out
 
     def encode(self, text: str) -> list[int]:
         return np.frombuffer(b"".join(self.encode_pieces(self.find(text))), "<u4").tolist()
