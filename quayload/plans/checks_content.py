@@ -14,7 +14,9 @@ from quayload.operators.similar import geocode_similar
 from quayload.plans.run import Run
 from quayload.sinks.changes import load_changes, load_chunked
 from quayload.sinks.publish import write_version
+from quayload.sources.infer import infer_record_schema
 from quayload.sources.paged import PageForm, extract_records_paged, land_paged, number_rows
+from quayload.sources.records import extract_records, land_records
 from quayload.sources.relational import plan_split
 from quayload.spec import TableSpec
 from quayload.staging import read_staged, stage_table
@@ -72,6 +74,21 @@ def q_extract_records_paged(run: Run) -> DataFrame:
     return extract_records_paged(run.spark, pages, record, ["conv_id", "turn"])
 
 
+def q_infer_record_schema(run: Run) -> DataFrame:
+    """Orders on pages that write the price as whole numbers, as decimals or as words; read by the schema found."""
+    orders = run.table("orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    prices = {"O": F.floor("o_totalprice").cast("bigint"), "F": F.col("o_totalprice").cast("decimal(12,2)"), "P": F.lit("n/a")}
+    for status, price in prices.items():
+        land_records(orders.where(F.col("o_orderstatus") == status).withColumn("o_totalprice", price), f"{run.root}/pages/{status}")
+    last = T.StructType.fromDDL("o_orderkey string, o_gone bigint")
+    schema, drift = infer_record_schema(run.spark, f"{run.root}/pages/*", last)
+    rows = extract_records(run.spark, f"{run.root}/pages/*", schema)
+    changes = ",".join(f"{change.path}:{change.kind}" for change in drift)
+    return rows.select(
+        "o_orderkey", "o_gone", "o_orderstatus", F.col("o_totalprice").try_cast("double").alias("o_totalprice"), F.lit(changes).alias("drift")
+    )
+
+
 def _misspelt(name: Column, by: Column) -> Column:
     """A name without one of its letters, or with two of them changed, or as it is."""
     at = 1 + by % F.length(name)
@@ -215,6 +232,13 @@ CHECKS: dict[str, tuple[Callable[[Run], DataFrame], str]] = {
         """SELECT conv_id, turn, role, text, (row_number() OVER (ORDER BY conv_id, turn) - 1) // 13 AS seen_on
            FROM conversations""",
     ),
+    "infer_record_schema": (
+        q_infer_record_schema,
+        """SELECT cast(o_orderkey AS VARCHAR) AS o_orderkey, NULL::BIGINT AS o_gone, o_orderstatus,
+               CASE o_orderstatus WHEN 'O' THEN floor(o_totalprice) WHEN 'F' THEN o_totalprice END AS o_totalprice,
+               'o_orderkey:kept,o_gone:missing,o_orderstatus:added,o_totalprice:added' AS drift
+           FROM orders""",
+    ),
     "load_changes": (
         q_load_changes,
         """SELECT * REPLACE (CASE WHEN o_orderkey % 613 = 5 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice)
