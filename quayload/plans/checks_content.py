@@ -11,7 +11,10 @@ from pyspark.sql import types as T
 from quayload.operators.compare import diff_versions, reconcile
 from quayload.operators.segments import SegmentColumns, geocode_ranges
 from quayload.operators.similar import geocode_similar
+from quayload.plans.refresh import DIVERT, publish_staged
+from quayload.plans.replay import reject_fields, replay_rejects
 from quayload.plans.run import Run
+from quayload.sidecar import write_sidecar
 from quayload.sinks.changes import load_changes, load_chunked
 from quayload.sinks.publish import write_version
 from quayload.sources.infer import infer_record_schema
@@ -19,7 +22,7 @@ from quayload.sources.paged import PageForm, extract_records_paged, land_paged,
 from quayload.sources.records import extract_records, land_records
 from quayload.sources.relational import plan_split
 from quayload.spec import TableSpec
-from quayload.staging import read_staged, stage_table
+from quayload.staging import TIMESTAMP_NTZ_PATTERN, read_staged, stage_table
 
 
 def _changed_orders(orders: DataFrame) -> DataFrame:
@@ -209,6 +212,23 @@ def q_plan_split(run: Run) -> DataFrame:
     return lines.select("l_orderkey", "l_linenumber", "k", held.alias("parts"))
 
 
+def q_replay_rejects(run: Run) -> DataFrame:
+    """Orders of which those without a price were diverted; the prices come later, and make the table whole."""
+    orders, spec = run.table("orders"), TableSpec("sales", "orders", keys=("o_orderkey",))
+    price = F.when(F.col("o_orderstatus") == "P", F.lit("n/a")).otherwise(F.col("o_totalprice").cast("string"))
+    day = F.date_format("o_orderdate", TIMESTAMP_NTZ_PATTERN)
+    landed = orders.withColumns({"o_totalprice": price, "o_orderdate": day, "o_orderkey": F.col("o_orderkey").cast("string"), "o_custkey": F.col("o_custkey").cast("string")})
+    staged = stage_table(landed, spec, run.root)
+    write_sidecar(run.spark, orders.schema, spec, run.root)
+    first = publish_staged(run.spark, staged, run.root, run.area, DIVERT)
+    late = orders.select(F.col("o_orderkey").cast("string").alias("o_orderkey"), F.col("o_totalprice").cast("string").alias("late"))
+    rejects = reject_fields(run.spark, spec, run.root).where(F.array_contains("causes", "o_totalprice"))
+    mended = rejects.join(late, "o_orderkey").withColumn("o_totalprice", F.col("late"))
+    done = replay_rejects(run.spark, spec, run.root, run.area, mended)
+    counts = [F.lit(n).cast("bigint").alias(c) for c, n in (("diverted", first.rejects), ("added", done.added), ("left_over", done.left))]
+    return run.spark.table(done.name).select("*", *counts)
+
+
 CHECKS: dict[str, tuple[Callable[[Run], DataFrame], str]] = {
     "reconcile_table": (
         q_reconcile_table,
@@ -239,6 +259,11 @@ CHECKS: dict[str, tuple[Callable[[Run], DataFrame], str]] = {
                'o_orderkey:kept,o_gone:missing,o_orderstatus:added,o_totalprice:added' AS drift
            FROM orders""",
     ),
+    "replay_rejects": (
+        q_replay_rejects,
+        """WITH p AS (SELECT count(*) AS n FROM orders WHERE o_orderstatus = 'P')
+           SELECT orders.*, n AS diverted, n AS added, 0::BIGINT AS left_over FROM orders, p""",
+    ),
     "load_changes": (
         q_load_changes,
         """SELECT * REPLACE (CASE WHEN o_orderkey % 613 = 5 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice)

@@ -184,14 +184,14 @@ def stage_table(
     return StagedTable(spec, path, **counted.get)
 
 
-def _read_type(data_type: T.DataType) -> T.DataType:
+def read_type(data_type: T.DataType) -> T.DataType:
     """The type the CSV reader itself converts to; the rest is converted from text."""
     numbers = (*WHOLE_TYPES, T.DecimalType, T.FloatType, T.DoubleType)
     as_text = (*NESTED_TYPES, *numbers, T.StringType, T.BinaryType)
     return T.StringType() if isinstance(data_type, as_text) else data_type
 
 
-def _convert(field: T.StructField, fmt: StagingFormat) -> tuple[Column, Column | None]:
+def convert_field(field: T.StructField, fmt: StagingFormat) -> tuple[Column, Column | None]:
     """The typed value of a column as it was read, and whether its text does not fit.
 
     Where the reader itself has found that out, there is no second answer.
@@ -263,7 +263,7 @@ def typed_load(
     check_schema(schema)
     fields, names = schema.fields, tuple(schema.fieldNames())
     read_schema = T.StructType(
-        [T.StructField(f.name, _read_type(f.dataType)) for f in fields]
+        [T.StructField(f.name, read_type(f.dataType)) for f in fields]
         + [T.StructField(CORRUPT, T.StringType())]
     )
     staged = (
@@ -274,7 +274,7 @@ def typed_load(
         .option("columnNameOfCorruptRecord", CORRUPT)
         .csv(f"{root}/{spec.staging_path}")
     )
-    converted = [_convert(field, fmt) for field in fields]
+    converted = [convert_field(field, fmt) for field in fields]
     flags = [flag for _, flag in converted if flag is not None]
     misfit = combine(Column.__or__, [column(CORRUPT).isNotNull(), *flags])
     as_read = F.struct(*[column(name) for name in names])

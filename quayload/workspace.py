@@ -52,6 +52,11 @@ def write_small_file(spark: SparkSession, path: str, text: str) -> None:
         out.close()
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    place, system = _file_system(spark, path)
+    return system.exists(place)
+
+
 def delete_path(spark: SparkSession, path: str) -> bool:
     """Delete a file, or a folder with all in it; says whether there was one."""
     place, system = _file_system(spark, path)
