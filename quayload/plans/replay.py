@@ -17,7 +17,7 @@ from quayload.functions.columns import column, resolve
 from quayload.functions.text import unescape_lines
 from quayload.plans.refresh import RowsLost
 from quayload.sidecar import read_sidecar
-from quayload.sinks.publish import ServingArea, activate, discard, properties_of, write_version
+from quayload.sinks.publish import ServingArea, activate, discard, write_version
 from quayload.spec import TableSpec, quote
 from quayload.staging import (
     CORRUPT,
@@ -120,7 +120,7 @@ def replay_rejects(spark: SparkSession, spec: TableSpec, root: str, area: Servin
     if added + still.count() != staged.rows:
         raise RowsLost(f"{spec.rejects_path}: {staged.rows} mended, {added} + {still.count()} read")
     if added:
-        shown = spark.table(properties_of(spark, name)["source"])
+        shown = spark.table(name)  # the version it shows now, whatever is shown later
         version = write_version(shown.unionByName(rows), spec, area)
         if version.rows != shown.count() + added:
             discard(spark, version)

@@ -60,7 +60,7 @@ def _hashed_keys(schema: T.StructType, keys: tuple[str, ...]) -> list[tuple[int,
 
 
 def index_version(spark: SparkSession, version: Version) -> Version:
-    """Write the index of a version; two passes over its key columns, shuffling only counts and file numbers.
+    """Write the index of a version; three passes over its key columns, shuffling only counts and file numbers.
 
     A version without keys, or without rows, has an index that names no file or
     all. Show the returned version to readers with ``activate``.
