@@ -109,17 +109,19 @@ def anchors(texts: DataFrame, buckets: int) -> DataFrame:
         row = np.searchsorted(ends, at, "right") - 1
         rid = np.array([x[0] for x in parts], np.int64)[row]
         pos = (at - ends[row] + np.array([x[1] for x in parts], np.int64)[row]).astype(np.int32)
-        order = np.argsort(key, kind="stable")
-        key, rid, pos = key[order], rid[order], pos[order]
+        # an anchor's hash is the least of many, so buckets go by the hash mixed once more, which is even
+        spread = mixed(key)
+        order = np.argsort(spread, kind="stable")
+        key, spread, rid, pos = key[order], spread[order], rid[order], pos[order]
         again = same_as_before(key, rid, pos)
-        key, rid, pos = key[~again], rid[~again], pos[~again]
+        key, spread, rid, pos = key[~again], spread[~again], rid[~again], pos[~again]
         same = same_as_before(key)
         first = np.flatnonzero(~same)
         sure = several(rid, first)
         if sure.any():
             yield settled(buckets, rid[sure], pos[sure])
         own = ~sure | ~same
-        yield blobs(OPEN, buckets, key[own], key=key[own], rid=rid[own], pos=pos[own])
+        yield blobs(OPEN, buckets, spread[own], key=key[own], rid=rid[own], pos=pos[own])
 
     return map_texts(texts.select("rid", "text"), make, BLOBS, BATCH_BYTES)
 
@@ -168,7 +170,7 @@ def contexts(marked: DataFrame, buckets: int, hot: np.ndarray) -> DataFrame:
             own = slice(first, first + MOST_CONTEXTS)
             bytes_ = _around(data, at[own], before[own], after[own])
             near, given = hot_here[own], (rid[own], ord_[own], pos[own], bytes_, before[own], after[own])
-            yield from _open_contexts(buckets, key[own][~near], *(x[~near] for x in given))
+            yield from _open_contexts(buckets, mixed(key[own][~near]), *(x[~near] for x in given))
             if near.any():
                 yield from _open_windows(buckets, *(x[near] for x in given))
 
