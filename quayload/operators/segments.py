@@ -3,14 +3,19 @@
 A segment has a street, the numbers at its two ends, which side's numbers it
 has, and the places of its ends. A house is put where its number falls between
 them. Segments are entered under bins of house numbers as wide as themselves,
-rounded up to a power of two, so that each is under two bins at most; a house
-looks into one bin of every width there is. So the join is by street, width and
-bin: a street that half of all rows are on is cut into its bins, and each
-different address is looked up once.
+rounded up to a power of two, so that each is under two bins at most. In its
+bins a segment is cut into nodes: stretches of a power of two of numbers that
+begin at a multiple of it, two of a size at most. Of the segments of a node one
+is before all others, and only it is kept. A house asks for the one node of
+every size that its number is in, so the join is by street, side and node, and
+meets each house with one row of a size, however many segments overlap. A street
+that half of all rows are on is cut into its nodes, and each different address
+is looked up once.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -25,6 +30,13 @@ from quayload.workspace import new_area
 ODD, EVEN = "odd", "even"
 #: The narrowest bin, in house numbers, as a power of two.
 LEAST_WIDTH = 5
+#: Segments, by their bins, that a task cuts into nodes.
+TASK_SEGMENTS = 20_000
+#: What a house is looked up by, and what comes first of several segments.
+NODE = ("street", "side", "level", "node")
+ORDER = ("last", "segment", "low", "high")
+PLACES = ("low_lat", "low_lon", "high_lat", "high_lon")
+LARGEST = (1 << 63) - 1
 FIELDS = ("lat", "lon", "segment")
 HOUSE = "_quayload_house"
 
@@ -62,6 +74,28 @@ def _bin(number: Column, width: Column) -> Column:
     return F.call_function("shiftright", number, width)
 
 
+def _ones(width: Column) -> Column:
+    """The number of ``width`` one bits, up to 63 of them."""
+    return F.call_function("shiftright", F.lit(LARGEST), F.lit(63) - width)
+
+
+def _nodes(start: Column, end: Column, width: Column) -> Column:
+    """The nodes, by level, that the numbers ``start`` to ``end`` of one bin are made of.
+
+    A node of level k has ``1 << k`` numbers. At each level the first whole node
+    is taken if it is the second half of one a level up, and the last if it is
+    the first half; the others are in nodes above.
+    """
+
+    def taken(level: Column) -> Column:
+        first, last = -_bin(-start, level), _bin(end - _ones(level), level)
+        left, right = F.when(first % 2 == 1, first), F.when(last % 2 == 0, last)
+        nodes = F.when(first <= last, F.array(left, right)).otherwise(F.array().cast("array<bigint>"))
+        return F.transform(F.array_compact(nodes), lambda node: F.struct(level.alias("level"), node.alias("node")))
+
+    return F.flatten(F.transform(F.sequence(F.lit(0), width), taken))
+
+
 def prepare_segments(segments: DataFrame, names: SegmentColumns, path: str) -> DataFrame:
     """Write the segments with their street's normalised name, a row for each bin they are under.
 
@@ -74,10 +108,10 @@ def prepare_segments(segments: DataFrame, names: SegmentColumns, path: str) -> D
         street,
         F.lower(column(plain["parity"]).cast("string")).alias("parity"),
         *[column(plain[end]).cast("long").alias(end) for end in ("low", "high")],
-        *[column(plain[place]).cast("double").alias(place) for place in ("low_lat", "low_lon", "high_lat", "high_lon")],
+        *[column(plain[place]).cast("double").alias(place) for place in PLACES],
         column(plain["segment"]).alias("segment"),
     )
-    whole = rows.dropna(subset=["street", "low", "high", "low_lat", "low_lon", "high_lat", "high_lon"])
+    whole = rows.dropna(subset=["street", "low", "high", *PLACES])
     whole = whole.where("low >= 0 AND high >= 0")
     turned = F.col("low") > F.col("high")
     pairs = (("low", "high"), ("low_lat", "high_lat"), ("low_lon", "high_lon"))
@@ -91,6 +125,24 @@ def prepare_segments(segments: DataFrame, names: SegmentColumns, path: str) -> D
     return segments.sparkSession.read.schema(entered.schema).parquet(path)
 
 
+def first_by_node(entered: DataFrame, tasks: int) -> DataFrame:
+    """NODE and, as ``first``, the segment that goes before all others there: ORDER and its places.
+
+    Segments that differ in their places alone are kept as one with all of them,
+    for which of them goes first is another for each number. Those of both sides
+    are entered under each.
+    """
+    odd, even = F.array(F.lit(1)), F.array(F.lit(0))
+    sides = F.when(F.col("parity") == ODD, odd).when(F.col("parity") == EVEN, even).otherwise(F.array(F.lit(0), F.lit(1)))
+    sided = entered.withColumns({"side": F.explode(sides), "last": F.col("segment").isNull()})
+    same = ["street", "side", "width", "bin", *ORDER]
+    whole = sided.repartition(tasks, *same).groupBy(*same).agg(F.collect_set(F.struct(*PLACES)).alias("places"))
+    begin = F.call_function("shiftleft", F.col("bin"), F.col("width"))
+    start, end = F.greatest(F.col("low"), begin), F.least(F.col("high"), begin + _ones(F.col("width")))
+    cut = whole.select("street", "side", F.struct(*ORDER, "places").alias("first"), F.inline(_nodes(start, end, F.col("width"))))
+    return cut.groupBy(*NODE).agg(F.min("first").alias("first"))
+
+
 def locate_houses(houses: DataFrame, entered: DataFrame) -> DataFrame:
     """``houses`` (KEY, street, number; unique) that are on a segment: KEY and FIELDS.
 
@@ -98,20 +150,20 @@ def locate_houses(houses: DataFrame, entered: DataFrame) -> DataFrame:
     the one with the lower, then the nearer end. The place is between the ends
     as the number is; on a segment with one number only, at its first end.
     """
-    widths = sorted(row[0] for row in entered.select("width").distinct().collect())  # at most 63
-    if not widths:
-        widths = [LEAST_WIDTH]
-    probes = houses.withColumn("width", F.explode(F.array(*[F.lit(w) for w in widths])))
-    probes = probes.withColumn("bin", _bin(F.col("number"), F.col("width")))
-    met = probes.join(entered, ["street", "width", "bin"])
-    odd = F.col("number") % 2 == 1
-    side = F.when(F.col("parity") == ODD, odd).when(F.col("parity") == EVEN, ~odd).otherwise(True)
-    on = met.where(F.col("number").between(F.col("low"), F.col("high"))).where(side)
+    rows, width = entered.agg(F.count(F.lit(1)), F.max("width")).first()
+    levels = F.sequence(F.lit(0), F.lit(LEAST_WIDTH if width is None else width))
+    nodes = first_by_node(entered, max(1, math.ceil(rows / TASK_SEGMENTS)))
+    probes = houses.withColumns({"side": (F.col("number") % 2).cast("int"), "level": F.explode(levels)})
+    probes = probes.withColumn("node", _bin(F.col("number"), F.col("level")))
+    best = probes.join(nodes, list(NODE)).groupBy(KEY, "number").agg(F.min("first").alias("first"))
+    best = best.select(KEY, "number", "first.*")
     share = F.when(F.col("high") > F.col("low"), (F.col("number") - F.col("low")) / (F.col("high") - F.col("low"))).otherwise(0.0)
-    place = [(F.col(f"low_{c}") + (F.col(f"high_{c}") - F.col(f"low_{c}")) * share).alias(c) for c in ("lat", "lon")]
-    ranked = F.struct(F.col("segment").isNull().alias("last"), "segment", "low", "high", *place)
-    best = on.groupBy(KEY).agg(F.min(ranked).alias("best"))
-    return best.select(KEY, *[F.col(f"best.{name}").alias(name) for name in FIELDS])
+
+    def place(ends: Column) -> Column:
+        return F.struct(*[(ends[f"low_{c}"] + (ends[f"high_{c}"] - ends[f"low_{c}"]) * share).alias(c) for c in ("lat", "lon")])
+
+    placed = best.withColumn("place", F.array_min(F.transform("places", place)))
+    return placed.select(KEY, "place.*", "segment")
 
 
 def geocode_ranges(

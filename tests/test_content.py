@@ -358,6 +358,35 @@ def test_a_hot_street_is_split_and_no_segment_under_many_bins(spark, tmp_path):
     assert entered.where("width = 5").groupBy("bin").count().count() > 60
 
 
+def test_overlapping_segments_are_met_once_a_level(spark, tmp_path):
+    """However many segments overlap, a node has one, so a house meets no more rows than there are levels."""
+    from quayload.operators.segments import NODE, SegmentColumns, first_by_node, prepare_segments
+
+    rows = [("Hot", i % 50, 1000 + i % 70, [None, "odd", "even"][i % 3], 0.0, 0.0, 1.0, 1.0, i) for i in range(3000)]
+    entered = prepare_segments(spark.createDataFrame(rows, SEGMENTS), SegmentColumns(), str(tmp_path / "e"))
+    nodes = first_by_node(entered, 3)
+    assert nodes.count() == nodes.select(*NODE).distinct().count() <= 2 * sum(1100 >> level for level in range(11))
+    whole = nodes.select("side", "level", "node", "first.*").collect()
+    for row in whole:  # a node is inside its segment
+        assert row.low <= row.node << row.level and ((row.node + 1) << row.level) - 1 <= row.high
+    for number in (0, 1, 49, 50, 512, 999, 1000, 1035, 1069, 1070):
+        met = [r.segment for r in whole if r.side == number % 2 and r.node == number >> r.level]
+        on = [r[8] for r in rows if r[1] <= number <= r[2] and r[3] != ["odd", "even"][number % 2 == 1]]
+        assert min(met, default=None) == min(on, default=None) and len(met) <= 12
+
+
+def test_segments_alike_but_for_their_places(spark):
+    """Ids that are null or come again: of places for the same numbers the least is taken, for each house anew."""
+    segments = [("A", 0, 100, None, 1.0, 0.0, 9.0, 0.0, None), ("A", 0, 100, "even", 5.0, 0.0, 2.0, 0.0, None), ("A", 0, 100, "even", 5.0, -1.0, 2.0, 0.0, None)]
+    segments += [("B", 7, 2**63 - 1, "odd", 1.0, 1.0, 2.0, 2.0, 3), ("B", 7, 2**63 - 1, "odd", 1.0, 0.5, 2.0, 2.0, 3), ("B", 2**63 - 1, 0, None, 1.0, 1.0, 0.0, 0.0, 4)]
+    houses = [(str(n), s) for s in "AB" for n in (0, 1, 6, 7, 8, 50, 51, 99, 100, 101, 10**18 - 1)]
+    found = geocode_ranges(spark.createDataFrame(houses, "house string, road string"), spark.createDataFrame(segments, SEGMENTS), "house", ["road"])
+    rows = {(r.house, r.road): (r.lat, r.lon, r.segment) for r in found.collect()}
+    for house, road in houses:
+        expected = plain_place(segments, road, int(house))
+        assert rows[house, road][2] == expected[2] and rows[house, road][:2] == pytest.approx(expected[:2]), (house, road)
+
+
 def test_surplus_counts_each_row(spark):
     a = spark.createDataFrame([(1,)] * 5 + [(None,)] * 2, "v int")
     b = spark.createDataFrame([(1,)] * 2 + [(None,)] * 3, "v int")
