@@ -5,9 +5,9 @@ of every file. The index is two small tables beside the version:
 
 - ``files``: each file's name, rows, and least and greatest value of each key;
 - ``slots``: for each key, the merged membership filter of all files. A value's
-  hash gives its slot, and a slot has the files that hold any value of it. There
-  are about as many slots as different values, and the table is sorted by slot,
-  so that one value reads one page of it.
+  hash gives its slot, and a slot has a row for each file that holds any value of
+  it. There are about as many slots as different values, and the table is sorted
+  by slot, so that one value reads few pages of it.
 
 The filter names all files with the value, and few others; the rows of the files
 it names are then filtered as usual, so the answer is exact. Files of a version
@@ -18,6 +18,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import replace
+from functools import reduce
 from urllib.parse import unquote, urlsplit
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -49,9 +50,9 @@ def _slot(value: Column, slots: Column | int) -> Column:
     return F.pmod(F.xxhash64(value), F.lit(slots) if isinstance(slots, int) else slots)
 
 
-def _file(path: Column) -> Column:
-    """A file's number: the hash of its name. Files that share one are always named together."""
-    return F.xxhash64(F.element_at(F.split(path, "/"), -1))
+def _file() -> Column:
+    """The number of a row's file: the hash of its name. Files that share one are always named together."""
+    return F.xxhash64(F.col("_metadata.file_name"))
 
 
 def _hashed_keys(schema: T.StructType, keys: tuple[str, ...]) -> list[tuple[int, str]]:
@@ -68,7 +69,7 @@ def index_version(spark: SparkSession, version: Version) -> Version:
     table = spark.table(version.name)
     keys = version.spec.keys
     path = F.col("_metadata.file_path")
-    rows = table.select(path.alias("path"), *[column(key).alias(f"k{i}") for i, key in enumerate(keys)])
+    rows = table.select(path.alias("path"), _file().alias("file"), *[column(key).alias(f"k{i}") for i, key in enumerate(keys)])
     sides = [
         side
         for i in range(len(keys))
@@ -78,30 +79,30 @@ def index_version(spark: SparkSession, version: Version) -> Version:
             F.count_if(F.col(f"k{i}").isNull()).alias(f"nulls{i}"),
         )
     ]
-    files = rows.groupBy("path").agg(F.count(F.lit(1)).alias("rows"), *sides).select(_file(F.col("path")).alias("file"), "*")
+    files = rows.groupBy("file", "path").agg(F.count(F.lit(1)).alias("rows"), *sides)
     files.write.format("parquet").mode("errorifexists").saveAsTable(version.part(FILES))
     hashed = _hashed_keys(table.schema, keys)
     if not hashed:
         return replace(version, indexed=True)
     different = rows.agg(*[F.approx_count_distinct(f"k{i}").alias(f"n{i}") for i, _ in hashed]).first()
-    entries = F.array(
-        *[
-            F.struct(F.lit(i).alias("key"), _slot(F.col(f"k{i}"), _slots_for(n)).alias("slot"), F.col(f"k{i}").isNotNull().alias("set"))
-            for (i, _), n in zip(hashed, different)
-        ]
-    )
     # one entry for each slot a file has, so a value that fills a third of a file costs no more than any other
-    own = rows.select(_file(F.col("path")).alias("file"), F.explode(entries).alias("entry"))
-    own = own.where("entry.set").select("entry.key", "entry.slot", "file").distinct()
-    merged = own.groupBy("key", "slot").agg(F.array_sort(F.collect_list("file")).alias("files"))
-    size = sum(different) * ENTRY_BYTES
-    parts = partitions_for(size, spark.sparkContext.defaultParallelism)
-    laid = merged.repartitionByRange(parts, "key", "slot").sortWithinPartitions("key", "slot")
+    entries = [_entries(rows, i, _slots_for(n)) for (i, _), n in zip(hashed, different)]
+    own = reduce(DataFrame.union, entries)
+    held = spark.table(version.part(FILES)).agg(F.count(F.lit(1)).alias("files"), F.sum("rows").alias("rows")).first()
+    most = sum(min(n * held["files"], held["rows"] or 0) for n in different)
+    parts = partitions_for(most * ENTRY_BYTES, spark.sparkContext.defaultParallelism)
+    laid = own.repartitionByRange(parts, "key", "slot", "file").sortWithinPartitions("key", "slot", "file")
     listed = F.lit(",".join(str(_slots_for(n)) for n in different))
     laid.withColumn("slots", listed).write.format("parquet").mode("errorifexists").saveAsTable(version.part(SLOTS))
     return replace(version, indexed=True)
 
 
+def _entries(rows: DataFrame, i: int, slots: int) -> DataFrame:
+    """The different key, slot and file of the rows' key ``i``, from that column alone."""
+    own = rows.where(F.col(f"k{i}").isNotNull()).select(_slot(F.col(f"k{i}"), slots).alias("slot"), "file").distinct()
+    return own.select(F.lit(i).alias("key"), "slot", "file")
+
+
 def _slots_for(different: int) -> int:
     return 1 << max(4, int(different).bit_length())
 
@@ -140,7 +141,8 @@ def files_named(spark: SparkSession, name: str, values: Mapping[str, object]) ->
             return files.where(F.lit(False)).select("path", "rows")
         size = sizes[[k for _, k in hashed].index(key)]
         found = slots.where((F.col("key") == i) & (F.col("slot") == _slot(literal(field, value), size)))
-        files = files.join(found.select(F.explode("files").alias("file")).distinct(), "file", "left_semi")
+        # an index of an earlier release has a slot's files in one row
+        files = files.join(found.select(F.explode("files").alias("file") if "files" in found.columns else "file"), "file", "left_semi")
     return files.select("path", "rows")
 
 

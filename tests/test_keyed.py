@@ -252,6 +252,31 @@ def test_indexed_lookups_of_odd_tables(spark, area):
         lookup_indexed(spark, name, {"nope": 1})
 
 
+def test_an_index_has_a_row_for_each_slot_of_a_file(spark, area):
+    """No row of the index grows with the number of files, and none is there twice."""
+    df = spark.range(4000).select("id", (F.col("id") % 3).alias("k"), F.when(F.col("id") % 2 == 0, "x y%20").alias("s"))
+    version = index_version(spark, write_version(df, TableSpec("s", "rows", keys=("id", "k", "s")), area, partitions=8))
+    slots, files = (spark.table(version.part(part)) for part in (file_index.SLOTS, file_index.FILES))
+    assert slots.columns == ["key", "slot", "file", "slots"] and files.count() == 8
+    assert slots.count() == slots.select("key", "slot", "file").distinct().count()
+    assert slots.join(files, "file", "left_anti").count() == 0
+    sizes = {r.key: r["count"] for r in slots.groupBy("key").count().collect()}
+    assert 2000 < sizes[0] <= 4000 and sizes[1] in (16, 24) and sizes[2] == 8
+    name = activate(spark, version)
+    assert files_named(spark, name, {"k": 1}).count() == 8 and lookup_indexed(spark, name, {"s": "x y%20", "id": 8}).count() == 1
+
+
+def test_an_index_of_an_earlier_release_is_read(spark, area):
+    version = index_version(spark, write_version(spark.range(300), TableSpec("s", "earlier", keys=("id",)), area, partitions=4))
+    slots = spark.table(version.part(file_index.SLOTS))
+    merged = slots.groupBy("key", "slot", "slots").agg(F.array_sort(F.collect_list("file")).alias("files"))
+    earlier = spark.createDataFrame(merged.collect(), merged.schema)
+    spark.sql(f"DROP TABLE {version.part(file_index.SLOTS)}")
+    earlier.write.format("parquet").saveAsTable(version.part(file_index.SLOTS))
+    name = activate(spark, version)
+    assert [lookup_indexed(spark, name, {"id": i}).count() for i in (7, 299, 300)] == [1, 1, 0]
+
+
 def test_an_answer_from_too_many_files_reads_the_table(spark, area):
     df = spark.range(1000).select("id", (F.col("id") % 2).alias("k"))
     name = activate(spark, index_version(spark, write_version(df, TableSpec("s", "many", keys=("id", "k")), area, partitions=8)))
