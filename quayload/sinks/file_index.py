@@ -91,7 +91,8 @@ def index_version(spark: SparkSession, version: Version) -> Version:
     held = spark.table(version.part(FILES)).agg(F.count(F.lit(1)).alias("files"), F.sum("rows").alias("rows")).first()
     most = sum(min(n * held["files"], held["rows"] or 0) for n in different)
     parts = partitions_for(most * ENTRY_BYTES, spark.sparkContext.defaultParallelism)
-    laid = own.repartitionByRange(parts, "key", "slot", "file").sortWithinPartitions("key", "slot", "file")
+    # a task has a range of one key's slots, or of few keys'; one number alone is sorted by its bits, without comparisons
+    laid = own.repartitionByRange(parts, "key", "slot", "file").sortWithinPartitions("slot")
     listed = F.lit(",".join(str(_slots_for(n)) for n in different))
     laid.withColumn("slots", listed).write.format("parquet").mode("errorifexists").saveAsTable(version.part(SLOTS))
     return replace(version, indexed=True)
